@@ -5,7 +5,7 @@ from __future__ import annotations
 PI2 = "6.283185307179586"
 
 
-def r(expr: str, name: str | None = None, digits: int = 6) -> str:
+def r(expr: str, name: str | None = None, digits: int = 9) -> str:
     """Rounded output column without a negative zero."""
     return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0::DOUBLE AS {name or expr}"
 

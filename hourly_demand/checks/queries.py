@@ -50,7 +50,7 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
     """Doubles rounded, without a negative zero."""
     doubles = {c: F.round(c, digits) + F.lit(0.0) for c, t in df.dtypes if t == "double"}
     return df.withColumns(doubles) if doubles else df

@@ -72,9 +72,20 @@ def dst_hours(grid: DataFrame, zone: str) -> DataFrame:
     return grid.select(TS).filter(is_dst_hour(TS, zone)).distinct()
 
 
-def null_dst(panel: DataFrame, zone: str) -> DataFrame:
-    """Target becomes NULL in clock-change hours, even where trips were counted."""
-    return panel.withColumn(Y, F.when(~is_dst_hour(TS, zone), F.col(Y).cast("double")))
+def null_dst(
+    panel: DataFrame, zone: str, start: datetime | None = None, end: datetime | None = None
+) -> DataFrame:
+    """Target becomes NULL in clock-change hours, even where trips were counted.
+
+    With the range of the panel, the few clock-change hours in it are found once and joined; they
+    are a handful per year. Without it, every row is tested.
+    """
+    y = F.col(Y).cast("double")
+    if start is None or end is None:
+        return panel.withColumn(Y, F.when(~is_dst_hour(TS, zone), y))
+    changes = dst_hours(hour_grid(panel.sparkSession, start, end), zone).withColumn("_change", F.lit(True))
+    marked = panel.join(F.broadcast(changes), TS, "left")
+    return marked.select(*[F.when(F.col("_change").isNull(), y).alias(Y) if c == Y else F.col(c) for c in panel.columns])
 
 
 def missing_hours(observed: DataFrame, grid: DataFrame, zone: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -141,16 +144,17 @@ def _corr(a: Column, b: Column) -> Column:
     return F.when(varies, F.corr(x, y))
 
 
-def corr_matrix(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Pearson correlation of every pair of columns as rows (a, b, r), in one pass."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.groupBy(*by).agg(
-        *[_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_{i}") for i, (a, b) in enumerate(pairs)]
-    )
-    rows = []
-    for i, (a, b) in enumerate(pairs):
-        for left, right in {(a, b), (b, a)}:
-            rows.append(
-                F.struct(F.lit(left).alias("a"), F.lit(right).alias("b"), F.col(f"_{i}").alias("r"))
-            )
-    return wide.select(*by, F.inline(F.array(*rows)))
+def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every pair of columns as rows (a, b, r); NULL for a constant column.
+
+    Rows must be complete. Spark ML adds up one covariance matrix per task, so only matrices of the
+    size of the column list leave the tasks. Runs a job.
+    """
+    vectors = VectorAssembler(inputCols=list(cols), outputCol="_v").transform(df).select("_v")
+    matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
+    rows = [
+        (a, b, None if math.isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, a in enumerate(cols)
+        for j, b in enumerate(cols)
+    ]
+    return df.sparkSession.createDataFrame(rows, "a STRING, b STRING, r DOUBLE")

@@ -19,7 +19,8 @@ SLOTS_PER_OCTAVE = 4096
 
 def _slot(v: Column) -> Column:
     size = F.log2(F.lit(1.0) + F.abs(v) * 1024) * SLOTS_PER_OCTAVE
-    return F.floor(F.signum(v) * size)
+    # Never NULL, so that the join below adds no filter and both uses of the ties share one shuffle.
+    return F.coalesce(F.floor(F.signum(v) * size), F.lit(0))
 
 
 def select_ranks(
@@ -29,15 +30,18 @@ def select_ranks(
     by: Sequence[str] = (),
     count_name: str = "n",
 ) -> DataFrame:
-    """Per group, the value at each 1-based rank in ascending order; NULL values are ignored.
+    """Per group, the value at each 1-based rank in ascending order.
 
-    `ranks` maps an output column to a function from the number of values to the wanted rank.
+    Missing values and rows with a NULL in `by` are ignored. `ranks` maps an output column to a function from the number of values to the wanted rank.
     A rank outside 1..n gives NULL. Equal values are merged before the shuffle.
     """
     by = list(by)
+    known = F.col("_v").isNotNull() & ~F.isnan("_v")
+    for key in by:
+        known = known & F.col(key).isNotNull()
     ties = (
         df.select(*by, F.col(value).cast("double").alias("_v"))
-        .filter(F.col("_v").isNotNull())
+        .filter(known)
         .groupBy(*by, "_v")
         .agg(F.count("*").alias("_c"))
         .withColumn("_slot", _slot(F.col("_v")))

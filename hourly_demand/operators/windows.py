@@ -8,7 +8,7 @@ grow by reach / chunk_hours, about a tenth with the defaults.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -124,11 +124,19 @@ def lags_and_rolling(
     keys: Sequence[str] = (),
     windows: Sequence[int] = WINDOWS,
     chunk_hours: int = CHUNK_HOURS,
+    row_columns: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Lag and trailing-window features with one shuffle and one sort."""
+    """Lag and trailing-window features with one shuffle and one sort.
+
+    `row_columns` adds columns that depend on the row alone. They are made between the two window
+    steps: after the shuffle, so they do not travel, and in a generated method of their own, since
+    one method for all features would be too long for the JIT compiler.
+    """
     offsets = lag_offsets(delay)
     chunks = Chunks(panel, max(max(offsets), max(windows) + delay - 1), keys, chunk_hours)
     out = _with_sums(chunks.df, chunks.window)
+    if row_columns is not None:
+        out = row_columns(out)
     made = {f"lag_{k}": _lag(Y, k, chunks.window) for k in offsets}
     for size in windows:
         for stat, column in _trailing(size, delay, chunks.window).items():

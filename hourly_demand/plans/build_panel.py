@@ -42,7 +42,7 @@ class PanelBuild:
         return fill_hours(kept, self.rules.start, self.rules.end, self.keys, self.series)
 
     def panel(self) -> DataFrame:
-        return null_dst(self.dense(), self.rules.zone)
+        return null_dst(self.dense(), self.rules.zone, self.rules.start, self.rules.end)
 
     def missing(self) -> DataFrame:
         """City hours without any raw record."""
@@ -81,4 +81,5 @@ def build_panel(
     Reads only the trips the rules can keep; use `build` to get the audit as well.
     """
     counts = kept_counts(trips, zones, rules, keys)
-    return null_dst(fill_hours(counts, rules.start, rules.end, keys, series), rules.zone)
+    dense = fill_hours(counts, rules.start, rules.end, keys, series)
+    return null_dst(dense, rules.zone, rules.start, rules.end)

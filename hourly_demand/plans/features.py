@@ -44,13 +44,21 @@ def features(
 
     Lags and windows take one shuffle and one sort; the calendar part is computed on the rows.
     """
-    table = calendar_features(lags_and_rolling(panel, delay, keys, chunk_hours=chunk_hours))
+    table = lags_and_rolling(panel, delay, keys, chunk_hours=chunk_hours, row_columns=calendar_features)
     return table.select(*keys, TS, Y, *feature_sets(delay)["full"])
 
 
 def complete_rows(table: DataFrame) -> DataFrame:
-    """Rows without any NULL."""
-    return table.dropna()
+    """Rows without any NULL.
+
+    A full trailing week without NULL contains every lag and every shorter window, so in a feature
+    table it stands for all of them; testing each column would compute each of them twice.
+    """
+    week = f"roll_mean_{max(WINDOWS)}"
+    if week not in table.columns:
+        return table.dropna()
+    implied = [c for c in table.columns if c.startswith(("lag_", "roll_")) or c in CALENDAR]
+    return table.dropna(subset=[c for c in table.columns if c not in implied] + [week])
 
 
 def period_slice(table: DataFrame, start=None, end=None) -> DataFrame:

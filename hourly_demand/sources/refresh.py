@@ -75,7 +75,7 @@ def check_manifest(manifest: DataFrame, counts: DataFrame, by: str = "file_month
     parts = F.col("kept_rows") + F.col("rejected_date") + F.col("rejected_values") + F.col("rejected_zone")
     return manifest.join(stored, by, "left").select(
         by,
-        F.coalesce(F.col("stored_rows") == F.col("kept_rows"), F.lit(False)).alias("kept_ok"),
+        (F.coalesce("stored_rows", F.lit(0)) == F.col("kept_rows")).alias("kept_ok"),
         (F.coalesce("doubled", F.lit(0)) == 0).alias("hours_ok"),
         (F.col("raw_rows") == parts).alias("raw_ok"),
     )

@@ -169,7 +169,7 @@ def _feature_out(names) -> str:
 def _corr_sql() -> str:
     cols = ["trips_count", *FEATURE_COLS]
     rows = " UNION ALL ".join(
-        f"SELECT '{a}' AS a, '{b}' AS b, {r(f'corr({a}, {b})', 'r')} FROM complete" for a in cols for b in cols
+        f"SELECT '{a}' AS a, '{b}' AS b, {r(f'corr({a}, {b})', 'r', 6)} FROM complete" for a in cols for b in cols
     )
     return sql(rows)
 

@@ -427,7 +427,7 @@ def autocorr(spark, sf):
 
 @query
 def corr_matrix(spark, sf):
-    return rounded(profile.corr_matrix(complete(spark, sf), [Y, *FEATURES]))
+    return rounded(profile.corr_matrix(complete(spark, sf), [Y, *FEATURES]), 6)
 
 
 @query
@@ -773,8 +773,9 @@ def group_importance(spark, sf):
 
 @query
 def findings(spark, sf):
-    marked = selection.champion(board(spark, sf), "MAE", keys=KEYS)
-    return rounded(report.findings(marked, results(spark, sf), 0.1, KEYS), 9)
+    shared.checkpoint_root(spark)
+    marked = selection.champion(board(spark, sf), "MAE", keys=KEYS).checkpoint()
+    return rounded(report.findings(marked, results(spark, sf).checkpoint(), 0.1, KEYS))
 
 
 # ---- models (no exact SQL form) -----------------------------------------------------------------

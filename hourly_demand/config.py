@@ -91,6 +91,9 @@ class Protocol:
             raise ValueError(f"unknown selection metric {self.metric}")
         if not self.folds or not self.periods:
             raise ValueError("at least one fold and one period are needed")
+        for names in ([f.name for f in self.folds], [s.name for s in (self.calibration, *self.periods)]):
+            if len(set(names)) != len(names):
+                raise ValueError("span names must differ")
         if max(len(self.folds), len(self.periods)) > MAX_SPANS:
             raise ValueError(f"more than {MAX_SPANS} spans")
 

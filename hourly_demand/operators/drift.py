@@ -20,24 +20,35 @@ COVERAGE_LIMIT = 0.85
 BIN_PRIOR = 0.5
 
 
-def _bin(v: Column, edges: Column) -> Column:
-    """Zero-based bin of a value; bins are closed on the left, the outer edges are infinite."""
-    inner = F.slice(edges, 2, F.size(edges) - 2)
-    return F.aggregate(inner, F.lit(0), lambda n, e: n + (e <= v).cast("int"))
+MAX_BINS = len(DECILES) - 1
 
 
-def _shares(counts: DataFrame, by: Sequence[str], name: str) -> DataFrame:
-    """Smoothed shares per bin as an array, from rows (by, edges, bin, n); at most ten bins a group."""
-    grouped = counts.groupBy(*by, "edges").agg(
-        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_by_bin"), F.sum("n").alias("n")
-    )
-    bins = F.size("edges") - 1
-    smoothed = F.transform(
-        F.sequence(F.lit(0), bins - 1),
-        lambda b: F.coalesce(F.try_element_at(F.col("_by_bin"), b), F.lit(0)) + BIN_PRIOR,
-    )
-    total = F.col("n") + bins * BIN_PRIOR
-    return grouped.select(*by, "edges", "n", F.transform(smoothed, lambda c: c / total).alias(name))
+def _bin_counts(v: Column, edges: Column) -> Column:
+    """Aggregate: rows per bin as an array of MAX_BINS counts.
+
+    Bins are closed on the left. There are at most ten, so they are ten conditional counts of the
+    same pass as any other aggregate, and an empty bin simply counts zero.
+    """
+    counts = []
+    for i in range(MAX_BINS):
+        lo, hi = F.get(edges, F.lit(i)), F.get(edges, F.lit(i + 1))
+        last = F.lit(i + 2) == F.size(edges)
+        inside = (v >= lo) & (last | (v < hi))
+        counts.append(F.count_if(inside))
+    return F.array(*counts)
+
+
+def _shares(counts: Column, edges: Column) -> Column:
+    """Smoothed share of each bin."""
+    bins = F.size(edges) - 1
+    smoothed = F.transform(F.slice(counts, F.lit(1), bins), lambda c: c + BIN_PRIOR)
+    total = F.aggregate(smoothed, F.lit(0.0), lambda s, c: s + c)
+    return F.transform(smoothed, lambda c: c / total)
+
+
+def _psi(observed: Column, expected: Column) -> Column:
+    terms = F.zip_with(observed, expected, lambda o, e: (o - e) * F.log(o / e))
+    return F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
 
 
 def reference_edges(df: DataFrame, by: Sequence[str] = (), value: str = Y) -> DataFrame:
@@ -53,12 +64,12 @@ def reference_distribution(df: DataFrame, by: Sequence[str] = (), value: str = Y
     """Decile edges and smoothed bin shares of a reference sample, one row per group."""
     edges = reference_edges(df, by, value)
     known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    counts = (
+    counted = (
         attach(known, edges, by)
-        .groupBy(*by, "edges", _bin(F.col("_v"), F.col("edges")).alias("bin"))
-        .agg(F.count("*").alias("n"))
+        .groupBy(*by)
+        .agg(F.any_value("edges").alias("edges"), _bin_counts(F.col("_v"), F.col("edges")).alias("_counts"))
     )
-    return _shares(counts, by, "probabilities").select(*by, "edges", "probabilities")
+    return counted.select(*by, "edges", _shares(F.col("_counts"), F.col("edges")).alias("probabilities"))
 
 
 def bin_table(reference: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -86,16 +97,24 @@ def psi(
     `ref_by` are the columns of `by` that the reference is kept for (none: one reference for all).
     """
     known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    counts = (
+    counted = (
         attach(known, reference, ref_by)
-        .groupBy(*by, "edges", "probabilities", _bin(F.col("_v"), F.col("edges")).alias("bin"))
-        .agg(F.count("*").alias("n"))
-    )
-    observed = _shares(counts, [*by, "probabilities"], "observed")
-    terms = F.zip_with(
-        "observed", "probabilities", lambda o, e: (o - e) * F.log(o / e)
+        .groupBy(*by)
+        .agg(*_drift_aggregates(F.col("_v")), F.count("*").alias("n"))
     )
-    return observed.select(*by, F.aggregate(terms, F.lit(0.0), lambda s, t: s + t).alias("psi"), "n")
+    return counted.select(*by, _psi_of_group().alias("psi"), "n")
+
+
+def _drift_aggregates(v: Column) -> list[Column]:
+    return [
+        _bin_counts(v, F.col("edges")).alias("_counts"),
+        F.any_value("edges").alias("_edges"),
+        F.any_value("probabilities").alias("_expected"),
+    ]
+
+
+def _psi_of_group() -> Column:
+    return _psi(_shares(F.col("_counts"), F.col("_edges")), F.col("_expected"))
 
 
 def alert_list(psi_: Column, mae: Column | None, coverage: Column | None, max_mae: float | None) -> Column:
@@ -116,18 +135,23 @@ def monitor(
     max_mae: float | None = None,
     y: str = Y,
 ) -> DataFrame:
-    """Monitoring row per group: PSI, scores, coverage and alerts.
+    """Monitoring row per group in one pass: PSI, scores, coverage and alerts.
 
     Predictions need `prediction`, and `covered` or the bounds. Rows with a missing or infinite
     target are counted in `n_bad` and leave the scores of their group NULL.
     """
     if "covered" not in pred.columns:
         pred = pred.withColumn("covered", F.col(y).between(F.col("lower"), F.col("upper")))
-    scores = pred.groupBy(*by).agg(
-        *score_columns(y)[:5], F.avg(F.col("covered").cast("double")).alias("coverage")
+    out = (
+        attach(pred, reference.select(*ref_by, "edges", "probabilities"), ref_by)
+        .groupBy(*by)
+        .agg(
+            *score_columns(y)[:5],
+            F.avg(F.col("covered").cast("double")).alias("coverage"),
+            *_drift_aggregates(F.col(y).cast("double")),
+        )
+        .withColumn("psi", _psi_of_group())
     )
-    drift = psi(pred, reference, by, ref_by, y).drop("n")
-    out = attach(scores, drift, by, "left")
     return out.select(
         *by,
         "psi",

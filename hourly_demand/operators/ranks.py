@@ -23,29 +23,37 @@ def _slot(v: Column) -> Column:
     return F.coalesce(F.floor(F.signum(v) * size), F.lit(0))
 
 
+def count_ties(df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """Known values per group with the number of rows that have them."""
+    known = F.col("_v").isNotNull() & ~F.isnan("_v")
+    for key in by:
+        known = known & F.col(key).isNotNull()
+    size = F.count("*") if weight is None else F.sum("_w")
+    extra = [] if weight is None else [F.col(weight).alias("_w")]
+    return (
+        df.select(*by, F.col(value).cast("double").alias("_v"), *extra)
+        .filter(known)
+        .groupBy(*by, "_v")
+        .agg(size.alias("_c"))
+    )
+
+
 def select_ranks(
     df: DataFrame,
     value: str,
     ranks: dict[str, Callable[[Column], Column]],
     by: Sequence[str] = (),
     count_name: str = "n",
+    weight: str | None = None,
 ) -> DataFrame:
     """Per group, the value at each 1-based rank in ascending order.
 
-    Missing values and rows with a NULL in `by` are ignored. `ranks` maps an output column to a function from the number of values to the wanted rank.
-    A rank outside 1..n gives NULL. Equal values are merged before the shuffle.
+    Missing values and rows with a NULL in `by` are ignored. `ranks` maps an output column to a
+    function from the number of values to the wanted rank. A rank outside 1..n gives NULL. Equal
+    values are merged before the shuffle. With `weight`, a row stands for that many equal values.
     """
     by = list(by)
-    known = F.col("_v").isNotNull() & ~F.isnan("_v")
-    for key in by:
-        known = known & F.col(key).isNotNull()
-    ties = (
-        df.select(*by, F.col(value).cast("double").alias("_v"))
-        .filter(known)
-        .groupBy(*by, "_v")
-        .agg(F.count("*").alias("_c"))
-        .withColumn("_slot", _slot(F.col("_v")))
-    )
+    ties = count_ties(df, value, by, weight).withColumn("_slot", _slot(F.col("_v")))
     per_group = Window.partitionBy(*by)
     slots = (
         ties.groupBy(*by, "_slot")
@@ -53,27 +61,28 @@ def select_ranks(
         .withColumn("_n", F.sum("_c").over(per_group))
         .withColumn("_below", F.sum("_c").over(per_group.orderBy("_slot")) - F.col("_c"))
     )
-    wanted = F.array(
-        *[
-            F.struct(F.lit(name).alias("name"), rank(F.col("_n")).cast("bigint").alias("rank"))
-            for name, rank in ranks.items()
-        ]
-    )
+    # Rank 1 exists in every group, so that a group without the wanted ranks still has its row.
+    wanted = [F.struct(F.lit("_lowest").alias("name"), F.lit(1).cast("bigint").alias("rank"))]
+    wanted += [
+        F.struct(F.lit(name).alias("name"), rank(F.col("_n")).cast("bigint").alias("rank"))
+        for name, rank in ranks.items()
+    ]
     targets = (
-        slots.select(*by, "_slot", "_n", "_below", "_c", F.explode(wanted).alias("_want"))
-        .filter((F.col("_want.rank") > F.col("_below")) & (F.col("_want.rank") <= F.col("_below") + F.col("_c")))
-        .select(*by, "_slot", "_below", F.col("_want.name").alias("_name"), F.col("_want.rank").alias("_rank"))
+        slots.select(*by, "_slot", "_n", "_below", "_c", F.inline(F.array(*wanted)))
+        .filter((F.col("rank") > F.col("_below")) & (F.col("rank") <= F.col("_below") + F.col("_c")))
+        .select(*by, "_slot", "_n", "_below", F.col("name").alias("_name"), F.col("rank").alias("_rank"))
     )
     in_slot = Window.partitionBy(*by, "_name").orderBy("_v")
-    found = (
+    return (
         ties.join(targets, [*by, "_slot"])
         .withColumn("_upto", F.col("_below") + F.sum("_c").over(in_slot))
         .filter(F.col("_upto") >= F.col("_rank"))
         .groupBy(*by)
-        .agg(*[F.min(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks])
+        .agg(
+            F.max("_n").alias(count_name),
+            *[F.min(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks],
+        )
     )
-    sizes = slots.groupBy(*by).agg(F.sum("_c").alias(count_name))
-    return attach(sizes, found, by, "left")
 
 
 def _position(n: Column, p: float) -> Column:
@@ -81,7 +90,12 @@ def _position(n: Column, p: float) -> Column:
 
 
 def quantiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: Sequence[str] = (), count_name: str = "n"
+    df: DataFrame,
+    value: str,
+    probs: dict[str, float],
+    by: Sequence[str] = (),
+    count_name: str = "n",
+    weight: str | None = None,
 ) -> DataFrame:
     """Exact quantiles per group with linear interpolation between neighbours."""
     wanted = {}
@@ -90,7 +104,7 @@ def quantiles(
             raise ValueError("probabilities must lie in [0, 1]")
         wanted[f"_lo_{name}"] = lambda n, p=p: F.floor(_position(n, p)) + 1
         wanted[f"_hi_{name}"] = lambda n, p=p: F.ceil(_position(n, p)) + 1
-    picked = select_ranks(df, value, wanted, by, count_name)
+    picked = select_ranks(df, value, wanted, by, count_name, weight)
     out = []
     for name, p in probs.items():
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
@@ -118,17 +132,22 @@ def order_statistic(
     return out.withColumn("reason", reason)
 
 
-def median(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
-    return quantiles(df, value, {name: 0.5}, by)
+def median(
+    df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median", weight: str | None = None
+) -> DataFrame:
+    return quantiles(df, value, {name: 0.5}, by, weight=weight).drop("n")
 
 
 def mad_outliers(
     df: DataFrame, value: str, by: Sequence[str] = (), k: float = 6.0, floor: float = 1.0
 ) -> DataFrame:
-    """Rows further than k times the median absolute deviation (at least `floor`) from the median."""
-    center = median(df, value, by, "center").drop("n")
-    deviated = attach(df, center, by).withColumn("deviation", F.abs(F.col(value) - F.col("center")))
-    spread = median(deviated, "deviation", by, "mad").drop("n")
-    limit = F.lit(float(k)) * F.greatest(F.lit(float(floor)), F.col("mad"))
-    return attach(deviated, spread, by).filter(F.col("deviation") > limit)
+    """Rows further than k times the median absolute deviation (at least `floor`) from the median.
 
+    Both medians come from the counted distinct values; the rows are read once more for the test.
+    """
+    ties = count_ties(df, value, by)
+    center = median(ties, "_v", by, "center", "_c")
+    off = attach(ties, center, by).withColumn("_off", F.abs(F.col("_v") - F.col("center")))
+    spread = median(off, "_off", by, "mad", "_c")
+    measured = attach(df, attach(center, spread, by), by).withColumn("deviation", F.abs(F.col(value) - F.col("center")))
+    return measured.filter(F.col("deviation") > F.lit(float(k)) * F.greatest(F.lit(float(floor)), F.col("mad")))

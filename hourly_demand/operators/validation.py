@@ -27,8 +27,10 @@ def check_columns(panel: DataFrame, keys: Sequence[str] = ()) -> None:
         raise ValueError(f"{Y} must be numeric")
 
 
-def panel_violations(panel: DataFrame, keys: Sequence[str] = (), allow_null: bool = False) -> DataFrame:
-    """Number of offending rows or hours per series and check; a valid panel gives only zeros."""
+def _counted_violations(
+    panel: DataFrame, keys: Sequence[str], allow_null: bool, *more: Column
+) -> DataFrame:
+    """One row per series with the count of each check; `more` are further aggregates over hours."""
     check_columns(panel, keys)
     y = F.col(Y).cast("double")
     off = F.col(TS) != floor_hour(TS)
@@ -49,7 +51,14 @@ def panel_violations(panel: DataFrame, keys: Sequence[str] = (), allow_null: boo
         F.coalesce(F.sum("_null"), F.lit(0)).alias("null_value"),
         F.coalesce(F.sum("_inf"), F.lit(0)).alias("not_finite"),
         F.coalesce(F.sum("_neg"), F.lit(0)).alias("negative"),
+        *more,
     )
+    return found
+
+
+def panel_violations(panel: DataFrame, keys: Sequence[str] = (), allow_null: bool = False) -> DataFrame:
+    """Number of offending rows or hours per series and check; a valid panel gives only zeros."""
+    found = _counted_violations(panel, keys, allow_null)
     pairs = F.array(*[F.struct(F.lit(c).alias("check"), F.col(c).cast("bigint").alias("n_bad")) for c in CHECKS])
     return found.select(*keys, F.inline(pairs))
 
@@ -89,11 +98,12 @@ def history_status(
     target = target_hour(target)
     last = target - timedelta(hours=delay)
     first = last - timedelta(hours=length - 1)
-    bad_rows = panel_violations(panel, keys).groupBy(*keys).agg(F.sum("n_bad").alias("n_bad"))
-    ends = panel.groupBy(*keys).agg(
-        F.max(TS).alias("last_hour"), F.count_if(F.col(TS) >= ntz(first)).alias("n_recent")
-    )
-    joined = ends.join(bad_rows, list(keys)) if keys else ends.join(F.broadcast(bad_rows), F.lit(True))
+    recent = F.coalesce(F.sum(F.when(F.col(TS) >= ntz(first), F.col("_rows"))), F.lit(0))
+    found = _counted_violations(panel, keys, False, F.max(TS).alias("last_hour"), recent.alias("n_recent"))
+    total = F.lit(0).cast("bigint")
+    for check in CHECKS:
+        total = total + F.col(check)
+    joined = found.withColumn("n_bad", total)
     status = (
         F.when(F.col("n_bad") > 0, "invalid")
         .when(F.coalesce(F.col("last_hour") != ntz(last), F.lit(True)), "stale")

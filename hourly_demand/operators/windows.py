@@ -171,24 +171,22 @@ def interpolate_linear(
         base.groupBy(*keys, "_chunk")
         .agg(F.min("_point").alias("_first"), F.max("_point").alias("_last"))
     )
-    order = Window.partitionBy(*keys).orderBy("_chunk")
+    # Looking ahead is looking back in descending order; a frame that ends at the last row would be
+    # evaluated again for every row.
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_chunk.select(
         *keys,
         "_chunk",
-        F.last("_last", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_prev"),
-        F.first("_first", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("_carry_next"),
+        F.last("_last", ignorenulls=True).over(earlier).alias("_carry_prev"),
+        F.last("_first", ignorenulls=True).over(later).alias("_carry_next"),
     )
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_i")
+    back = Window.partitionBy(*keys, "_chunk").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*keys, "_chunk").orderBy(F.desc("_i")).rowsBetween(Window.unboundedPreceding, 0)
     found = base.join(carried, [*keys, "_chunk"]).withColumns(
         {
-            "_prev": F.coalesce(
-                F.last("_point", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-                F.col("_carry_prev"),
-            ),
-            "_next": F.coalesce(
-                F.first("_point", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)),
-                F.col("_carry_next"),
-            ),
+            "_prev": F.coalesce(F.last("_point", ignorenulls=True).over(back), F.col("_carry_prev")),
+            "_next": F.coalesce(F.last("_point", ignorenulls=True).over(ahead), F.col("_carry_next")),
         }
     )
     prev, follow = F.col("_prev"), F.col("_next")
@@ -203,16 +201,27 @@ def interpolate_linear(
 
 
 def positions(
-    df: DataFrame, keys: Sequence[str] = (), ts: str = TS, name: str = "pos", chunk_hours: int = CHUNK_HOURS
+    df: DataFrame,
+    keys: Sequence[str] = (),
+    ts: str = TS,
+    name: str = "pos",
+    total: str | None = None,
+    chunk_hours: int = CHUNK_HOURS,
 ) -> DataFrame:
     """Zero-based position of each row in the time order of its series, numbered chunk by chunk.
 
-    The time must be unique in a series.
+    The time must be unique in a series. `total` also adds the number of rows of the series.
     """
     base = df.withColumn("_chunk", F.floor(hour_index(ts) / chunk_hours))
     sizes = base.groupBy(*keys, "_chunk").agg(F.count("*").alias("_c"))
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, "_chunk", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"))
+    series = Window.partitionBy(*keys)
+    before = series.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        *keys,
+        "_chunk",
+        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_start"),
+        *([F.sum("_c").over(series).alias(total)] if total else []),
+    )
     inside = Window.partitionBy(*keys, "_chunk").orderBy(ts)
     return (
         base.join(starts, [*keys, "_chunk"])
@@ -223,22 +232,18 @@ def positions(
 
 def stride_sample(df: DataFrame, target_n: int, keys: Sequence[str] = (), ts: str = TS) -> DataFrame:
     """Every s-th row in time order, s = max(1, n div target_n), per series."""
-    numbered = positions(df, keys, ts)
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    numbered = positions(df, keys, ts, "_pos", "_rows")
     step = F.greatest(F.lit(1), F.floor(F.col("_rows") / target_n))
-    return attach(numbered, sizes, keys).filter(F.col("pos") % step == 0).drop("_rows", "pos")
+    return numbered.filter(F.col("_pos") % step == 0).drop("_rows", "_pos")
 
 
 def cyclic_shift(
     df: DataFrame, cols: Sequence[str], shift: int, keys: Sequence[str] = (), ts: str = TS
 ) -> DataFrame:
     """Moves a block of columns `shift` rows down, wrapping around, so their joint values stay together."""
-    numbered = positions(df, keys, ts)
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    numbered = attach(numbered, sizes, keys)
-    moved = numbered.select(*keys, ((F.col("pos") + shift) % F.col("_rows")).alias("pos"), *cols)
-    rest = numbered.drop(*cols, "_rows")
-    return rest.join(moved, [*keys, "pos"]).select(*df.columns)
+    numbered = positions(df, keys, ts, "_pos", "_rows")
+    moved = numbered.select(*keys, ((F.col("_pos") + shift) % F.col("_rows")).alias("_pos"), *cols)
+    return numbered.drop(*cols, "_rows").join(moved, [*keys, "_pos"]).select(*df.columns)
 
 
 def history_tail(panel: DataFrame, n_hours: int = 168, keys: Sequence[str] = ()) -> DataFrame:

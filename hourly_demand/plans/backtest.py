@@ -8,17 +8,18 @@ every series at once.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import TS, Y, Protocol, Span
-from ..functions.errors import METHODS
+from ..functions.errors import METHODS, interval_scale
 from ..functions.time import in_span, ntz
-from ..operators.groups import exploded_literals
-from ..operators.intervals import apply_radius, conformal_radii
+from ..operators.groups import attach, exploded_literals
+from ..operators.intervals import apply_radius, bounds, conformal_radii
 from ..operators.metrics import interval_scores, interval_summary, leaderboard, score_columns, with_errors
+from ..operators.ranks import conformal_rank
 from ..operators.selection import champion, choose_interval
 
 ROLES = ("is_fit", "is_core", "is_early", "is_calibration", "is_valid")
@@ -44,8 +45,7 @@ def weekly_naive_candidate(n_features: int) -> Candidate:
 def assign_folds(table: DataFrame, folds: Sequence[Span]) -> DataFrame:
     """Each row once per fold that uses it: `train` before the fold, `valid` inside."""
     spans = exploded_literals([{"fold": f.name, "start": ntz(f.start), "end": ntz(f.end)} for f in folds])
-    used = F.filter(spans, lambda f: F.col(TS) < f["end"])
-    out = table.withColumn("_f", F.explode(used))
+    out = table.withColumn("_f", F.explode(spans)).filter(F.col(TS) < F.col("_f.end"))
     role = F.when(F.col(TS) < F.col("_f.start"), "train").otherwise("valid")
     return out.select(*table.columns, F.col("_f.fold").alias("fold"), role.alias("role"))
 
@@ -53,8 +53,9 @@ def assign_folds(table: DataFrame, folds: Sequence[Span]) -> DataFrame:
 def assign_periods(table: DataFrame, periods: Sequence[Span]) -> DataFrame:
     """Each row once per named period it falls into."""
     spans = exploded_literals([{"period": p.name, "start": ntz(p.start), "end": ntz(p.end)} for p in periods])
-    used = F.filter(spans, lambda p: (F.col(TS) >= p["start"]) & (F.col(TS) < p["end"]))
-    return table.withColumn("_p", F.explode(used)).select(*table.columns, F.col("_p.period").alias("period"))
+    inside = (F.col(TS) >= F.col("_p.start")) & (F.col(TS) < F.col("_p.end"))
+    out = table.withColumn("_p", F.explode(spans)).filter(inside)
+    return out.select(*table.columns, F.col("_p.period").alias("period"))
 
 
 def fold_roles(table: DataFrame, protocol: Protocol) -> DataFrame:
@@ -78,8 +79,7 @@ def fold_roles(table: DataFrame, protocol: Protocol) -> DataFrame:
                 "end": ntz(f.end),
             }
         )
-    used = F.filter(exploded_literals(rows), lambda f: F.col(TS) < f["end"])
-    out = table.withColumn("_f", F.explode(used))
+    out = table.withColumn("_f", F.explode(exploded_literals(rows))).filter(F.col(TS) < F.col("_f.end"))
     t, f = F.col(TS), F.col("_f")
     return out.select(
         *table.columns,
@@ -182,20 +182,45 @@ def evaluate_model(
 
 
 def _only(protocol: Protocol, fold: Span) -> Protocol:
-    from dataclasses import replace
-
     return replace(protocol, folds=(fold,))
 
 
+def with_series_radius(
+    rows: DataFrame, by: Sequence[str], calibration: Column, protocol: Protocol, method: Column
+) -> DataFrame:
+    """Adds the conformal radius `q` of each group, taken from its calibration rows, in one pass.
+
+    For groups of a single series only: they hold at most one row per hour of the spans, so a
+    window is safe and neither a join nor a second computation of the table is needed. Groups of
+    many series need `intervals.conformal_radii`.
+    """
+    score = F.abs(F.col(Y) - F.col("prediction")) / interval_scale("prediction", method)
+    group = Window.partitionBy(*by)
+    scored = rows.withColumn("_score", F.when(calibration, score)).withColumn("_n", F.count("_score").over(group))
+    rank = F.row_number().over(group.orderBy(F.asc_nulls_last("_score")))
+    wanted = conformal_rank(protocol.alpha, protocol.min_rows)(F.col("_n"))
+    marked = scored.withColumn("_hit", F.when(rank == wanted, F.col("_score")))
+    return marked.withColumn("q", F.max("_hit").over(group)).drop("_score", "_n", "_hit")
+
+
 def interval_cv(predicted: DataFrame, protocol: Protocol, keys: Sequence[str] = ()) -> DataFrame:
-    """Coverage and width per candidate, fold and interval method.
+    """Coverage and width per candidate, fold and interval method, for each series.
 
     The radius comes from the calibration rows of the fold, the scores from its validation rows.
     """
-    by = [*keys, "candidate", "fold"]
+    by = [*keys, "candidate", "fold", "method"]
+    rows = predicted.filter("is_calibration OR is_valid").withColumn(
+        "method", F.explode(F.array(*[F.lit(m) for m in METHODS]))
+    )
+    rows = with_series_radius(rows, by, F.col("is_calibration"), protocol, F.col("method"))
+    return interval_scores(bounds(rows.filter("is_valid AND q IS NOT NULL"), "q", F.col("method")), by)
+
+
+def pooled_interval_cv(predicted: DataFrame, protocol: Protocol) -> DataFrame:
+    """The same with one radius for all series together, whatever their number."""
+    by = ["candidate", "fold"]
     radii = conformal_radii(predicted.filter("is_calibration"), protocol.alpha, by, METHODS, min_n=protocol.min_rows)
-    held = apply_radius(predicted.filter("is_valid"), radii, by)
-    return interval_scores(held, [*by, "method"])
+    return interval_scores(apply_radius(predicted.filter("is_valid"), radii, by), [*by, "method"])
 
 
 def select(cv: DataFrame, protocol: Protocol, keys: Sequence[str] = ()) -> DataFrame:
@@ -215,25 +240,26 @@ def final_slices(table: DataFrame, protocol: Protocol) -> tuple[DataFrame, DataF
 
 
 def final_predictions(
-    calibration: DataFrame,
-    tests: DataFrame,
-    protocol: Protocol,
-    method: str | DataFrame = "absolute",
-    keys: Sequence[str] = (),
+    predicted: DataFrame, protocol: Protocol, method: str | DataFrame = "absolute", keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Test predictions with bounds from the calibration predictions of the same series and candidate.
+    """Test rows with bounds from the calibration rows of the same series and candidate.
 
-    `method` is one method for all series or a frame (keys, method).
+    `predicted` holds the predictions of both. `method` is one method for all series or a frame
+    (keys, method). Series whose calibration rows are too few have no radius and are left out.
     """
-    by = [*keys, "candidate"]
-    radii = conformal_radii(calibration, protocol.alpha, by, METHODS, min_n=protocol.min_rows)
+    spans = [protocol.calibration, *protocol.periods]
+    marks = exploded_literals([{"period": s.name, "start": ntz(s.start), "end": ntz(s.end)} for s in spans])
+    inside = (F.col(TS) >= F.col("_p.start")) & (F.col(TS) < F.col("_p.end"))
+    rows = predicted.withColumn("_p", F.explode(marks)).filter(inside)
+    rows = rows.withColumn("period", F.col("_p.period")).drop("_p")
     if isinstance(method, str):
-        radii = radii.filter(F.col("method") == method)
-    elif keys:
-        radii = radii.join(method.select(*keys, "method"), [*keys, "method"], "left_semi")
+        rows = rows.withColumn("method", F.lit(method))
     else:
-        radii = radii.join(method.select("method"), "method", "left_semi")
-    return with_errors(apply_radius(tests, radii, by))
+        rows = attach(rows, method.select(*keys, "method"), keys)
+    calibration = F.col("period") == protocol.calibration.name
+    rows = with_series_radius(rows, [*keys, "candidate"], calibration, protocol, F.col("method"))
+    tests = rows.filter(~calibration & F.col("q").isNotNull())
+    return with_errors(bounds(tests, "q", F.col("method")))
 
 
 def final_scores(pred: DataFrame, protocol: Protocol, keys: Sequence[str] = ()) -> DataFrame:
@@ -254,5 +280,4 @@ def final_evaluation(
     keys: Sequence[str] = (),
 ) -> DataFrame:
     """Test predictions of expression candidates with bounds, errors and coverage flags."""
-    _, calibration, tests = final_slices(with_candidates(table, candidates), protocol)
-    return final_predictions(calibration, tests, protocol, method, keys)
+    return final_predictions(with_candidates(table, candidates), protocol, method, keys)

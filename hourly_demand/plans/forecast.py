@@ -102,7 +102,7 @@ def padded_history(history: DataFrame, target, delay: int, keys: Sequence[str] =
     last = target - timedelta(hours=delay)
     tail = history.filter(F.col(TS) > ntz(last - timedelta(hours=HISTORY_HOURS))).filter(F.col(TS) <= ntz(last))
     steps = F.sequence(ntz(last + timedelta(hours=1)), ntz(target), F.expr("INTERVAL '1' HOUR"))
-    ends = tail.filter(F.col(TS) == ntz(last))
+    ends = tail.filter(F.col(TS) == ntz(last)).select(*keys, TS).distinct()
     future = ends.select(*keys, F.explode(steps).alias(TS), F.lit(None).cast("double").alias(Y))
     return tail.select(*keys, TS, F.col(Y).cast("double").alias(Y)).unionByName(future)
 
@@ -130,14 +130,17 @@ def forecast(
         bad = [r["status"] for r in status.filter("status <> 'ok'").select("status").distinct().collect()]
         if bad:
             raise ValueError(f"history not usable: {sorted(bad)}")
-    usable = status.filter("status = 'ok'")
-    ready = history.join(usable, list(keys), "left_semi") if keys else attach(history, usable, ()).drop("status")
-    table = features(padded_history(ready, target, model.delay, keys), model.delay, keys)
+    # Every series is predicted and the unusable ones are blanked, so the status is computed once.
+    table = features(padded_history(history, target, model.delay, keys), model.delay, keys)
     row = table.filter(F.col(TS) == ntz(target_hour(target))).dropna(subset=["lag_168", *model.columns])
     predicted = apply_radius(model.predict(row), model.radii, model.keys)
-    made = predicted.select(*keys, TS, "prediction", "lower", "upper")
+    made = predicted.select(*keys, "prediction", "lower", "upper")
+    usable = F.col("status") == "ok"
     return attach(status, made, keys, "left").select(
-        *keys, F.coalesce(F.col(TS), ntz(target_hour(target))).alias(TS), "prediction", "lower", "upper", "status"
+        *keys,
+        ntz(target_hour(target)).alias(TS),
+        *[F.when(usable, F.col(c)).alias(c) for c in ("prediction", "lower", "upper")],
+        "status",
     )
 
 

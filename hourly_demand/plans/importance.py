@@ -13,9 +13,10 @@ from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import Y
+from ..config import TS, Y
 from ..operators.groups import attach, exploded_literals
 from ..operators.windows import positions, stride_sample
+from ..sources.shared import checkpoint_root
 
 Predictor = Callable[[DataFrame], DataFrame]
 SAMPLE = 400
@@ -46,9 +47,10 @@ def coefficients(model: PipelineModel, sample: DataFrame) -> DataFrame:
 
 
 def _numbered(table: DataFrame, keys: Sequence[str], target_n: int, columns: Sequence[str]) -> DataFrame:
-    sample = stride_sample(table, target_n, keys)
-    sizes = sample.groupBy(*keys).agg(F.count("*").alias("_n"))
-    return attach(positions(sample, keys), sizes, keys).select(*keys, "pos", "_n", Y, *columns)
+    """The sample with positions; it is small and used several times, so it is stored once."""
+    checkpoint_root(table.sparkSession)
+    sample = stride_sample(table.select(*keys, TS, Y, *columns), target_n, keys)
+    return positions(sample, keys, total="_n").drop(TS).checkpoint()
 
 
 def _mae(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:

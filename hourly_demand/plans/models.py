@@ -68,18 +68,22 @@ def fit_ridge(train: DataFrame, columns: Sequence[str], alpha: float, y: str = Y
     Spark divides the loss by the rows and scales the label by its deviation, so the penalty is
     rescaled to keep the usual objective.
     """
-    size = train.agg(F.count("*").alias("n"), F.stddev_samp(y).alias("s")).first()
-    reg = alpha * (size["s"] or 1.0) / size["n"] if size["n"] else 0.0
-    solver = LinearRegression(
-        featuresCol="features",
-        labelCol=y,
-        predictionCol="raw_prediction",
-        elasticNetParam=0.0,
-        standardization=False,
-        solver="normal",
-        regParam=reg,
-    )
-    return Pipeline(stages=[*prep_pipeline(train, columns), solver, clip_stage()]).fit(train)
+    train = train.select(*columns, y).persist()
+    try:
+        size = train.agg(F.count("*").alias("n"), F.stddev_samp(y).alias("s")).first()
+        reg = alpha * (size["s"] or 1.0) / size["n"] if size["n"] else 0.0
+        solver = LinearRegression(
+            featuresCol="features",
+            labelCol=y,
+            predictionCol="raw_prediction",
+            elasticNetParam=0.0,
+            standardization=False,
+            solver="normal",
+            regParam=reg,
+        )
+        return Pipeline(stages=[*prep_pipeline(train, columns), solver, clip_stage()]).fit(train)
+    finally:
+        train.unpersist()
 
 
 def tree_params(params: dict, seed: int, rounds: int) -> GBTRegressor:

@@ -7,7 +7,11 @@ PI2 = "6.283185307179586"
 
 def r(expr: str, name: str | None = None, digits: int = 9) -> str:
     """Rounded output column without a negative zero."""
-    return f"round(CAST({expr} AS DOUBLE), {digits}) + 0.0::DOUBLE AS {name or expr}"
+    return f"{rr(expr, digits)} + 0.0::DOUBLE AS {name or expr}"
+
+
+def rr(expr: str, digits: int = 9) -> str:
+    return f"round_even(CAST({expr} AS DOUBLE) * 1e{digits}, 0) / 1e{digits}"
 
 
 # Inputs. Each entry needs only the entries before it.
@@ -96,12 +100,12 @@ CTES["cv"] = """
     FROM (SELECT cand.*, fold, pickup_hour < s - INTERVAL 48 HOUR AS fit, pickup_hour >= s AS val
           FROM cand JOIN folds ON pickup_hour < e)
     GROUP BY zone_id, candidate, family, fold"""
-CTES["board"] = """
-    SELECT zone_id, candidate, family, round(avg(MAE), 9) AS MAE_mean, round(stddev_samp(MAE), 9) AS MAE_std,
-           round(median(MAE), 9) AS MAE_median, round(max(MAE), 9) AS MAE_max, round(avg(RMSE), 9) AS RMSE_mean,
-           round(avg(WAPE_pct), 9) AS WAPE_mean, round(avg(BusinessLossPerHour), 9) AS BusinessLossPerHour_mean,
-           round(stddev_samp(BusinessLossPerHour), 9) AS BusinessLossPerHour_std,
-           round(avg(train_MAE), 9) AS train_MAE_mean, max(n_features) AS n_features,
+CTES["board"] = f"""
+    SELECT zone_id, candidate, family, {rr('avg(MAE)')} AS MAE_mean, {rr('stddev_samp(MAE)')} AS MAE_std,
+           {rr('median(MAE)')} AS MAE_median, {rr('max(MAE)')} AS MAE_max, {rr('avg(RMSE)')} AS RMSE_mean,
+           {rr('avg(WAPE_pct)')} AS WAPE_mean, {rr('avg(BusinessLossPerHour)')} AS BusinessLossPerHour_mean,
+           {rr('stddev_samp(BusinessLossPerHour)')} AS BusinessLossPerHour_std,
+           {rr('avg(train_MAE)')} AS train_MAE_mean, max(n_features) AS n_features,
            count(DISTINCT fold) AS n_folds
     FROM cv GROUP BY zone_id, candidate, family"""
 CTES["chosen"] = """
@@ -467,7 +471,7 @@ def oracle() -> dict[str, str]:
         f"""SELECT zone_id, method, {r('coverage', digits=9)}, {r('mean_width', digits=9)},
                    {r('abs(coverage - 0.9::DOUBLE)', 'coverage_gap', 9)} FROM (
               SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY abs(coverage - 0.9::DOUBLE), mean_width, method) AS k
-              FROM (SELECT zone_id, method, round(avg(coverage), 9) AS coverage, round(avg(mean_width), 9) AS mean_width
+              FROM (SELECT zone_id, method, {rr('avg(coverage)')} AS coverage, {rr('avg(mean_width)')} AS mean_width
                     FROM per_fold GROUP BY zone_id, method)) WHERE k = 1""",
         _interval_cv("Mean_full"),
     )

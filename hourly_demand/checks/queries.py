@@ -52,7 +52,8 @@ def query(fn: Query) -> Query:
 
 def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
     """Doubles rounded, without a negative zero."""
-    doubles = {c: F.round(c, digits) + F.lit(0.0) for c, t in df.dtypes if t == "double"}
+    scale = 10.0**digits
+    doubles = {c: F.rint(F.col(c) * scale) / scale + F.lit(0.0) for c, t in df.dtypes if t == "double"}
     return df.withColumns(doubles) if doubles else df
 
 
@@ -376,7 +377,7 @@ def error_segments(spark, sf):
 
 @query
 def target_stats(spark, sf):
-    return rounded(profile.target_stats(zone_panel(spark, sf), KEYS))
+    return rounded(profile.target_stats(zone_panel(spark, sf), KEYS, single_series=True))
 
 
 @query
@@ -460,7 +461,7 @@ def psi(spark, sf):
 def monitor(spark, sf):
     table = complete(spark, sf)
     fit, _, _ = backtest.final_slices(table, PROTOCOL)
-    ref = drift.reference_distribution(fit, KEYS)
+    ref = drift.reference_distribution(fit, KEYS, single_series=True)
     out = drift.monitor(predictions(spark, sf), ref, ["zone_id", "period"], KEYS, max_mae=0.15)
     return rounded(out.withColumn("alerts", F.concat_ws(",", "alerts")))
 
@@ -723,7 +724,7 @@ def weekly_naive(spark, sf):
 
 def _radii(spark, sf):
     _, calibration, _ = backtest.final_slices(complete(spark, sf), PROTOCOL)
-    return intervals.conformal_radii(calibration.withColumn("prediction", F.col("lag_168")), 0.1, KEYS, ["scaled"])
+    return intervals.series_radii(calibration.withColumn("prediction", F.col("lag_168")), 0.1, KEYS, "scaled")
 
 
 @query

@@ -51,18 +51,25 @@ def _psi(observed: Column, expected: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
 
 
-def reference_edges(df: DataFrame, by: Sequence[str] = (), value: str = Y) -> DataFrame:
+def reference_edges(
+    df: DataFrame, by: Sequence[str] = (), value: str = Y, single_series: bool = False
+) -> DataFrame:
     """Distinct inner deciles between infinite ends; a constant sample gives one bin."""
-    cut = quantiles(df, value, DECILES, by)
+    cut = quantiles(df, value, DECILES, by, single_series=single_series)
     cuts = F.array_distinct(F.array(*[F.col(c) for c in DECILES]))
     inner = F.when(F.size(cuts) > 2, F.slice(cuts, 2, F.size(cuts) - 2)).otherwise(F.array().cast("array<double>"))
     edges = F.concat(F.array(F.lit(float("-inf"))), inner, F.array(F.lit(float("inf"))))
     return cut.select(*by, edges.alias("edges"))
 
 
-def reference_distribution(df: DataFrame, by: Sequence[str] = (), value: str = Y) -> DataFrame:
-    """Decile edges and smoothed bin shares of a reference sample, one row per group."""
-    edges = reference_edges(df, by, value)
+def reference_distribution(
+    df: DataFrame, by: Sequence[str] = (), value: str = Y, single_series: bool = False
+) -> DataFrame:
+    """Decile edges and smoothed bin shares of a reference sample, one row per group.
+
+    `single_series` states that each group is one series; its deciles then take one pass.
+    """
+    edges = reference_edges(df, by, value, single_series)
     known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     counted = (
         attach(known, edges, by)

@@ -12,12 +12,12 @@ def attach(df: DataFrame, summary: DataFrame, by: Sequence[str], how: str = "inn
     """Joins a per-group summary back to the rows.
 
     With groups, the join strategy is left to Catalyst and AQE, which broadcast the summary
-    only when its measured size is small. Without groups the summary is a global aggregate,
-    so it has one row by construction.
+    only when its measured size is small. Without groups the summary is a single row, read as a
+    scalar subquery, so there is no join; more than one row is an error.
     """
     if by:
         return df.join(summary, list(by), how)
-    return df.join(F.broadcast(summary), how="inner" if how == "inner" else "left", on=F.lit(True))
+    return df.withColumns({c: summary.select(c).scalar() for c in summary.columns})
 
 
 def exploded_literals(rows: list[dict]) -> Column:

@@ -55,7 +55,9 @@ def fill_hours(
         zeros = grid.withColumn(Y, F.lit(0).cast("bigint"))
         return inside.unionByName(zeros).groupBy(*keys, TS).agg(F.sum(Y).alias(Y))
     w = Window.partitionBy(*keys).orderBy(TS)
-    final = inside.groupBy(*keys, TS).agg(F.sum(Y).alias(Y))
+    # The rows multiply after this shuffle, so its partitions must not be merged for being small.
+    width = int(inside.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    final = inside.groupBy(*keys, TS).agg(F.sum(Y).alias(Y)).repartition(width, *keys)
     spans = final.withColumn("_from", F.when(F.lag(TS).over(w).isNull(), ntz(start)).otherwise(F.col(TS))).withColumn(
         "_to", F.coalesce(F.lead(TS).over(w), ntz(end)) - hours(1)
     )

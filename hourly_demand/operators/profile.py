@@ -19,10 +19,17 @@ from .windows import lags
 PERCENTILES = {"p01": 0.01, "p05": 0.05, "p50": 0.5, "p95": 0.95, "p99": 0.99}
 
 
-def target_stats(df: DataFrame, by: Sequence[str] = (), value: str = Y, approximate: bool = False) -> DataFrame:
+def target_stats(
+    df: DataFrame,
+    by: Sequence[str] = (),
+    value: str = Y,
+    approximate: bool = False,
+    single_series: bool = False,
+) -> DataFrame:
     """Count, mean, sample deviation, extremes and percentiles of the known values.
 
-    `approximate` replaces the exact percentiles by a mergeable sketch in the same pass.
+    `approximate` replaces the exact percentiles by a mergeable sketch. `single_series` states that
+    each group is one series, so that the exact ones fit into the same pass.
     """
     v = F.col(value).cast("double")
     basics = [
@@ -32,9 +39,10 @@ def target_stats(df: DataFrame, by: Sequence[str] = (), value: str = Y, approxim
         F.min(v).alias("min"),
         F.max(v).alias("max"),
     ]
-    if approximate:
-        sketch = F.percentile_approx(v, list(PERCENTILES.values()), 10000)
-        out = df.groupBy(*by).agg(*basics, sketch.alias("_p"))
+    if approximate or single_series:
+        shares = list(PERCENTILES.values())
+        cuts = F.percentile_approx(v, shares, 10000) if approximate else F.percentile(v, F.array(*map(F.lit, shares)))
+        out = df.groupBy(*by).agg(*basics, cuts.alias("_p"))
         return out.select(*[c for c in out.columns if c != "_p"], *_unpack("_p"))
     exact = quantiles(df, value, PERCENTILES, by).drop("n")
     return attach(df.groupBy(*by).agg(*basics), exact, by, "left")

@@ -96,12 +96,22 @@ def quantiles(
     by: Sequence[str] = (),
     count_name: str = "n",
     weight: str | None = None,
+    single_series: bool = False,
 ) -> DataFrame:
-    """Exact quantiles per group with linear interpolation between neighbours."""
+    """Exact quantiles per group with linear interpolation between neighbours.
+
+    `single_series` states that a group is one series, which has at most one row per hour. Its
+    values then fit into one aggregate and the table is read once.
+    """
+    if not all(0 <= p <= 1 for p in probs.values()):
+        raise ValueError("probabilities must lie in [0, 1]")
+    if single_series:
+        known = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+        cuts = F.percentile(known, F.array(*[F.lit(float(p)) for p in probs.values()]))
+        made = df.groupBy(*by).agg(F.count(known).alias(count_name), cuts.alias("_cuts"))
+        return made.select(*by, count_name, *[F.get("_cuts", F.lit(i)).alias(c) for i, c in enumerate(probs)])
     wanted = {}
     for name, p in probs.items():
-        if not 0 <= p <= 1:
-            raise ValueError("probabilities must lie in [0, 1]")
         wanted[f"_lo_{name}"] = lambda n, p=p: F.floor(_position(n, p)) + 1
         wanted[f"_hi_{name}"] = lambda n, p=p: F.ceil(_position(n, p)) + 1
     picked = select_ranks(df, value, wanted, by, count_name, weight)

@@ -10,16 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import TS, Y, Protocol, Span
-from ..functions.errors import METHODS, interval_scale
+from ..functions.errors import METHODS
 from ..functions.time import in_span, ntz
 from ..operators.groups import attach, exploded_literals
-from ..operators.intervals import apply_radius, bounds, conformal_radii
+from ..operators.intervals import apply_radius, bounds, conformal_radii, with_series_radius
 from ..operators.metrics import interval_scores, interval_summary, leaderboard, score_columns, with_errors
-from ..operators.ranks import conformal_rank
 from ..operators.selection import champion, choose_interval
 
 ROLES = ("is_fit", "is_core", "is_early", "is_calibration", "is_valid")
@@ -185,24 +184,6 @@ def _only(protocol: Protocol, fold: Span) -> Protocol:
     return replace(protocol, folds=(fold,))
 
 
-def with_series_radius(
-    rows: DataFrame, by: Sequence[str], calibration: Column, protocol: Protocol, method: Column
-) -> DataFrame:
-    """Adds the conformal radius `q` of each group, taken from its calibration rows, in one pass.
-
-    For groups of a single series only: they hold at most one row per hour of the spans, so a
-    window is safe and neither a join nor a second computation of the table is needed. Groups of
-    many series need `intervals.conformal_radii`.
-    """
-    score = F.abs(F.col(Y) - F.col("prediction")) / interval_scale("prediction", method)
-    group = Window.partitionBy(*by)
-    scored = rows.withColumn("_score", F.when(calibration, score)).withColumn("_n", F.count("_score").over(group))
-    rank = F.row_number().over(group.orderBy(F.asc_nulls_last("_score")))
-    wanted = conformal_rank(protocol.alpha, protocol.min_rows)(F.col("_n"))
-    marked = scored.withColumn("_hit", F.when(rank == wanted, F.col("_score")))
-    return marked.withColumn("q", F.max("_hit").over(group)).drop("_score", "_n", "_hit")
-
-
 def interval_cv(predicted: DataFrame, protocol: Protocol, keys: Sequence[str] = ()) -> DataFrame:
     """Coverage and width per candidate, fold and interval method, for each series.
 
@@ -212,7 +193,9 @@ def interval_cv(predicted: DataFrame, protocol: Protocol, keys: Sequence[str] =
     rows = predicted.filter("is_calibration OR is_valid").withColumn(
         "method", F.explode(F.array(*[F.lit(m) for m in METHODS]))
     )
-    rows = with_series_radius(rows, by, F.col("is_calibration"), protocol, F.col("method"))
+    rows = with_series_radius(
+        rows, by, F.col("is_calibration"), F.col("method"), protocol.alpha, min_n=protocol.min_rows
+    )
     return interval_scores(bounds(rows.filter("is_valid AND q IS NOT NULL"), "q", F.col("method")), by)
 
 
@@ -257,7 +240,9 @@ def final_predictions(
     else:
         rows = attach(rows, method.select(*keys, "method"), keys)
     calibration = F.col("period") == protocol.calibration.name
-    rows = with_series_radius(rows, [*keys, "candidate"], calibration, protocol, F.col("method"))
+    rows = with_series_radius(
+        rows, [*keys, "candidate"], calibration, F.col("method"), protocol.alpha, min_n=protocol.min_rows
+    )
     tests = rows.filter(~calibration & F.col("q").isNotNull())
     return with_errors(bounds(tests, "q", F.col("method")))
 

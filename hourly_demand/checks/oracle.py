@@ -237,9 +237,14 @@ def _spring_features() -> str:
     return _with_more(out, SPRING_PANEL)
 
 
-def _event_quantiles(source: str) -> str:
-    cuts = ", ".join(f"quantile_cont(value, {i / 10}::DOUBLE) AS d{i}" for i in range(1, 10))
-    return f"SELECT event_type, min(value) AS lo, max(value) AS hi, {cuts} FROM {source} GROUP BY event_type"
+def _deciles(value: str, by: str, source: str) -> str:
+    """Inner deciles by position in the sorted list, with the extremes."""
+    h = [f"((len(s) - 1) * {i * 0.1!r}e0)" for i in range(1, 10)]
+    cuts = ", ".join(
+        f"s[floor({x})::INT + 1] + (s[ceil({x})::INT + 1] - s[floor({x})::INT + 1]) * ({x} - floor({x})) AS d{i}"
+        for i, x in enumerate(h, 1)
+    )
+    return f"SELECT {by}, s[1] AS lo, s[len(s)] AS hi, {cuts} FROM (SELECT {by}, list_sort(list({value})) AS s FROM {source} GROUP BY {by})"
 
 
 def _edges(source: str, name: str) -> str:
@@ -247,7 +252,7 @@ def _edges(source: str, name: str) -> str:
     ds = ", ".join(f"d{i}" for i in range(1, 10))
     return (
         f"{name} AS (SELECT event_type, list_sort([x for x in list_distinct([{ds}]) if x > lo AND x < hi]) AS cuts "
-        f"FROM ({_event_quantiles(source)}))"
+        f"FROM ({_deciles('value', 'event_type', source)}))"
     )
 
 
@@ -269,11 +274,10 @@ SECOND = "(SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-16')"
 
 def _monitor() -> str:
     """Zone reference from the fit hours; zones with few distinct deciles have fewer bins."""
-    qs = ", ".join(f"quantile_cont(trips_count, {i / 10}::DOUBLE) AS d{i}" for i in range(1, 10))
     ds = ", ".join(f"d{i}" for i in range(1, 10))
     more = f"""
     fit AS (SELECT zone_id, trips_count FROM complete WHERE pickup_hour < TIMESTAMP '2024-01-23'),
-    cut AS (SELECT zone_id, min(trips_count) AS lo, max(trips_count) AS hi, {qs} FROM fit GROUP BY zone_id),
+    cut AS ({_deciles('trips_count', 'zone_id', 'fit')}),
     edges AS (SELECT zone_id, list_sort([x for x in list_distinct([{ds}]) if x > lo AND x < hi]) AS cuts FROM cut),
     bins AS (SELECT zone_id, unnest(generate_series(0, len(cuts))) AS bin FROM edges),
     ref AS (SELECT b.zone_id, b.bin, (coalesce(n, 0) + 0.5::DOUBLE) / sum(coalesce(n, 0) + 0.5::DOUBLE) OVER (PARTITION BY b.zone_id) AS share

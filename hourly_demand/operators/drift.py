@@ -13,7 +13,9 @@ from .groups import attach
 from .metrics import score_columns
 from .ranks import quantiles
 
-DECILES = {f"d{i:02d}": i / 10 for i in range(11)}
+# Multiples of a step of 0.1, so 0.30000000000000004 and not 0.3: where a decile falls exactly on a
+# value, this decides on which side of the edge the value lies.
+DECILES = {f"d{i:02d}": i * 0.1 for i in range(11)}
 PSI_LIMIT = 0.2
 COVERAGE_LIMIT = 0.85
 # Added to every bin count, so that empty bins keep a probability.

@@ -145,11 +145,13 @@ def autocorr(panel: DataFrame, offsets: Sequence[int] = (1, 24, 168), keys: Sequ
 
 
 def _corr(a: Column, b: Column) -> Column:
-    """Correlation, or NULL where one side does not vary."""
+    """Correlation over complete pairs, or NULL where one side does not vary.
+
+    The built-in `corr` fails on a constant side in ANSI mode, whatever surrounds it.
+    """
     both = a.isNotNull() & b.isNotNull()
     x, y = F.when(both, a), F.when(both, b)
-    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-    return F.when(varies, F.corr(x, y))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -89,6 +89,10 @@ def _position(n: Column, p: float) -> Column:
     return (n - 1).cast("double") * F.lit(float(p))
 
 
+def _between(lo: Column, hi: Column, position: Column) -> Column:
+    return lo + (hi - lo) * (position - F.floor(position))
+
+
 def quantiles(
     df: DataFrame,
     value: str,
@@ -107,9 +111,16 @@ def quantiles(
         raise ValueError("probabilities must lie in [0, 1]")
     if single_series:
         known = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
-        cuts = F.percentile(known, F.array(*[F.lit(float(p)) for p in probs.values()]))
-        made = df.groupBy(*by).agg(F.count(known).alias(count_name), cuts.alias("_cuts"))
-        return made.select(*by, count_name, *[F.get("_cuts", F.lit(i)).alias(c) for i, c in enumerate(probs)])
+        made = df.groupBy(*by).agg(F.count(known).alias(count_name), F.array_sort(F.collect_list(known)).alias("_sorted"))
+
+        def at(index: Column) -> Column:
+            return F.get("_sorted", index.cast("int"))
+
+        cuts = []
+        for name, p in probs.items():
+            h = _position(F.col(count_name), p)
+            cuts.append(_between(at(F.floor(h)), at(F.ceil(h)), h).alias(name))
+        return made.select(*by, count_name, *cuts)
     wanted = {}
     for name, p in probs.items():
         wanted[f"_lo_{name}"] = lambda n, p=p: F.floor(_position(n, p)) + 1
@@ -117,9 +128,8 @@ def quantiles(
     picked = select_ranks(df, value, wanted, by, count_name, weight)
     out = []
     for name, p in probs.items():
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        at = _position(F.col(count_name), p)
-        out.append((lo + (hi - lo) * (at - F.floor(at))).alias(name))
+        h = _position(F.col(count_name), p)
+        out.append(_between(F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), h).alias(name))
     return picked.select(*by, count_name, *out)
 
 

@@ -70,7 +70,7 @@ def fit_ridge(train: DataFrame, columns: Sequence[str], alpha: float, y: str = Y
     """
     train = train.select(*columns, y).persist()
     try:
-        size = train.agg(F.count("*").alias("n"), F.stddev_samp(y).alias("s")).first()
+        size = train.agg(F.count("*").alias("n"), F.stddev_pop(y).alias("s")).first()
         reg = alpha * (size["s"] or 1.0) / size["n"] if size["n"] else 0.0
         solver = LinearRegression(
             featuresCol="features",

@@ -360,7 +360,7 @@ def _violations(source: str) -> str:
     return f"""
     rows_ AS ({source}),
     v AS (SELECT zone_id, count(*) FILTER (t IS NULL) AS null_time, count(*) FILTER (t <> date_trunc('hour', t)) AS off_hour,
-                 count(t) - count(DISTINCT t) AS duplicate_hour,
+                 count(t) - count(DISTINCT date_trunc('hour', t)) AS duplicate_hour,
                  date_diff('hour', date_trunc('hour', min(t)), date_trunc('hour', max(t))) + 1
                    - count(DISTINCT date_trunc('hour', t)) AS missing_hour,
                  count(*) FILTER (y IS NULL OR isnan(y)) AS null_value, count(*) FILTER (isinf(y)) AS not_finite,

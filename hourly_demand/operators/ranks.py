@@ -1,7 +1,7 @@
 """Exact order statistics without gathering a group in one task.
 
 A value is mapped to a numbered slot by a monotone function of the value alone. Counts per slot
-are small (some ten thousand slots per group, whatever the number of rows), so a running sum over
+are bounded (some hundred thousand slots per group, whatever the number of rows), so a running sum over
 them finds the slot that holds a rank. Only the distinct values of that slot are then ordered.
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .groups import attach
 
-SLOTS_PER_OCTAVE = 4096
+SLOTS_PER_OCTAVE = 32768
 
 
 def _slot(v: Column) -> Column:

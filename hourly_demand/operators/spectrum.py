@@ -15,15 +15,19 @@ from .windows import interpolate_linear
 
 
 def detrend(filled: DataFrame, keys: Sequence[str] = (), value: str = "filled") -> DataFrame:
-    """Adds the position `j` in the series, its length `size`, and the residual `d` of a straight line."""
-    start = filled.groupBy(*keys).agg(F.min(hour_index(TS)).alias("_first"), F.count("*").alias("size"))
-    placed = attach(filled, start, keys).withColumn("j", (hour_index(TS) - F.col("_first")).cast("bigint"))
-    line = placed.groupBy(*keys).agg(
-        F.regr_slope(value, F.col("j").cast("double")).alias("_slope"),
-        F.regr_intercept(value, F.col("j").cast("double")).alias("_base"),
+    """Position `j` in the series, its length `size`, and the residual `d` of a straight line."""
+    hour = hour_index(TS)
+    line = filled.groupBy(*keys).agg(
+        F.min(hour).alias("_first"),
+        F.count("*").alias("size"),
+        F.regr_slope(value, hour.cast("double")).alias("_slope"),
+        F.avg(value).alias("_level"),
+        F.avg(hour.cast("double")).alias("_middle"),
+    )
+    residual = F.col(value) - F.col("_level") - F.col("_slope") * (hour - F.col("_middle"))
+    return attach(filled, line, keys).select(
+        *keys, (hour - F.col("_first")).cast("bigint").alias("j"), "size", residual.alias("d")
     )
-    residual = F.col(value) - (F.col("_base") + F.col("_slope") * F.col("j"))
-    return attach(placed, line, keys).select(*keys, "j", "size", residual.alias("d"))
 
 
 def periodogram(

@@ -36,18 +36,21 @@ def _counted_violations(
     off = F.col(TS) != floor_hour(TS)
     bad_null = F.lit(False) if allow_null else (F.col(Y).isNull() | F.isnan(y))
     not_finite = F.col(Y).isNotNull() & ~F.isnan(y) & ~is_finite(Y)
-    per_hour = panel.groupBy(*keys, TS).agg(
+    per_hour = panel.groupBy(*keys, hour_index(TS).alias("_i")).agg(
         F.count("*").alias("_rows"),
+        F.max(TS).alias(TS),
+        F.count_if(off).alias("_off"),
         F.count_if(bad_null).alias("_null"),
         F.count_if(not_finite).alias("_inf"),
         F.count_if(F.coalesce(y < 0, F.lit(False))).alias("_neg"),
     )
-    idx = hour_index(TS)
+    timed = F.col("_i").isNotNull()
+    span = F.max("_i") - F.min("_i") + 1 - F.count("_i")
     found = per_hour.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.when(F.col(TS).isNull(), F.col("_rows"))), F.lit(0)).alias("null_time"),
-        F.coalesce(F.sum(F.when(off, F.col("_rows"))), F.lit(0)).alias("off_hour"),
-        F.coalesce(F.sum(F.when(F.col(TS).isNotNull(), F.col("_rows") - 1)), F.lit(0)).alias("duplicate_hour"),
-        F.coalesce(F.max(idx) - F.min(idx) + 1 - F.count_distinct(idx), F.lit(0)).alias("missing_hour"),
+        F.coalesce(F.sum(F.when(~timed, F.col("_rows"))), F.lit(0)).alias("null_time"),
+        F.coalesce(F.sum("_off"), F.lit(0)).alias("off_hour"),
+        F.coalesce(F.sum(F.when(timed, F.col("_rows") - 1)), F.lit(0)).alias("duplicate_hour"),
+        F.coalesce(span, F.lit(0)).alias("missing_hour"),
         F.coalesce(F.sum("_null"), F.lit(0)).alias("null_value"),
         F.coalesce(F.sum("_inf"), F.lit(0)).alias("not_finite"),
         F.coalesce(F.sum("_neg"), F.lit(0)).alias("negative"),

@@ -101,10 +101,12 @@ def padded_history(history: DataFrame, target, delay: int, keys: Sequence[str] =
     target = target_hour(target)
     last = target - timedelta(hours=delay)
     tail = history.filter(F.col(TS) > ntz(last - timedelta(hours=HISTORY_HOURS))).filter(F.col(TS) <= ntz(last))
-    steps = F.sequence(ntz(last + timedelta(hours=1)), ntz(target), F.expr("INTERVAL '1' HOUR"))
-    ends = tail.filter(F.col(TS) == ntz(last)).select(*keys, TS).distinct()
-    future = ends.select(*keys, F.explode(steps).alias(TS), F.lit(None).cast("double").alias(Y))
-    return tail.select(*keys, TS, F.col(Y).cast("double").alias(Y)).unionByName(future)
+    # The newest row also emits the empty hours, so the history is read once.
+    onward = F.sequence(ntz(last), ntz(target), F.expr("INTERVAL '1' HOUR"))
+    hours = F.when(F.col(TS) == ntz(last), onward).otherwise(F.array(TS))
+    spread = tail.withColumn("_hour", F.explode(hours))
+    y = F.when(F.col("_hour") == F.col(TS), F.col(Y).cast("double"))
+    return spread.select(*keys, F.col("_hour").alias(TS), y.alias(Y))
 
 
 def forecast(
@@ -133,6 +135,8 @@ def forecast(
     # Every series is predicted and the unusable ones are blanked, so the status is computed once.
     table = features(padded_history(history, target, model.delay, keys), model.delay, keys)
     row = table.filter(F.col(TS) == ntz(target_hour(target))).dropna(subset=["lag_168", *model.columns])
+    # A series with doubled hours has more than one such row; its status blanks it below.
+    row = row.dropDuplicates(list(keys) or [TS])
     predicted = apply_radius(model.predict(row), model.radii, model.keys)
     made = predicted.select(*keys, "prediction", "lower", "upper")
     usable = F.col("status") == "ok"

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..config import TS, Y, Rules, check_delay
 from ..functions.time import from_hour_index, hour_index
-from ..operators.cleaning import classify
+from ..operators.cleaning import classify, in_period, in_zones, valid_values
 from ..operators.drift import monitor
 from ..plans.forecast import ForecastModel, forecast
 
@@ -51,7 +51,7 @@ def stream_hourly(
     stream: DataFrame, rules: Rules, zones: DataFrame, delay: int = 1, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Kept trips per series for each closed hour, in append mode."""
-    kept = classify(stream, rules, zones).filter(F.col("verdict") == "kept")
+    kept = in_zones(stream.filter(in_period(stream, rules) & valid_values(rules)), zones)
     return stream_counts(kept, delay, list(keys)).withColumnRenamed("n", Y)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import TS, Y, Rules
-from ..functions.time import floor_hour, in_span
+from ..functions.time import in_span, ntz, scan_hour
 
 VERDICTS = ("date", "values", "zone", "kept")
 
@@ -76,10 +76,10 @@ def verdict_cube(trips: DataFrame, zones: DataFrame, rules: Rules) -> DataFrame:
     is applied to the counts. Hours of date rejects are dropped because they are unbounded.
     """
     months = ["file_month"] if "file_month" in trips.columns else []
-    before = _before_zone(trips, rules)
-    hour = F.when(before != "date", floor_hour("pickup_datetime"))
+    never_null = F.coalesce("pickup_datetime", ntz(rules.start))
     cube = (
-        trips.select(*months, "zone_id", hour.alias(TS), before.alias("_before"))
+        trips.select(*months, "zone_id", scan_hour(never_null).alias("_hour"), _before_zone(trips, rules).alias("_before"))
+        .select(*months, "zone_id", F.when(F.col("_before") != "date", F.col("_hour")).alias(TS), "_before")
         .groupBy(*months, "zone_id", TS, "_before")
         .agg(F.count("*").alias("n"))
     )
@@ -101,7 +101,7 @@ def kept_counts(trips: DataFrame, zones: DataFrame, rules: Rules, keys: Sequence
     """
     on = list(dict.fromkeys(["zone_id", *keys]))
     kept = trips.filter(in_period(trips, rules) & valid_values(rules))
-    per_zone = kept.groupBy(*on, floor_hour("pickup_datetime").alias(TS)).agg(F.count("*").alias(Y))
+    per_zone = kept.select(*on, scan_hour("pickup_datetime").alias(TS)).groupBy(*on, TS).agg(F.count("*").alias(Y))
     return in_zones(per_zone, zones).select(*keys, TS, Y)
 
 

@@ -1,8 +1,8 @@
 """Exact order statistics without gathering a group in one task.
 
-A value is mapped to a numbered slot by a monotone function of the value alone. Counts per slot
-are bounded (some hundred thousand slots per group, whatever the number of rows), so a running sum over
-them finds the slot that holds a rank. Only the distinct values of that slot are then ordered.
+A value is mapped to a numbered slot by a monotone function of the value alone. There are some
+hundred thousand slots per group at most, whatever the number of rows, so a running sum over their
+counts finds the slot that holds a rank. Only the distinct values of that slot are then ordered.
 """
 
 from __future__ import annotations
@@ -19,23 +19,22 @@ SLOTS_PER_OCTAVE = 32768
 
 def _slot(v: Column) -> Column:
     size = F.log2(F.lit(1.0) + F.abs(v) * 1024) * SLOTS_PER_OCTAVE
-    # Never NULL, so that the join below adds no filter and both uses of the ties share one shuffle.
+    # Never NULL, so that the join on it adds no filter.
     return F.coalesce(F.floor(F.signum(v) * size), F.lit(0))
 
 
-def count_ties(df: DataFrame, value: str, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
-    """Known values per group with the number of rows that have them."""
+def _known_values(df: DataFrame, value: str, by: Sequence[str], weight: str | None) -> DataFrame:
+    """Rows (by, _v, _w) whose value and group are known."""
     known = F.col("_v").isNotNull() & ~F.isnan("_v")
     for key in by:
         known = known & F.col(key).isNotNull()
-    size = F.count("*") if weight is None else F.sum("_w")
-    extra = [] if weight is None else [F.col(weight).alias("_w")]
-    return (
-        df.select(*by, F.col(value).cast("double").alias("_v"), *extra)
-        .filter(known)
-        .groupBy(*by, "_v")
-        .agg(size.alias("_c"))
-    )
+    size = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+    return df.select(*by, F.col(value).cast("double").alias("_v"), size.alias("_w")).filter(known)
+
+
+def count_ties(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """Known values per group with the number of rows that have them."""
+    return _known_values(df, value, by, None).groupBy(*by, "_v").agg(F.count("*").alias("_c"))
 
 
 def select_ranks(
@@ -49,15 +48,19 @@ def select_ranks(
     """Per group, the value at each 1-based rank in ascending order.
 
     Missing values and rows with a NULL in `by` are ignored. `ranks` maps an output column to a
-    function from the number of values to the wanted rank. A rank outside 1..n gives NULL. Equal
-    values are merged before the shuffle. With `weight`, a row stands for that many equal values.
+    function from the number of values to the wanted rank. A rank outside 1..n gives NULL. With
+    `weight`, a row stands for that many equal values.
+
+    The rows are read twice: once to count the slots, which shuffles only the counts, and once to
+    fetch the values of the slots that hold a wanted rank. Equal values are merged before they
+    are ordered.
     """
     by = list(by)
-    ties = count_ties(df, value, by, weight).withColumn("_slot", _slot(F.col("_v")))
+    rows = _known_values(df, value, by, weight).withColumn("_slot", _slot(F.col("_v")))
     per_group = Window.partitionBy(*by)
     slots = (
-        ties.groupBy(*by, "_slot")
-        .agg(F.sum("_c").alias("_c"))
+        rows.groupBy(*by, "_slot")
+        .agg(F.sum("_w").alias("_c"))
         .withColumn("_n", F.sum("_c").over(per_group))
         .withColumn("_below", F.sum("_c").over(per_group.orderBy("_slot")) - F.col("_c"))
     )
@@ -72,9 +75,14 @@ def select_ranks(
         .filter((F.col("rank") > F.col("_below")) & (F.col("rank") <= F.col("_below") + F.col("_c")))
         .select(*by, "_slot", "_n", "_below", F.col("name").alias("_name"), F.col("rank").alias("_rank"))
     )
+    if not by:
+        # One row per wanted rank, so the rows of all other slots are dropped on the scan.
+        targets = F.broadcast(targets)
     in_slot = Window.partitionBy(*by, "_name").orderBy("_v")
     return (
-        ties.join(targets, [*by, "_slot"])
+        rows.join(targets, [*by, "_slot"])
+        .groupBy(*by, "_name", "_n", "_below", "_rank", "_v")
+        .agg(F.sum("_w").alias("_c"))
         .withColumn("_upto", F.col("_below") + F.sum("_c").over(in_slot))
         .filter(F.col("_upto") >= F.col("_rank"))
         .groupBy(*by)

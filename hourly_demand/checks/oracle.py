@@ -444,7 +444,7 @@ def oracle() -> dict[str, str]:
     out["audit"] = sql(f"SELECT zone_id, {audit_cols} FROM judged GROUP BY zone_id")
     out["audit_city"] = sql(f"SELECT {audit_cols} FROM judged")
     out["observed_hours"] = sql("SELECT DISTINCT pickup_hour FROM judged WHERE verdict <> 'date'")
-    out["metric_scores"] = sql(
+    out["metrics"] = sql(
         f"""SELECT zone_id, period, count(*) AS n, 0::BIGINT AS n_bad, {r('avg(abs_error)', 'MAE')},
                    {r('sqrt(avg(abs_error * abs_error))', 'RMSE')},
                    {r('CASE WHEN sum(trips_count) <> 0 THEN 100 * sum(abs_error) / sum(trips_count) END', 'WAPE_pct')}
@@ -698,7 +698,7 @@ def oracle() -> dict[str, str]:
         """SELECT current_hour, current_hour = TIMESTAMP '2024-01-15 12:00:00' AS ok, count(*) AS n
            FROM (SELECT date_trunc('hour', pickup_datetime - INTERVAL 5 HOUR) AS current_hour FROM trips) GROUP BY ALL"""
     )
-    out["build_city_panel"] = sql("SELECT * FROM city")
+    out["build_panel"] = sql("SELECT * FROM city")
     out["build_zone_panel"] = sql("SELECT * FROM panel")
     out["features"] = sql(f"SELECT zone_id, pickup_hour, trips_count, {_feature_out(FEATURE_COLS)} FROM feat")
     out["features_city"] = sql(

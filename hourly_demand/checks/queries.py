@@ -46,7 +46,7 @@ SCENARIOS = [("cheap", 1.0, 1.0), ("base", 3.0, 1.0), ("strict", 10.0, 1.0)]
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__.removesuffix("_")] = fn
     return fn
 
 
@@ -343,7 +343,7 @@ def observed_hours(spark, sf):
 
 
 @query
-def metric_scores(spark, sf):
+def metrics_(spark, sf):
     return rounded(metrics.metrics(predictions(spark, sf), ["zone_id", "period"]))
 
 
@@ -686,7 +686,7 @@ def live_check(spark, sf):
 
 
 @query
-def build_city_panel(spark, sf):
+def build_panel_(spark, sf):
     return city_panel(spark, sf)
 
 

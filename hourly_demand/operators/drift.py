@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import Y
 from ..functions.errors import is_finite
-from .groups import attach
+from .groups import attach, sized
 from .metrics import score_columns
 from .ranks import quantiles
 
@@ -72,6 +72,8 @@ def reference_distribution(
     `single_series` states that each group is one series; its deciles then take one pass.
     """
     edges = reference_edges(df, by, value, single_series)
+    if by and not single_series:
+        edges = sized(edges)
     known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     counted = (
         attach(known, edges, by)
@@ -107,13 +109,19 @@ def psi(
     """
     known = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     counted = (
-        attach(known, reference, ref_by)
+        attach(known, _reference(reference, ref_by), ref_by)
         .groupBy(*by)
         .agg(*_drift_aggregates(F.col("_v")), F.count("*").alias("n"))
     )
     return counted.select(*by, _psi_of_group().alias("psi"), "n")
 
 
+def _reference(reference: DataFrame, ref_by: Sequence[str]) -> DataFrame:
+    """The reference, stored and sized when there are several."""
+    reference = reference.select(*ref_by, "edges", "probabilities")
+    return sized(reference) if ref_by else reference
+
+
 def _drift_aggregates(v: Column) -> list[Column]:
     return [
         _bin_counts(v, F.col("edges")).alias("_counts"),
@@ -152,7 +160,7 @@ def monitor(
     if "covered" not in pred.columns:
         pred = pred.withColumn("covered", F.col(y).between(F.col("lower"), F.col("upper")))
     out = (
-        attach(pred, reference.select(*ref_by, "edges", "probabilities"), ref_by)
+        attach(pred, _reference(reference, ref_by), ref_by)
         .groupBy(*by)
         .agg(
             *score_columns(y)[:5],

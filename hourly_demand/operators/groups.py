@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import checkpoint_root
+
+BROADCAST_ROWS = 100_000
+
 
 def attach(df: DataFrame, summary: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
     """Joins a per-group summary back to the rows.
@@ -20,6 +24,19 @@ def attach(df: DataFrame, summary: DataFrame, by: Sequence[str], how: str = "inn
     return df.withColumns({c: summary.select(c).scalar() for c in summary.columns})
 
 
+def sized(summary: DataFrame) -> DataFrame:
+    """Stores a per-group summary and marks it for broadcast if it proves small. Runs jobs.
+
+    The size of an aggregate is not known before it has run, so Spark would plan a join that
+    shuffles the rows, all rows of a hot group to one task. With the summary stored, its rows are
+    counted: a small one is broadcast and the rows stay where they are; a large one has so many
+    groups that the join is left to Catalyst, with AQE splitting skewed partitions.
+    """
+    checkpoint_root(summary.sparkSession)
+    stored = summary.checkpoint()
+    return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
+
+
 def exploded_literals(rows: list[dict]) -> Column:
     """A literal array of structs for a handful of configured rows (folds, periods, scenarios)."""
     return F.array(*[F.struct(*[_lit(v).alias(k) for k, v in row.items()]) for row in rows])

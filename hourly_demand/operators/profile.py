@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import TS, Y
 from ..functions.time import floor_day
-from .groups import attach
+from .groups import attach, sized
 from .ranks import quantiles
 from .windows import lags
 
@@ -109,7 +109,8 @@ def distinct_days(df: DataFrame, by: Sequence[str] = (), ts: str = TS) -> DataFr
 def histogram(df: DataFrame, value: str = Y, bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
     """Counts in equal-width bins between minimum and maximum; the last bin is closed on the right.
 
-    Empty bins are listed. A constant sample uses the unit interval around its value.
+    Empty bins are listed. A constant sample uses the unit interval around its value. With groups,
+    the limits are computed at once.
     """
     v = F.col(value).cast("double")
     known = df.filter(v.isNotNull()).select(*by, v.alias("_v"))
@@ -120,6 +121,8 @@ def histogram(df: DataFrame, value: str = Y, bins: int = 50, by: Sequence[str] =
         F.when(flat, F.col("_a") - 0.5).otherwise(F.col("_a")).alias("_a"),
         F.when(flat, F.col("_b") + 0.5).otherwise(F.col("_b")).alias("_b"),
     )
+    if by:
+        limits = sized(limits)
     width = (F.col("_b") - F.col("_a")) / bins
     number = F.least(F.lit(bins - 1), F.floor((F.col("_v") - F.col("_a")) / width)).cast("int")
     counted = attach(known, limits, by).groupBy(*by, number.alias("bin")).agg(F.count("*").alias("n"))

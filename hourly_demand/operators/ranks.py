@@ -12,13 +12,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .groups import attach
+from .groups import attach, sized
 
-SLOTS_PER_OCTAVE = 32768
+# Slots per doubling of the value. Fewer with groups, so that the counts per group and slot stay far
+# fewer than the rows.
+SLOTS_GLOBAL = 32768
+SLOTS_GROUPED = 1024
 
 
-def _slot(v: Column) -> Column:
-    size = F.log2(F.lit(1.0) + F.abs(v) * 1024) * SLOTS_PER_OCTAVE
+def _slot(v: Column, per_octave: int) -> Column:
+    size = F.log2(F.lit(1.0) + F.abs(v) * 1024) * per_octave
     # Never NULL, so that the join on it adds no filter.
     return F.coalesce(F.floor(F.signum(v) * size), F.lit(0))
 
@@ -32,11 +35,6 @@ def _known_values(df: DataFrame, value: str, by: Sequence[str], weight: str | No
     return df.select(*by, F.col(value).cast("double").alias("_v"), size.alias("_w")).filter(known)
 
 
-def count_ties(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """Known values per group with the number of rows that have them."""
-    return _known_values(df, value, by, None).groupBy(*by, "_v").agg(F.count("*").alias("_c"))
-
-
 def select_ranks(
     df: DataFrame,
     value: str,
@@ -53,10 +51,12 @@ def select_ranks(
 
     The rows are read twice: once to count the slots, which shuffles only the counts, and once to
     fetch the values of the slots that hold a wanted rank. Equal values are merged before they
-    are ordered.
+    are ordered. With groups, the first pass runs at once.
     """
     by = list(by)
-    rows = _known_values(df, value, by, weight).withColumn("_slot", _slot(F.col("_v")))
+    rows = _known_values(df, value, by, weight).withColumn(
+        "_slot", _slot(F.col("_v"), SLOTS_GROUPED if by else SLOTS_GLOBAL)
+    )
     per_group = Window.partitionBy(*by)
     slots = (
         rows.groupBy(*by, "_slot")
@@ -75,9 +75,9 @@ def select_ranks(
         .filter((F.col("rank") > F.col("_below")) & (F.col("rank") <= F.col("_below") + F.col("_c")))
         .select(*by, "_slot", "_n", "_below", F.col("name").alias("_name"), F.col("rank").alias("_rank"))
     )
-    if not by:
-        # One row per wanted rank, so the rows of all other slots are dropped on the scan.
-        targets = F.broadcast(targets)
+    # Without groups there is one row per wanted rank. Broadcast targets drop the rows of all other
+    # slots on the scan.
+    targets = sized(targets) if by else F.broadcast(targets)
     in_slot = Window.partitionBy(*by, "_name").orderBy("_v")
     return (
         rows.join(targets, [*by, "_slot"])
@@ -169,13 +169,11 @@ def median(
 def mad_outliers(
     df: DataFrame, value: str, by: Sequence[str] = (), k: float = 6.0, floor: float = 1.0
 ) -> DataFrame:
-    """Rows further than k times the median absolute deviation (at least `floor`) from the median.
-
-    Both medians come from the counted distinct values; the rows are read once more for the test.
-    """
-    ties = count_ties(df, value, by)
-    center = median(ties, "_v", by, "center", "_c")
-    off = attach(ties, center, by).withColumn("_off", F.abs(F.col("_v") - F.col("center")))
-    spread = median(off, "_off", by, "mad", "_c")
-    measured = attach(df, attach(center, spread, by), by).withColumn("deviation", F.abs(F.col(value) - F.col("center")))
-    return measured.filter(F.col("deviation") > F.lit(float(k)) * F.greatest(F.lit(float(floor)), F.col("mad")))
+    """Rows further than k times the median absolute deviation (at least `floor`) from the median."""
+    center = median(df, value, by, "center")
+    measured = attach(df, sized(center) if by else center, by).withColumn(
+        "deviation", F.abs(F.col(value) - F.col("center"))
+    )
+    spread = median(measured, "deviation", by, "mad")
+    out = attach(measured, sized(spread) if by else spread, by)
+    return out.filter(F.col("deviation") > F.lit(float(k)) * F.greatest(F.lit(float(floor)), F.col("mad")))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, mixing, sharding, simhash, url_filter
 from .common import table
 
 
@@ -16,6 +17,87 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, ranks, public_tokenizers.PATTERN, ids=False).drop("text")
 
 
-QUERIES = {"op1_byte_bpe": op1_byte_bpe}
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 4-word shingles, at most 4 different bits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, shingle=4, distance=4)
+    return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+#: The list of op6.
+URL_RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = table(spark, sf_dir, "documents")
+    narrow = docs.select("doc_id", "source", mixing.words(F.col("text")).alias("words"))
+    return mixing.mix(narrow, F.array("source"), key=["doc_id"], size=F.col("words")).drop("source", "words")
+
+
+#: Bytes of text in a shard.
+SHARD_BYTES = 16 << 20
+
+
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document."""
+    return sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARD_BYTES).drop("text")
+
+
+QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
+    "op3_simhash": op3_simhash,
+    "op6_url_filter": op6_url_filter,
+    "op8_source_mix": op8_source_mix,
+    "op10_shards": op10_shards,
+}
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op6_url_filter": """
+        WITH u AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), p AS (
+            SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw,
+                   regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+            FROM u
+        ), h AS (
+            SELECT page_id, path,
+                   translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+            FROM p
+        ), r(action, rhost, rpath) AS (
+            VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+        ), f AS (
+            SELECT page_id, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(action, length(rhost || rpath)) AS verdict
+            FROM h JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+            GROUP BY page_id
+        )
+        SELECT h.page_id, h.host, h.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+        FROM h LEFT JOIN f USING (page_id)""",
+    "op10_shards": f"""
+        WITH d AS (
+            SELECT doc_id, coalesce(strlen(text), 0) AS n_bytes,
+                   ('0x' || substr(md5(md5(coalesce(doc_id::VARCHAR, '')) || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
+            FROM documents
+        ), k AS (
+            SELECT h, n_bytes, g.depth, h >> (60 - g.depth) AS prefix FROM d, (SELECT unnest(range(0, 31))::BIGINT AS depth) g
+        ), n AS (
+            SELECT depth, prefix, sum(n_bytes)::BIGINT AS shard_bytes FROM k GROUP BY ALL
+        ), s AS (
+            SELECT d.doc_id, d.n_bytes, d.h, min_by(n.depth, n.depth) AS depth, min_by(n.shard_bytes, n.depth) AS shard_bytes
+            FROM d JOIN n ON n.prefix = d.h >> (60 - n.depth)::BIGINT
+            WHERE n.shard_bytes <= {SHARD_BYTES} GROUP BY ALL
+        )
+        SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE right(bin(h + (1::BIGINT << 60)), 60)[1:depth] END AS shard,
+               depth::INTEGER AS depth, shard_bytes, TRUE AS fits
+        FROM s""",
+}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, sharding, simhash, url_filter
+from . import bpe, mixing, sharding, simhash, toxicity, url_filter
 from .common import table
 
 
@@ -17,6 +17,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, ranks, public_tokenizers.PATTERN, ids=False).drop("text")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; a third of the keys is held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.judge(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, at most 4 different bits."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,6 +62,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
     "op6_url_filter": op6_url_filter,
     "op8_source_mix": op8_source_mix,

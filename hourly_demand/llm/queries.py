@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, sharding, simhash, toxicity, url_filter
+from . import ann, bpe, mixing, sharding, simhash, topk, toxicity, url_filter
 from .common import table
 
 
@@ -30,6 +30,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest scores of every 50th vector against all others."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 #: The list of op6.
 URL_RULES = [
     url_filter.Rule("block", "net", "/"),
@@ -44,6 +49,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).drop("url")
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors found for every 50th one."""
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -64,12 +74,25 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
+    "op4_topk": op4_topk,
     "op6_url_filter": op6_url_filter,
+    "op7_ann": op7_ann,
     "op8_source_mix": op8_source_mix,
     "op10_shards": op10_shards,
 }
 
 ORACLE = {
+    "op4_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op6_url_filter": """
         WITH u AS (
             SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, mixing, sharding, simhash, topk, toxicity, url_filter
+from . import ann, bpe, mixing, sharding, simhash, token_counts, topk, toxicity, url_filter
 from .common import table
 
 
@@ -35,6 +35,12 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every text; more than 2,048 tokens are over the limit."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), limit=2048).drop("text")
+
+
 #: The list of op6.
 URL_RULES = [
     url_filter.Rule("block", "net", "/"),
@@ -75,6 +81,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
     "op4_topk": op4_topk,
+    "op5_token_counts": op5_token_counts,
     "op6_url_filter": op6_url_filter,
     "op7_ann": op7_ann,
     "op8_source_mix": op8_source_mix,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, mixing, sharding, simhash, token_counts, topk, toxicity, url_filter
+from . import ann, bpe, mixing, sharding, simhash, substrings, token_counts, topk, toxicity, url_filter
 from .common import table
 
 
@@ -67,6 +67,21 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(narrow, F.array("source"), key=["doc_id"], size=F.col("words")).drop("source", "words")
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that every document loses, as another one has them too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substrings.repeats(docs)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", substrings.row_key("doc_id", "text").alias("row"))
+    joined = rows.join(found, "row", "left").drop("row")
+    return joined.withColumns(
+        {
+            "spans": F.coalesce(F.transform("spans", lambda s: F.concat(s["start"], F.lit("-"), s["end"])), F.array().cast("array<string>")),
+            "removed_words": F.coalesce("removed_words", F.lit(0).cast("bigint")),
+            "clusters": F.coalesce("clusters", F.array().cast("array<bigint>")),
+        }
+    )
+
+
 #: Bytes of text in a shard.
 SHARD_BYTES = 16 << 20
 
@@ -85,6 +100,7 @@ QUERIES = {
     "op6_url_filter": op6_url_filter,
     "op7_ann": op7_ann,
     "op8_source_mix": op8_source_mix,
+    "op9_substrings": op9_substrings,
     "op10_shards": op10_shards,
 }
 

@@ -78,6 +78,7 @@ def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
             "spans": F.coalesce(F.transform("spans", lambda s: F.concat(s["start"], F.lit("-"), s["end"])), F.array().cast("array<string>")),
             "removed_words": F.coalesce("removed_words", F.lit(0).cast("bigint")),
             "clusters": F.coalesce("clusters", F.array().cast("array<bigint>")),
+            "kept_in": F.coalesce("kept_in", F.array().cast("array<bigint>")),
         }
     )
 

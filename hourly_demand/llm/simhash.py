@@ -159,6 +159,13 @@ def spanning(lookups: np.ndarray, kept: np.ndarray, distance: int) -> pd.DataFra
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
+def _components_of(rows: DataFrame, distance: int, segments) -> DataFrame:
+    """fp and root, the smallest fingerprint of its component, for all fingerprints of rows."""
+    nodes = rows.select("fp").distinct()
+    found = components(links(nodes, distance, segments)).withColumnsRenamed({"node": "fp"})
+    return stored(nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "near-components")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, key: str = "doc_id", text: str = "text", segments=SEGMENTS) -> DataFrame:
     """One row per row of docs: key, fp and component_id, the smallest key reachable, itself included.
 
@@ -166,13 +173,28 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, key: s
     to a component; its id is null only if no row of it has a key. Repeated rows stay.
     """
     rows = stored(fingerprints(docs.select(key, text), shingle, text), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min(key).alias("low"))
-    found = components(links(nodes.select("fp"), distance, segments))
-    reached = nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = reached.groupBy("root").agg(F.min("low").alias("component_id"))
+    reached = _components_of(rows, distance, segments)
+    lows = rows.groupBy("fp").agg(F.min(key).alias("low")).join(reached, "fp")
+    lowest = lows.groupBy("root").agg(F.min("low").alias("component_id"))
     ids = reached.join(lowest, "root").select("fp", "component_id")
     return rows.join(ids, "fp").select(key, "fp", "component_id")
 
 
+def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4, key: str = "doc_id", text: str = "text", segments=SEGMENTS) -> DataFrame:
+    """docs with one row of each component: the one with the smallest key (nulls last), then text hash."""
+    marked = docs.withColumn("_text", F.xxhash64(text))
+    rows = stored(fingerprints(marked.select(key, "_text", text), shingle, text), "fingerprints")
+    own = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.col("_text").alias("text"))
+    of_fp = rows.groupBy("fp").agg(F.min(own).alias("low"), F.count(F.lit(1)).alias("n"))
+    kept = of_fp.join(_components_of(rows, distance, segments), "fp").groupBy("root").agg(F.min("low").alias("low"))
+    kept = stored(kept.select(F.col("low.key").alias("_key"), F.col("low.text").alias("_hash")).distinct(), "kept")
+    chosen = marked.join(kept, marked[key].eqNullSafe(kept["_key"]) & (marked["_text"] == kept["_hash"]), "left_semi")
+    # Rows that are the same in key and text are copies; most tables have none, and then no text moves.
+    same = rows.groupBy(key, "_text").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not same.isEmpty():
+        chosen = chosen.dropDuplicates([key, "_text"])
+    return chosen.drop("_text")
+
+
 def hex_fingerprint(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -19,7 +19,7 @@ punctuation.
 
 Equal rows (same key and text) are one document, they are treated alike and do not remove each
 other's text. Null texts are empty and stay null. Empty tables give no rows. Extra columns stay;
-columns named spans, removed_words or clusters are replaced.
+columns named spans, removed_words, clusters or kept_in are replaced.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import slices, stored, text_bytes
 from .components import components
@@ -263,8 +265,11 @@ def _same_start(a: list[str], b: list[str]) -> int:
     return n
 
 
-def _passages(flagged: DataFrame, text: str, least: int) -> DataFrame:
-    """Spans (start, end in characters) to remove of each document. flagged: row, text, hits."""
+def _passages(flagged: DataFrame, text: str, least: int, kind_of_key: str) -> DataFrame:
+    """Spans (start, end in characters) to remove of each document, the clusters of their paragraphs,
+    and the keys of the documents that keep them. flagged: row, text, hits."""
+
+    key_lists = pa.list_(to_arrow_type(T._parse_datatype_string(kind_of_key)))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,11 +279,11 @@ def _passages(flagged: DataFrame, text: str, least: int) -> DataFrame:
                 opens_of = np.searchsorted(cut.text[cut.opens], np.arange(part.num_rows + 1))
                 bounds = np.append(cut.opens, len(cut.words))
                 whole = data.tobytes()
-                rows, spans, words, clusters = [], [], [], []
+                rows, spans, words, clusters, keepers = [], [], [], [], []
                 for i, hits in enumerate(part.column("hits").to_pylist()):
                     hit = {h["number"]: h for h in hits}
                     a, b = int(bounds[opens_of[i]]), int(bounds[opens_of[i + 1]])
-                    found, total, of = [], 0, set()
+                    found, total, of, keep = [], 0, set(), set()
 
                     def some(x: int, y: int) -> list[str]:
                         return _plain([whole[cut.starts[w] : cut.stops[w]] for w in range(x, y)]).split(" ") if x < y else []
@@ -300,6 +305,7 @@ def _passages(flagged: DataFrame, text: str, least: int) -> DataFrame:
                             found.append((x, y))
                             total += y - x
                             of |= {hit[k]["cluster"] for k in range(number, last + 1)}
+                            keep |= {hit[k]["keeper"] for k in range(number, last + 1)}
                     if found:
                         base = int(ends[i])
                         head = whole[base : int(ends[i + 1])]
@@ -307,17 +313,18 @@ def _passages(flagged: DataFrame, text: str, least: int) -> DataFrame:
                         spans.append([{"start": len(head[: cut.starts[x] - base].decode()), "end": len(head[: cut.stops[y - 1] - base].decode())} for x, y in found])
                         words.append(total)
                         clusters.append(sorted(of))
+                        keepers.append(sorted(keep - {None}))
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.int64()), pa.array(spans, kind), pa.array(words, pa.int64()), pa.array(clusters, pa.list_(pa.int64()))],
-                    names=["row", "spans", "removed_words", "clusters"],
+                    [pa.array(rows, pa.int64()), pa.array(spans, kind), pa.array(words, pa.int64()), pa.array(clusters, pa.list_(pa.int64())), pa.array(keepers, key_lists)],
+                    names=["row", "spans", "removed_words", "clusters", "kept_in"],
                 )
 
-    return flagged.select("row", text, "hits").mapInArrow(passages, "row bigint, spans array<struct<start:int,end:int>>, removed_words bigint, clusters array<bigint>")
+    return flagged.select("row", text, "hits").mapInArrow(passages, f"row bigint, spans array<struct<start:int,end:int>>, removed_words bigint, clusters array<bigint>, kept_in array<{kind_of_key}>")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, least: int = LEAST) -> DataFrame:
-    """row (hash of key and text), spans, removed_words and clusters of the documents with passages to remove."""
+    """row (hash of key and text), spans, removed_words, clusters and kept_in (keys) of the documents with passages to remove."""
     rows = docs.select(F.col(key), F.coalesce(text, F.lit("")).alias(text)).withColumn("row", row_key(key, text)).where(F.length(text) > 0)
     keys = stored(_emitted(rows, text), "bands")
     shared = keys.groupBy("key").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a != b").select("key")
@@ -331,20 +338,20 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     found = components(_links(stored(contents, "contents"), similarity)).withColumnsRenamed({"node": "id", "root": "_root"})
     placed = members.join(found, "id", "left").withColumn("cluster", F.coalesce("_root", "id")).drop("_root", "words", "id")
     placed = placed.join(suspects.select("row", key), "row")
-    first = placed.groupBy("cluster").agg(F.min(F.struct(F.col(key).isNull(), F.col(key), F.col("row"), F.col("number"), F.col("left"), F.col("right"))).alias("kept"))
+    first = placed.groupBy("cluster").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key), F.col("row"), F.col("number"), F.col("left"), F.col("right"))).alias("kept"))
     others = placed.select("row", "number", "cluster").join(first, "cluster").where(F.col("row") != F.col("kept.row"))
-    flagged = others.groupBy("row").agg(F.collect_list(F.struct("number", "cluster", F.col("kept.left").alias("left"), F.col("kept.right").alias("right"))).alias("hits"))
-    return stored(_passages(suspects.join(flagged, "row"), text, least), "passages")
+    flagged = others.groupBy("row").agg(F.collect_list(F.struct("number", "cluster", F.col(f"kept.{key}").alias("keeper"), F.col("kept.left").alias("left"), F.col("kept.right").alias("right"))).alias("hits"))
+    return stored(_passages(suspects.join(flagged, "row"), text, least, docs.schema[key].dataType.simpleString()), "passages")
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, least: int = LEAST) -> DataFrame:
-    """docs without the passages, with spans (where they were), removed_words and clusters."""
+    """docs without the passages, with spans (where they were), removed_words, clusters and kept_in."""
     found = repeats(docs, key, text, similarity, least)
-    plain = docs.drop("spans", "removed_words", "clusters")
+    plain = docs.drop("spans", "removed_words", "clusters", "kept_in")
     joined = plain.withColumn("row", row_key(key, text)).join(found, "row", "left").drop("row")
     kept = without(F.col(text), F.col("spans"))
     return joined.withColumn(text, F.when(F.col("spans").isNull(), F.col(text)).otherwise(kept)).withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("bigint"))).select(
-        *plain.columns, "spans", "removed_words", "clusters"
+        *plain.columns, "spans", "removed_words", "clusters", "kept_in"
     )
 
 

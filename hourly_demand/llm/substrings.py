@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.window import Window
 
 from .common import slices, stored, text_bytes
 from .components import components
@@ -45,6 +46,8 @@ SIMILARITY = 0.8
 LEAST = 50
 REACH = 6
 BANDS = 2
+#: Words beside a passage that its ends may grow by.
+CONTEXT = 64
 #: Different paragraphs of a key that the join still turns into pairs, and members of a block beyond.
 JOINED = 16
 BLOCK = 512
@@ -99,9 +102,8 @@ class Cut:
         number = np.arange(len(opens)) - np.searchsorted(of, of)
         size = ends - opens
         shingle = np.zeros(n, np.uint64)
-        for k in range(SHINGLE):
-            part = self.words[k:] * np.uint64(2 * k + 3)
-            shingle[: n - k] += part
+        for k in range(min(SHINGLE, n)):
+            shingle[: n - k] += self.words[k:] * np.uint64(2 * k + 3)
         left = np.repeat(ends, size) - np.arange(n)
         whole = left >= SHINGLE
         short = np.flatnonzero(size < SHINGLE)
@@ -141,40 +143,51 @@ def _emitted(docs: DataFrame, text: str) -> DataFrame:
     return docs.select("row", text).mapInArrow(emitted, "key bigint, row bigint, number int")
 
 
-def _members(suspects: DataFrame, text: str) -> DataFrame:
-    """Words of the paragraphs with shared keys, and of their neighbours."""
+def _read(suspects: DataFrame, asked: str, text: str, schema: str, answer) -> DataFrame:
+    """Rows that answer(paragraphs, request) gives for every request of a document.
 
-    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    suspects has columns row, text and the list `asked`; paragraphs(a, b) gives the plain words of
+    the document's paragraphs a to b, and fewer at its ends.
+    """
+    names = [c.split(" ")[0] for c in schema.split(", ")]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text, 2 << 20):
                 data, ends = text_bytes(part.column(text))
                 cut = Cut(data, ends)
-                out = {"row": [], "number": [], "words": [], "left": [], "right": []}
                 opens_of = np.searchsorted(cut.text[cut.opens], np.arange(part.num_rows + 1))
                 bounds = np.append(cut.opens, len(cut.words))
                 whole, starts, stops = data.tobytes(), cut.starts, cut.stops
-                rows = part.column("row").to_numpy()
-                for i, numbers in enumerate(part.column("numbers").to_pylist()):
-                    a, b = int(opens_of[i]), int(opens_of[i + 1])
-                    plain: dict[int, str] = {}
-
-                    def of(p: int, a=a, b=b, plain=plain) -> str:
-                        if not a <= p < b:
-                            return ""
-                        if p not in plain:
-                            plain[p] = _plain([whole[starts[w] : stops[w]] for w in range(bounds[p], bounds[p + 1])])
-                        return plain[p]
-
-                    for number in sorted(set(numbers)):
-                        p = a + number
-                        for k, v in zip(out, (rows[i], number, of(p), of(p - 1), of(p + 1)), strict=True):
-                            out[k].append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["row"], pa.int64()), pa.array(out["number"], pa.int32()), *[pa.array(out[k], pa.string()) for k in ("words", "left", "right")]],
-                    names=list(out),
-                )
+                out = []
+                for i, requests in enumerate(part.column(asked).to_pylist()):
+                    first, last = int(opens_of[i]), int(opens_of[i + 1])
+
+                    def paragraphs(a: int, b: int, first=first, last=last) -> str:
+                        x, y = min(max(first + a, first), last), min(max(first + b, first), last)
+                        return _plain([whole[starts[w] : stops[w]] for w in range(bounds[x], bounds[y])])
+
+                    row = part.column("row")[i].as_py()
+                    out += [(row, *answer(paragraphs, r)) for r in requests]
+                kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+                types = [kinds[c.split(" ")[1]] for c in schema.split(", ")]
+                cols = zip(*out, strict=True) if out else [[] for _ in names]
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=names)
 
-    return suspects.select("row", text, "numbers").mapInArrow(members, "row bigint, number int, words string, left string, right string")
+    return suspects.select("row", text, asked).mapInArrow(read, schema)
+
+
+def _words_of(paragraphs, number: int):
+    return number, paragraphs(number, number + 1)
+
+
+def _beside(paragraphs, request: dict):
+    """CONTEXT words before (side -1) or after (side 1) a paragraph."""
+    number, side = request["number"], request["side"]
+    # A paragraph has a word at least.
+    a, b = (number - CONTEXT, number) if side < 0 else (number + 1, number + 1 + CONTEXT)
+    found = paragraphs(max(a, 0), max(b, 0)).split(" ")
+    return number, side, " ".join(found[-CONTEXT:] if side < 0 else found[:CONTEXT])
 
 
 def shingles(words: Column) -> Column:
@@ -332,16 +345,38 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     numbers = hits.groupBy("row").agg(F.collect_set("number").alias("numbers"))
     # Equal rows are one document.
     suspects = stored(rows.join(numbers, "row").dropDuplicates(["row"]), "suspects")
-    members = stored(_members(suspects, text), "paragraphs").withColumn("id", F.xxhash64("words"))
+    members = stored(_read(suspects, "numbers", text, "row bigint, number int, words string", _words_of), "paragraphs")
+    members = members.withColumn("id", F.xxhash64("words"))
     of_key = members.select("row", "number", "id").join(hits, ["row", "number"])
     contents = members.groupBy("id").agg(F.first("words").alias("words")).join(of_key.groupBy("id").agg(F.collect_set("key").alias("keys")), "id")
     found = components(_links(stored(contents, "contents"), similarity)).withColumnsRenamed({"node": "id", "root": "_root"})
     placed = members.join(found, "id", "left").withColumn("cluster", F.coalesce("_root", "id")).drop("_root", "words", "id")
     placed = placed.join(suspects.select("row", key), "row")
-    first = placed.groupBy("cluster").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key), F.col("row"), F.col("number"), F.col("left"), F.col("right"))).alias("kept"))
-    others = placed.select("row", "number", "cluster").join(first, "cluster").where(F.col("row") != F.col("kept.row"))
-    flagged = others.groupBy("row").agg(F.collect_list(F.struct("number", "cluster", F.col(f"kept.{key}").alias("keeper"), F.col("kept.left").alias("left"), F.col("kept.right").alias("right"))).alias("hits"))
-    return stored(_passages(suspects.join(flagged, "row"), text, least, docs.schema[key].dataType.simpleString()), "passages")
+    own = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("keeper"), F.col("row").alias("k_row"), F.col("number").alias("k_number"))
+    first = placed.groupBy("cluster").agg(F.min(own).alias("kept")).select("cluster", "kept.keeper", "kept.k_row", "kept.k_number")
+    others = placed.select("row", "number", "cluster").join(first, "cluster").where(F.col("row") != F.col("k_row"))
+    along = Window.partitionBy("row").orderBy("number")
+    edges = stored(
+        others.withColumns(
+            {
+                "opens": F.coalesce(F.lag("number").over(along) != F.col("number") - 1, F.lit(True)),
+                "closes": F.coalesce(F.lead("number").over(along) != F.col("number") + 1, F.lit(True)),
+            }
+        ),
+        "edges",
+    )
+    # What stands beside the kept paragraphs where passages may end, asked once for each place.
+    at = lambda side, which: edges.where(which).select("k_row", F.struct(F.col("k_number").alias("number"), F.lit(side).alias("side")).alias("r"))
+    wanted = at(-1, "opens").unionByName(at(1, "closes")).distinct().groupBy(F.col("k_row").alias("row")).agg(F.collect_list("r").alias("asked"))
+    beside = _read(suspects.join(wanted, "row"), "asked", text, "row bigint, number int, side int, words string", _beside)
+    beside = stored(beside.select(F.col("row").alias("k_row"), F.col("number").alias("k_number"), "side", "words"), "beside")
+    for side, which, name in ((-1, "opens", "left"), (1, "closes", "right")):
+        words = beside.where(F.col("side") == side).select("k_row", "k_number", F.lit(True).alias(which), F.col("words").alias(name))
+        edges = edges.join(words, ["k_row", "k_number", which], "left")
+    hit = F.struct("number", "cluster", "keeper", F.coalesce("left", F.lit("")).alias("left"), F.coalesce("right", F.lit("")).alias("right"))
+    flagged = edges.groupBy("row").agg(F.collect_list(hit).alias("hits"))
+    kind = docs.schema[key].dataType.simpleString()
+    return stored(_passages(suspects.join(flagged, "row"), text, least, kind), "passages")
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, least: int = LEAST) -> DataFrame:

@@ -13,7 +13,8 @@ Search: a query looks into the lists whose centroids are at most `ratio` times a
 one. The ratio is set on the sample so that a share TARGET of the true neighbours of sampled queries
 lies in such lists. A list is cut into blocks of BLOCK vectors and its queries likewise, so a list
 that holds a third of all rows is many tasks. Cosines are computed from the original vectors, row by
-row, so equal vectors have equal scores wherever they lie. A query with fewer than k results, which
+row, so equal vectors have equal scores wherever they lie. The nearest list of a query is searched
+first; from the others only vectors come back that reach its k-th score there. A query with fewer than k results, which
 takes a tiny table or an odd distribution, is compared with all blocks.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, nor do rows without
@@ -39,7 +40,7 @@ LIST = 256
 MAX_LISTS = 16_384
 REPLICAS = 4
 OVERLAP = 0.05
-TARGET = 0.98
+TARGET = 0.95
 #: Sampled queries that the ratio is set on.
 PROBES = 256
 BLOCK = 512
@@ -204,10 +205,11 @@ def _placed(table: DataFrame, shared, of_query: bool) -> DataFrame:
                     ids, member = homes(u, index)
                 row, col = np.nonzero(member)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[row, col].astype(np.int32)), part.column("id").take(pa.array(row)), lists(v[row])], names=["list", "id", "v"]
+                    [pa.array(ids[row, col].astype(np.int32)), pa.array(col.astype(np.int32)), part.column("id").take(pa.array(row)), lists(v[row])],
+                    names=["list", "place", "id", "v"],
                 )
 
-    return table.select("id", "v").mapInArrow(placed, "list int, id bigint, v array<double>")
+    return table.select("id", "v").mapInArrow(placed, "list int, place int, id bigint, v array<double>")
 
 
 def _nearest(k: int):
@@ -216,13 +218,13 @@ def _nearest(k: int):
         out = [], [], []
         if len(queries) and len(kept):
             q, v = matrix(queries["v"]), matrix(kept["v"])
-            names, ids = queries["id"].to_numpy(), kept["id"].to_numpy()
+            names, ids, floor = queries["id"].to_numpy(), kept["id"].to_numpy(), queries["floor"].to_numpy()
             near = unit(q) @ unit(v).T
             near[names[:, None] == ids[None, :]] = -np.inf
             for i, row in enumerate(near):
                 least = np.partition(row, -k)[-k] if len(row) > k else -np.inf
                 # Rounding differs with the place in a product: what comes near the k-th is scored anew.
-                at = np.flatnonzero((row >= least - 1e-9) & (row > -np.inf))
+                at = np.flatnonzero((row >= max(least, floor[i]) - 1e-9) & (row > -np.inf))
                 if len(at):
                     score = cosine(np.broadcast_to(q[i], (len(at), q.shape[1])), v[at])
                     order = np.lexsort((ids[at], -score))
@@ -240,14 +242,15 @@ def _nearest(k: int):
 
 
 def _met(queries: DataFrame, kept: DataFrame, k: int) -> DataFrame:
-    """Nearest vectors of each query in each block of the lists it is in. Columns list, id, v."""
+    """Nearest vectors of each query in each block of the lists it is in. Columns list, id, v and, of
+    queries, floor: lower scores are of no use."""
     size = kept.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("kb"))
     many = queries.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("qb"))
     cut = size.join(many, "list")
     at = ["list", "a", "b"]
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    one = queries.join(cut, "list").withColumn("a", own("qb")).withColumn("b", each("kb")).select(*at, "id", "v")
+    one = queries.join(cut, "list").withColumn("a", own("qb")).withColumn("b", each("kb")).select(*at, "id", "v", "floor")
     two = kept.join(cut, "list").withColumn("b", own("kb")).withColumn("a", each("qb")).select(*at, "id", "v")
     return one.groupBy(at).cogroup(two.groupBy(at)).applyInArrow(_nearest(k), "query_id bigint, vec_id bigint, score double")
 
@@ -272,13 +275,19 @@ def search(table: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
         sample = kept.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()
         index = fit(unit(matrix(sample["v"])), rows, k)
         shared = spark.sparkContext.broadcast(tuple(index))
-        found = stored(_first(_met(_placed(queries, shared, True), _placed(kept, shared, False), k), k), "nearest")
+        posted = stored(_placed(kept, shared, False).drop("place"), "lists")
+        looking = stored(_placed(queries, shared, True), "lookups")
+        none = F.lit(float("-inf")).alias("floor")
+        near = stored(_first(_met(looking.where("place = 0").select("list", "id", "v", none), posted, k), k), "nearest")
+        floors = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+        rest = looking.where("place > 0").join(floors, "id", "left").withColumn("floor", F.coalesce("floor", none))
+        found = stored(_first(near.drop("rank").unionByName(_met(rest, posted, k)), k), "nearest")
         # Queries that found too few are compared with all vectors, in blocks.
         full = found.groupBy("query_id").count().where(F.col("count") >= min(k, rows - 1)).select("query_id")
         short = stored(queries.join(full, queries["id"] == full["query_id"], "left_anti"), "short")
         if not short.isEmpty():
             same = F.lit(0).alias("list")
-            exact = _first(_met(short.select(same, "id", "v"), kept.select(same, "id", "v"), k), k)
+            exact = _first(_met(short.select(same, "id", "v", none), kept.select(same, "id", "v"), k), k)
             found = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(exact)
         out = found if out is None else out.unionByName(found)
     return out if out is not None else spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")

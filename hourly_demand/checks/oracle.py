@@ -144,7 +144,7 @@ def with_inputs(body: str, *names: str) -> str:
     for name in reversed(order):
         if name in needed:
             needed |= {o for o in order[: order.index(name)] if _mentions(CTES[name], o)}
-    parts = ", ".join(f"{n} AS ({CTES[n]})" for n in order if n in needed)
+    parts = ", ".join(f"{n} AS MATERIALIZED ({CTES[n]})" for n in order if n in needed)
     return f"WITH {parts} {body}"
 
 

@@ -144,7 +144,7 @@ def union_months(spark, sf):
 @query
 def series_csv(spark, sf):
     path = shared.shared_folder(spark, "series-csv")
-    writers.write_table(city_panel(spark, sf).coalesce(1), path, "csv")
+    writers.write_table(city_panel(spark, sf), path, "csv")
     return readers.read_series_csv(spark, path)
 
 

@@ -36,7 +36,9 @@ def interval_scale(p: str | Column, method: str | Column) -> Column:
 def lower_bound(p: str | Column, q: str | Column, method: str | Column) -> Column:
     p_ = F.col(p) if isinstance(p, str) else p
     q_ = F.col(q) if isinstance(q, str) else q
-    return F.greatest(F.lit(0.0), p_ - q_ * interval_scale(p, method))
+    low = p_ - q_ * interval_scale(p, method)
+    # greatest() would turn an unknown bound into 0.
+    return F.when(low.isNotNull(), F.greatest(F.lit(0.0), low))
 
 
 def upper_bound(p: str | Column, q: str | Column, method: str | Column) -> Column:

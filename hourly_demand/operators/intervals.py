@@ -91,6 +91,9 @@ def bounds(df: DataFrame, q="q", method="absolute", p: str = "prediction") -> Da
     return df.withColumns({"lower": lower_bound(p, q, method), "upper": upper_bound(p, q, method)})
 
 
-def apply_radius(df: DataFrame, radii: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Joins radii (columns by, method, q) to predictions and adds the bounds."""
-    return bounds(attach(df, radii.select(*by, "method", "q"), by), "q", F.col("method"))
+def apply_radius(df: DataFrame, radii: DataFrame, by: Sequence[str] = (), how: str = "inner") -> DataFrame:
+    """Joins radii (columns by, method, q) to predictions and adds the bounds.
+
+    With `how="left"` predictions without a radius stay, with NULL bounds.
+    """
+    return bounds(attach(df, radii.select(*by, "method", "q"), by, how), "q", F.col("method"))

@@ -52,17 +52,24 @@ def _lag(name: str, k: int, w) -> Column:
 
 
 def _with_sums(df: DataFrame, w) -> DataFrame:
-    """Running count, sum and sum of squares within the chunk.
+    """Running count and sums within the chunk; NaN counts as missing.
 
     They turn each trailing window into two look-ups, so its cost does not depend on its length.
+    The sums for the deviation are taken from the chunk's first known value on: a deviation does
+    not change with it, and large values keep their digits.
     """
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    y = F.col(Y).cast("double")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    y = F.col("_y")
+    known = F.col(Y).cast("double")
+    df = df.withColumn("_y", F.when(~F.isnan(known), known))
+    df = df.withColumn("_d", y - F.first("_y", ignorenulls=True).over(whole))
     return df.withColumns(
         {
-            "_n": F.count(Y).over(running),
+            "_n": F.count("_y").over(running),
             "_s": F.coalesce(F.sum(y).over(running), F.lit(0.0)),
-            "_q": F.coalesce(F.sum(y * y).over(running), F.lit(0.0)),
+            "_e": F.coalesce(F.sum("_d").over(running), F.lit(0.0)),
+            "_q": F.coalesce(F.sum(F.col("_d") * F.col("_d")).over(running), F.lit(0.0)),
         }
     )
 
@@ -73,7 +80,7 @@ def _trailing(window: int, delay: int, w) -> dict[str, Column]:
 
     oldest = F.col("_i") - F.lag("_i", delay + window - 1).over(w)
     full = (oldest == delay + window - 1) & (span("_n") == window)
-    spread = F.greatest(F.lit(0.0), window * span("_q") - span("_s") * span("_s"))
+    spread = F.greatest(F.lit(0.0), window * span("_q") - span("_e") * span("_e"))
     return {
         "mean": F.when(full, span("_s") / window),
         "std": F.when(full, F.sqrt(spread) / window),

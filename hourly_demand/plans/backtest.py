@@ -188,6 +188,7 @@ def interval_cv(predicted: DataFrame, protocol: Protocol, keys: Sequence[str] =
     """Coverage and width per candidate, fold and interval method, for each series.
 
     The radius comes from the calibration rows of the fold, the scores from its validation rows.
+    Folds with too few calibration rows stay, with NULL coverage and width.
     """
     by = [*keys, "candidate", "fold", "method"]
     rows = predicted.filter("is_calibration OR is_valid").withColumn(
@@ -196,7 +197,7 @@ def interval_cv(predicted: DataFrame, protocol: Protocol, keys: Sequence[str] =
     rows = with_series_radius(
         rows, by, F.col("is_calibration"), F.col("method"), protocol.alpha, min_n=protocol.min_rows
     )
-    return interval_scores(bounds(rows.filter("is_valid AND q IS NOT NULL"), "q", F.col("method")), by)
+    return interval_scores(bounds(rows.filter("is_valid"), "q", F.col("method")), by)
 
 
 def pooled_interval_cv(predicted: DataFrame, protocol: Protocol) -> DataFrame:
@@ -228,7 +229,8 @@ def final_predictions(
     """Test rows with bounds from the calibration rows of the same series and candidate.
 
     `predicted` holds the predictions of both. `method` is one method for all series or a frame
-    (keys, method). Series whose calibration rows are too few have no radius and are left out.
+    (keys, method). Series whose calibration rows are too few have no radius: their rows keep the
+    prediction and its errors, with NULL bounds and the reason `too_few_calibration_rows`.
     """
     spans = [protocol.calibration, *protocol.periods]
     marks = exploded_literals([{"period": s.name, "start": ntz(s.start), "end": ntz(s.end)} for s in spans])
@@ -243,7 +245,8 @@ def final_predictions(
     rows = with_series_radius(
         rows, [*keys, "candidate"], calibration, F.col("method"), protocol.alpha, min_n=protocol.min_rows
     )
-    tests = rows.filter(~calibration & F.col("q").isNotNull())
+    reason = F.when(F.col("q").isNull(), "too_few_calibration_rows").alias("reason")
+    tests = rows.filter(~calibration).select("*", reason)
     return with_errors(bounds(tests, "q", F.col("method")))
 
 

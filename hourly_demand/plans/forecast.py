@@ -120,7 +120,8 @@ def forecast(
 ) -> DataFrame:
     """Prediction and bounds of the target hour per series, with the status of its history.
 
-    Series whose history is not usable keep a row without a forecast. `strict` raises instead.
+    Series whose history is not usable keep a row without a forecast; series without a radius keep
+    their prediction, without bounds, and the status no_radius. `strict` raises for unusable histories.
     `live` also demands that the target is the current local hour at `as_of`.
     """
     spark = history.sparkSession
@@ -137,14 +138,15 @@ def forecast(
     row = table.filter(F.col(TS) == ntz(target_hour(target))).dropna(subset=["lag_168", *model.columns])
     # A series with doubled hours has more than one such row; its status blanks it below.
     row = row.dropDuplicates(list(keys) or [TS])
-    predicted = apply_radius(model.predict(row), model.radii, model.keys)
+    predicted = apply_radius(model.predict(row), model.radii, model.keys, "left")
     made = predicted.select(*keys, "prediction", "lower", "upper")
     usable = F.col("status") == "ok"
+    bare = usable & F.col("prediction").isNotNull() & F.col("lower").isNull()
     return attach(status, made, keys, "left").select(
         *keys,
         ntz(target_hour(target)).alias(TS),
         *[F.when(usable, F.col(c)).alias(c) for c in ("prediction", "lower", "upper")],
-        "status",
+        F.when(bare, "no_radius").otherwise(F.col("status")).alias("status"),
     )
 
 

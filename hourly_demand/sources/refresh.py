@@ -8,8 +8,6 @@ leaves months that do not match and are simply made again.
 
 from __future__ import annotations
 
-import hashlib
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,24 +34,25 @@ def content_checksum(cols: Sequence[str]) -> Column:
 
 
 def rules_signature(rules: Rules, zones: DataFrame) -> str:
-    """SHA-256 of the value rules and of the zone set."""
-    zone_set = zones.select("zone_id").distinct().agg(content_checksum(["zone_id"]).alias("c")).first()["c"]
-    payload = {
-        "version": STORE_VERSION,
-        "max_distance": rules.max_distance,
-        "max_amount": rules.max_amount,
-        "zones": zone_set,
-    }
-    return hashlib.sha256(json.dumps(payload, sort_keys=True).encode()).hexdigest()
+    """SHA-256 of everything the counts depend on: period, time zone, value limits and the zone set."""
+    known = F.struct(
+        F.lit(STORE_VERSION).alias("store"),
+        *[F.lit(str(v)).alias(k) for k, v in vars(rules).items()],
+        content_checksum(["zone_id"]).alias("zone_set"),
+    )
+    return zones.select("zone_id").distinct().agg(F.sha2(F.to_json(known), 256).alias("s")).first()["s"]
 
 
 def input_months(spark: SparkSession, path: str, content: bool = False) -> DataFrame:
-    """Files per month with a fingerprint of their names, sizes and times, or of their content."""
+    """Files per month with a fingerprint of their names, sizes and times, or of their content.
+
+    A file whose name holds no month is an error: its trips would be lost without a word.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     mark = F.sha2("content", 256) if content else F.concat_ws("|", "path", "length", F.unix_micros("modificationTime"))
     return (
-        files.select(month_of_path("path").alias("file_month"), mark.alias("mark"))
-        .filter(F.col("file_month").isNotNull())
+        files.select(month_of_path("path").alias("file_month"), mark.alias("mark"), "path")
+        .withColumn("file_month", F.coalesce("file_month", F.raise_error(F.concat(F.lit("no month in the file name "), "path")).cast("date")))
         .groupBy("file_month")
         .agg(content_checksum(["mark"]).alias("fingerprint"))
     )

@@ -151,7 +151,7 @@ def series_csv(spark, sf):
 @query
 def write_panel(spark, sf):
     path = shared.shared_folder(spark, "panel")
-    writers.write_panel(zone_panel(spark, sf), path)
+    writers.write_panel(zone_panel(spark, sf), path, keys=KEYS)
     return spark.read.parquet(path)
 
 

@@ -42,7 +42,8 @@ def _bin_counts(v: Column, edges: Column) -> Column:
 
 def _shares(counts: Column, edges: Column) -> Column:
     """Smoothed share of each bin."""
-    bins = F.size(edges) - 1
+    many = F.raise_error(F.lit(f"a reference may have at most {MAX_BINS} bins")).cast("int")
+    bins = F.when(F.size(edges) > MAX_BINS + 1, many).otherwise(F.size(edges) - 1)
     smoothed = F.transform(F.slice(counts, F.lit(1), bins), lambda c: c + BIN_PRIOR)
     total = F.aggregate(smoothed, F.lit(0.0), lambda s, c: s + c)
     return F.transform(smoothed, lambda c: c / total)

@@ -16,12 +16,23 @@ def attach(df: DataFrame, summary: DataFrame, by: Sequence[str], how: str = "inn
     """Joins a per-group summary back to the rows.
 
     With groups, the join strategy is left to Catalyst and AQE, which broadcast the summary
-    only when its measured size is small. Without groups the summary is a single row, read as a
-    scalar subquery, so there is no join; more than one row is an error.
+    only when its measured size is small; a NULL in `by` is a group like any other. Without groups
+    the summary is a single row, read as one scalar subquery of all its columns, so there is no
+    join; more than one row is an error.
     """
     if by:
-        return df.join(summary, list(by), how)
-    return df.withColumns({c: summary.select(c).scalar() for c in summary.columns})
+        return null_safe_join(df, summary, by, how)
+    row = summary.select(F.struct(*summary.columns).alias("_row")).scalar()
+    return df.withColumn("_row", row).withColumns({c: F.col("_row")[c] for c in summary.columns}).drop("_row")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal or both NULL columns, which appear once."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in by})
+    same = F.lit(True)
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in by])
 
 
 def sized(summary: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .groups import attach, sized
+from .groups import attach, null_safe_join, sized
 
 # Slots per doubling of the value. Fewer with groups, so that the counts per group and slot stay far
 # fewer than the rows.
@@ -27,10 +27,8 @@ def _slot(v: Column, per_octave: int) -> Column:
 
 
 def _known_values(df: DataFrame, value: str, by: Sequence[str], weight: str | None) -> DataFrame:
-    """Rows (by, _v, _w) whose value and group are known."""
+    """Rows (by, _v, _w) whose value is known."""
     known = F.col("_v").isNotNull() & ~F.isnan("_v")
-    for key in by:
-        known = known & F.col(key).isNotNull()
     size = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
     return df.select(*by, F.col(value).cast("double").alias("_v"), size.alias("_w")).filter(known)
 
@@ -45,7 +43,7 @@ def select_ranks(
 ) -> DataFrame:
     """Per group, the value at each 1-based rank in ascending order.
 
-    Missing values and rows with a NULL in `by` are ignored. `ranks` maps an output column to a
+    Missing values are ignored, a NULL in `by` is a group of its own. `ranks` maps an output column to a
     function from the number of values to the wanted rank. A rank outside 1..n gives NULL. With
     `weight`, a row stands for that many equal values.
 
@@ -80,7 +78,7 @@ def select_ranks(
     targets = sized(targets) if by else F.broadcast(targets)
     in_slot = Window.partitionBy(*by, "_name").orderBy("_v")
     return (
-        rows.join(targets, [*by, "_slot"])
+        null_safe_join(rows, targets, [*by, "_slot"])
         .groupBy(*by, "_name", "_n", "_below", "_rank", "_v")
         .agg(F.sum("_w").alias("_c"))
         .withColumn("_upto", F.col("_below") + F.sum("_c").over(in_slot))

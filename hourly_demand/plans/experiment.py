@@ -140,7 +140,9 @@ def run(
     mine = pred.filter(F.col("candidate") == chosen)
     folder.store(metrics.error_segments(mine), "error_segments")
     folder.store(report.findings(board, results, protocol.alpha), "findings")
-    folder.store(profile.corr_matrix(tune, [Y, *features.feature_sets(protocol.delay)["full"]]), "correlations")
+    # Correlations leave out the last fold, as the other exploratory tables do.
+    explored = tune.filter(F.col(TS) < ntz(protocol.folds[-1].start))
+    folder.store(profile.corr_matrix(explored, [Y, *features.feature_sets(protocol.delay)["full"]]), "correlations")
 
     reference = folder.store(drift.reference_distribution(fit, keys, single_series=bool(keys)), "reference")
     watched = drift.monitor(mine, reference, [*keys, "period"], keys, protocol.max_mae)

@@ -1,6 +1,6 @@
 """What a model relies on: gains, permutations, shifted groups and coefficients.
 
-Permutations work on a time-strided sample per series, whose size is a parameter.
+Permutations work on all rows, or on a time-strided sample per series if its size is given.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from ..operators.windows import positions, stride_sample
 from ..sources.shared import checkpoint_root
 
 Predictor = Callable[[DataFrame], DataFrame]
-SAMPLE = 400
+SAMPLE = None
 # Column prefixes of the feature groups.
 GROUPS = {"lags": ("lag_",), "rolling": ("roll_",), "calendar": ("hour", "weekday", "is_")}
 
@@ -46,10 +46,11 @@ def coefficients(model: PipelineModel, sample: DataFrame) -> DataFrame:
     return sample.sparkSession.createDataFrame(rows, "feature STRING, coefficient DOUBLE")
 
 
-def _numbered(table: DataFrame, keys: Sequence[str], target_n: int, columns: Sequence[str]) -> DataFrame:
-    """The sample with positions; it is small and used several times, so it is stored once."""
+def _numbered(table: DataFrame, keys: Sequence[str], target_n: int | None, columns: Sequence[str]) -> DataFrame:
+    """The rows, or a sample of them, with positions; they are used several times, so they are stored once."""
     checkpoint_root(table.sparkSession)
-    sample = stride_sample(table.select(*keys, TS, Y, *columns), target_n, keys)
+    rows = table.select(*keys, TS, Y, *columns)
+    sample = rows if target_n is None else stride_sample(rows, target_n, keys)
     return positions(sample, keys, total="_n").drop(TS).checkpoint()
 
 
@@ -73,7 +74,7 @@ def permutation_importance(
     keys: Sequence[str] = (),
     repeats: int = 5,
     seed: int = 42,
-    target_n: int = SAMPLE,
+    target_n: int | None = SAMPLE,
 ) -> DataFrame:
     """Rise of the MAE when one feature is shuffled, for every feature and repeat in one pass.
 
@@ -115,7 +116,7 @@ def group_importance(
     keys: Sequence[str] = (),
     repeats: int = 5,
     seed: int = 42,
-    target_n: int = SAMPLE,
+    target_n: int | None = SAMPLE,
     shifts: Sequence[int] | None = None,
 ) -> DataFrame:
     """Rise of the MAE when a whole group of features is shifted cyclically in time.

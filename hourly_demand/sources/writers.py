@@ -11,14 +11,16 @@ from pyspark.sql import types as T
 from ..config import TS
 
 
-def write_panel(df: DataFrame, path: str, ts: str = TS) -> None:
+def write_panel(df: DataFrame, path: str, ts: str = TS, keys: Sequence[str] = (), buckets: int = 8) -> None:
     """Panel as Parquet by month; only the months in `df` are replaced.
 
-    Rows are gathered by month and day first, so a month becomes a limited number of files.
+    Rows are gathered by month, day and, with `keys`, one of `buckets` parts of the series, so a
+    month becomes a limited number of files and a day of very many series more than one task.
     """
     out = df.withColumn("month", F.date_format(ts, "yyyy-MM"))
+    part = [F.pmod(F.xxhash64(*keys), F.lit(buckets))] if keys else []
     (
-        out.repartition("month", F.to_date(ts))
+        out.repartition("month", F.to_date(ts), *part)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month")

@@ -24,7 +24,6 @@ columns named spans, removed_words, clusters or kept_in are replaced.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +35,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from .common import slices, stored, text_bytes
+from .common import let, slices, stored, text_bytes
 from .components import components
 from .toxicity import _CODES, _mixed, _powers
 
@@ -53,7 +52,8 @@ JOINED = 16
 BLOCK = 512
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
-_DROP = re.compile(rb"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+_MARKS = bytes(b for b in range(128) if b != 32 and not chr(b).isalnum())
 
 
 def row_key(key: str, text: str) -> Column:
@@ -121,9 +121,10 @@ class Cut:
         return of, number, out
 
 
-def _plain(words: list[bytes]) -> str:
-    """Words without case and punctuation, in one string; a word of punctuation only is a dash."""
-    return " ".join((_DROP.sub(b"", w.lower()) or b"-").decode("utf-8", "replace") for w in words)
+def _plain(piece: bytes) -> str:
+    """Words of a piece of text without case and punctuation; a word of punctuation only is a dash."""
+    words = b" ".join(piece.split()).translate(_LOWER, _MARKS).split(b" ")
+    return b" ".join([w or b"-" for w in words]).decode("utf-8", "replace")
 
 
 def _emitted(docs: DataFrame, text: str) -> DataFrame:
@@ -165,7 +166,7 @@ def _read(suspects: DataFrame, asked: str, text: str, schema: str, answer) -> Da
 
                     def paragraphs(a: int, b: int, first=first, last=last) -> str:
                         x, y = min(max(first + a, first), last), min(max(first + b, first), last)
-                        return _plain([whole[starts[w] : stops[w]] for w in range(bounds[x], bounds[y])])
+                        return _plain(whole[starts[bounds[x]] : stops[bounds[y] - 1]]) if x < y else ""
 
                     row = part.column("row")[i].as_py()
                     out += [(row, *answer(paragraphs, r)) for r in requests]
@@ -191,12 +192,14 @@ def _beside(paragraphs, request: dict):
 
 
 def shingles(words: Column) -> Column:
-    """Distinct shingles of words in one string."""
-    split = F.split(words, " ")
-    n = F.size(split)
-    return F.when(n < SHINGLE, F.array(words)).otherwise(
-        F.array_distinct(F.transform(F.sequence(F.lit(1), n - SHINGLE + 1), lambda i: F.array_join(F.slice(split, i, SHINGLE), " ")))
-    )
+    """Distinct shingles of words in one string, as 64-bit hashes."""
+
+    def of(split: Column) -> Column:
+        n = F.size(split)
+        runs = F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(*[F.get(split, i + k) for k in range(SHINGLE)]))
+        return F.when(n < SHINGLE, F.array(F.xxhash64(words))).otherwise(F.array_distinct(runs))
+
+    return let(F.split(words, " "), of)
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -210,9 +213,13 @@ def _links(contents: DataFrame, similarity: float) -> DataFrame:
     wide = contents.select("id", "words", F.explode(F.array_distinct("keys")).alias("key"))
     load = wide.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     load = stored(load, "band-loads")
-    near = wide.join(load.where(F.col("n") <= JOINED), "key").select("key", "id", shingles(F.col("words")).alias("s"))
-    pairs = near.select("key", F.col("id").alias("a"), F.col("s").alias("sa")).join(near.select("key", F.col("id").alias("b"), F.col("s").alias("sb")), "key")
-    linked = pairs.where((F.col("a") < F.col("b")) & (jaccard(F.col("sa"), F.col("sb")) >= similarity)).select("a", "b")
+    # Shingles are made once, of the paragraphs that share a key with a different one.
+    near = wide.join(load.where(F.col("n") <= JOINED), "key").withColumn("s", shingles(F.col("words")))
+    near = stored(near.select("key", "id", "s", F.size("s").alias("size")), "shingles")
+    one, two = (near.select("key", *[F.col(c).alias(c + n) for c in ("id", "s", "size")]) for n in "ab")
+    fits = F.least("sizea", "sizeb") >= similarity * F.greatest("sizea", "sizeb")
+    pairs = one.join(two, "key").where((F.col("ida") < F.col("idb")) & fits & (jaccard(F.col("sa"), F.col("sb")) >= similarity))
+    linked = pairs.select(F.col("ida").alias("a"), F.col("idb").alias("b"))
     large = load.where(F.col("n") > JOINED).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")).drop("n")
     at = ["key", "x", "y"]
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
@@ -299,7 +306,7 @@ def _passages(flagged: DataFrame, text: str, least: int, kind_of_key: str) -> Da
                     found, total, of, keep = [], 0, set(), set()
 
                     def some(x: int, y: int) -> list[str]:
-                        return _plain([whole[cut.starts[w] : cut.stops[w]] for w in range(x, y)]).split(" ") if x < y else []
+                        return _plain(whole[cut.starts[x] : cut.stops[y - 1]]).split(" ") if x < y else []
 
                     for number in sorted(hit):
                         if number - 1 in hit:

@@ -25,7 +25,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -145,10 +145,10 @@ def _emitted(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _read(suspects: DataFrame, asked: str, text: str, schema: str, answer) -> DataFrame:
-    """Rows that answer(paragraphs, request) gives for every request of a document.
+    """Rows that answer(words, opens, request) gives for every request of a document.
 
-    suspects has columns row, text and the list `asked`; paragraphs(a, b) gives the plain words of
-    the document's paragraphs a to b, and fewer at its ends.
+    suspects has columns row, text and the list `asked`; opens(n) is the number of the word that
+    opens paragraph n, words(a, b) the plain words a to b, and fewer at the document's ends.
     """
     names = [c.split(" ")[0] for c in schema.split(", ")]
 
@@ -163,13 +163,17 @@ def _read(suspects: DataFrame, asked: str, text: str, schema: str, answer) -> Da
                 out = []
                 for i, requests in enumerate(part.column(asked).to_pylist()):
                     first, last = int(opens_of[i]), int(opens_of[i + 1])
+                    low, high = int(bounds[first]), int(bounds[last])
 
-                    def paragraphs(a: int, b: int, first=first, last=last) -> str:
-                        x, y = min(max(first + a, first), last), min(max(first + b, first), last)
-                        return _plain(whole[starts[bounds[x]] : stops[bounds[y] - 1]]) if x < y else ""
+                    def opens(n: int, first=first) -> int:
+                        return int(bounds[first + n])
+
+                    def words(a: int, b: int, low=low, high=high) -> str:
+                        a, b = max(a, low), min(b, high)
+                        return _plain(whole[starts[a] : stops[b - 1]]) if a < b else ""
 
                     row = part.column("row")[i].as_py()
-                    out += [(row, *answer(paragraphs, r)) for r in requests]
+                    out += [(row, *answer(words, opens, r)) for r in requests]
                 kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
                 types = [kinds[c.split(" ")[1]] for c in schema.split(", ")]
                 cols = zip(*out, strict=True) if out else [[] for _ in names]
@@ -178,17 +182,15 @@ def _read(suspects: DataFrame, asked: str, text: str, schema: str, answer) -> Da
     return suspects.select("row", text, asked).mapInArrow(read, schema)
 
 
-def _words_of(paragraphs, number: int):
-    return number, paragraphs(number, number + 1)
+def _words_of(words, opens, number: int):
+    return number, words(opens(number), opens(number + 1))
 
 
-def _beside(paragraphs, request: dict):
+def _beside(words, opens, request: dict):
     """CONTEXT words before (side -1) or after (side 1) a paragraph."""
     number, side = request["number"], request["side"]
-    # A paragraph has a word at least.
-    a, b = (number - CONTEXT, number) if side < 0 else (number + 1, number + 1 + CONTEXT)
-    found = paragraphs(max(a, 0), max(b, 0)).split(" ")
-    return number, side, " ".join(found[-CONTEXT:] if side < 0 else found[:CONTEXT])
+    at = opens(number) if side < 0 else opens(number + 1)
+    return number, side, words(at - CONTEXT, at) if side < 0 else words(at, at + CONTEXT)
 
 
 def shingles(words: Column) -> Column:

@@ -132,7 +132,7 @@ def _emitted(docs: DataFrame, text: str) -> DataFrame:
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text, 2 << 20):
+            for part in slices(batch, text, 1 << 20):
                 cut = Cut(*text_bytes(part.column(text)))
                 if not len(cut.opens):
                     continue
@@ -154,7 +154,7 @@ def _read(suspects: DataFrame, asked: str, text: str, schema: str, answer) -> Da
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text, 2 << 20):
+            for part in slices(batch, text, 1 << 20):
                 data, ends = text_bytes(part.column(text))
                 cut = Cut(data, ends)
                 opens_of = np.searchsorted(cut.text[cut.opens], np.arange(part.num_rows + 1))
@@ -295,7 +295,7 @@ def _passages(flagged: DataFrame, text: str, least: int, kind_of_key: str) -> Da
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text, 2 << 20):
+            for part in slices(batch, text, 1 << 20):
                 data, ends = text_bytes(part.column(text))
                 cut = Cut(data, ends)
                 opens_of = np.searchsorted(cut.text[cut.opens], np.arange(part.num_rows + 1))

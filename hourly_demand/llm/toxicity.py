@@ -184,7 +184,7 @@ def score(docs: DataFrame, model, text: str = "text", name: str = "score") -> Da
         bits = np.uint64((1 << 18) - 1)
         may[names & bits] = True
         for batch in batches:
-            for part in slices(batch, text, 2 << 20):
+            for part in slices(batch, text, 1 << 20):
                 hashes, of = features(*text_bytes(part.column(text)))
                 hit = np.flatnonzero(may[hashes & bits])
                 place = np.searchsorted(names, hashes[hit])

@@ -2,8 +2,8 @@
 
 Paragraphs are cut where the text itself says so: before a word whose pair hash is the smallest of
 its REACH neighbours on either side. So a passage that stands in two documents is cut alike in both,
-wherever in a line it stands; paragraphs are some 13 words long. Words are compared without case and
-punctuation.
+wherever in a line it stands; paragraphs are some 7 words long, so every passage of `least` words
+holds a whole one. Words are compared without case and punctuation.
 
 1. Every paragraph gets BANDS band keys, each the smallest of its hashed word shingles under one of
    as many functions (bands of one row: two paragraphs of similarity s share a key with probability
@@ -43,7 +43,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Words of a passage that is removed.
 LEAST = 50
-REACH = 6
+REACH = 3
 BANDS = 2
 #: Words beside a passage that its ends may grow by.
 CONTEXT = 64
@@ -85,7 +85,7 @@ class Cut:
         pair = np.full(n, np.uint64(2**64 - 1))
         pair[:-1][same] = _mixed(self.words[:-1] * np.uint64(3) + self.words[1:] * np.uint64(5))[same]
         low = pair != np.uint64(2**64 - 1)
-        for d in range(1, REACH + 1):
+        for d in range(1, min(REACH, n - 1) + 1):
             near = self.text[d:] == self.text[:-d]
             low[d:] &= ~near | (pair[d:] < pair[:-d])
             low[:-d] &= ~near | (pair[:-d] <= pair[d:])

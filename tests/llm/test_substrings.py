@@ -159,3 +159,26 @@ def test_native_similarity(spark):
     got = [r[0] for r in df.select(substrings.jaccard(substrings.shingles(F.col("a")), substrings.shingles(F.col("b")))).collect()]
     assert got == pytest.approx([1 / 3, 1, 0])
     assert isinstance(substrings.spanning(pd.DataFrame({"id": [1], "words": ["a"]}), pd.DataFrame({"id": [2], "words": ["a"]}), 0.8), pd.DataFrame)
+
+
+@pytest.mark.parametrize("least", [50, 51, 55])
+def test_every_passage_holds_a_whole_paragraph(least):
+    texts = [words(40, 3 * i) + words(least, 3 * i + 1) + words(40, 3 * i + 2) for i in range(2000)]
+    data = [" ".join(t).encode() for t in texts]
+    cut = substrings.Cut(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0] + [len(d) for d in data]))
+    place = cut.opens - cut.text[cut.opens] * (80 + least) - 40
+    # Cuts that depend on words of the passage only; two of them have a paragraph between them.
+    stable = (place >= substrings.REACH) & (place < least - substrings.REACH)
+    assert np.bincount(cut.text[cut.opens[stable]], minlength=2000).min() >= 2
+
+
+def test_passages_of_fifty_words_all_leave(make):
+    rows = []
+    for i in range(40):
+        passage, at = words(50 + i % 3, 500 + i), i * 3
+        for k in range(2):
+            own = words(140, 1000 + 2 * i + k)
+            own[at:at] = passage
+            rows.append((2 * i + k, spread(own, i + k)))
+    got = by_id(substrings.dedup(make(rows)), "removed_words")
+    assert [i for i in range(40) if got[2 * i + 1] < 50] == []

@@ -7,15 +7,20 @@ holds a whole one. Words are compared without case and punctuation.
 
 1. Every paragraph gets BANDS band keys, each the smallest of its hashed word shingles under one of
    as many functions (bands of one row: two paragraphs of similarity s share a key with probability
-   1 - (1 - s)^BANDS, and a passage has several paragraphs). Keys that occur in one document only
-   leave here, after an aggregation with map-side combining.
+   1 - (1 - s)^BANDS, and a passage has several paragraphs). Paragraphs of so few shingles that only
+   equal ones are similar need one key. Keys that occur in one document only leave here, after an
+   aggregation with map-side combining.
 2. Documents with shared keys are read again for the words of these paragraphs. Different paragraphs
    with a common key are linked if the Jaccard similarity of their shingles is at least `similarity`.
    Keys with many different paragraphs are dealt out in blocks whose tasks return a spanning set of
    the links, so no pairs of a large group are emitted.
 3. Components of the links are clusters of paragraphs. Of each, the document with the smallest key
-   keeps its paragraphs. In the others neighbouring paragraphs join to passages, which grow at both
-   ends word by word as far as the kept text agrees. Passages of at least `least` words are removed.
+   keeps its paragraphs. In the others paragraphs are seeds: those that follow each other in the same
+   kept document are a stretch, whose words are aligned with the kept ones to both sides, over gaps
+   of up to CONTEXT words. Of runs that agree, the longest chain with at least `least` words and an
+   exact Jaccard of its shingles of `similarity` with the kept chain is removed, the words between its
+   runs included. Runs that agree word for word and touch are removed too if they have `least` words
+   together, also if different documents keep them.
 
 Equal rows (same key and text) are one document, they are treated alike and do not remove each
 other's text. Null texts are empty and stay null. Empty tables give no rows. Extra columns stay;
@@ -45,8 +50,12 @@ SIMILARITY = 0.8
 LEAST = 50
 REACH = 3
 BANDS = 2
-#: Words beside a passage that its ends may grow by.
+#: Words beside a stretch that its ends may grow by, and between two runs of a passage.
 CONTEXT = 64
+#: Paragraphs from one seed to the next in a stretch.
+NEAR = 8
+#: Shorter runs may agree by chance; they join no others that a different document keeps.
+RUN = 12
 #: Different paragraphs of a key that the join still turns into pairs, and members of a block beyond.
 JOINED = 16
 BLOCK = 512
@@ -127,8 +136,10 @@ def _plain(piece: bytes) -> str:
     return b" ".join([w or b"-" for w in words]).decode("utf-8", "replace")
 
 
-def _emitted(docs: DataFrame, text: str) -> DataFrame:
+def _emitted(docs: DataFrame, text: str, similarity: float) -> DataFrame:
     """Band keys of every paragraph: key, row, number. docs has columns row and text."""
+    # Sets that differ have a Jaccard of at most (n - 1) / n, n the larger size.
+    equal = next(n for n in range(1, 1000) if n / (n + 1) >= similarity) if similarity < 0.999 else 999
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,8 +149,10 @@ def _emitted(docs: DataFrame, text: str) -> DataFrame:
                     continue
                 of, number, keys = cut.keys()
                 rows = part.column("row").to_numpy()[of]
-                for k in keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(rows), pa.array(number.astype(np.int32))], names=["key", "row", "number"])
+                several = np.diff(np.append(cut.opens, len(cut.words))) - SHINGLE + 1 >= equal
+                for band, k in enumerate(keys):
+                    at = several if band else slice(None)
+                    yield pa.RecordBatch.from_arrays([pa.array(k[at].view(np.int64)), pa.array(rows[at]), pa.array(number[at].astype(np.int32))], names=["key", "row", "number"])
 
     return docs.select("row", text).mapInArrow(emitted, "key bigint, row bigint, number int")
 
@@ -186,11 +199,11 @@ def _words_of(words, opens, number: int):
     return number, words(opens(number), opens(number + 1))
 
 
-def _beside(words, opens, request: dict):
-    """CONTEXT words before (side -1) or after (side 1) a paragraph."""
-    number, side = request["number"], request["side"]
-    at = opens(number) if side < 0 else opens(number + 1)
-    return number, side, words(at - CONTEXT, at) if side < 0 else words(at, at + CONTEXT)
+def _around(words, opens, request: dict):
+    """Words of a stretch of paragraphs with CONTEXT words on either side, and where its paragraphs open in them."""
+    first, last = request["k_first"], request["k_last"]
+    low = max(opens(first) - CONTEXT, opens(0))
+    return first, last, " ".join(str(opens(n) - low) for n in range(first, last + 1)), words(low, opens(last + 1) + CONTEXT)
 
 
 def shingles(words: Column) -> Column:
@@ -273,23 +286,107 @@ def spanning(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> pd.D
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _same_end(a: list[str], b: list[str]) -> int:
-    n = 0
-    while n < min(len(a), len(b)) and a[-1 - n] == b[-1 - n]:
-        n += 1
-    return n
-
-
-def _same_start(a: list[str], b: list[str]) -> int:
-    n = 0
-    while n < min(len(a), len(b)) and a[n] == b[n]:
-        n += 1
-    return n
+def _runs(of: list[tuple], kept: list[tuple], i: int, j: int) -> list[tuple[int, int, int]]:
+    """Runs of equal shingles from of[i] and kept[j] on, over gaps: start in both, and shingles."""
+    out = []
+    while True:
+        n, most = 0, min(len(of) - i, len(kept) - j)
+        while n < most and of[i + n] == kept[j + n]:
+            n += 1
+        if n:
+            out.append((i, j, n))
+        i, j = i + n, j + n
+        # The next shingle that both have, nearest in both together.
+        window = kept[j : j + CONTEXT + SHINGLE]
+        at = dict(zip(reversed(window), range(len(window) - 1, -1, -1), strict=True))
+        best = None
+        for x, shingle in enumerate(of[i : i + CONTEXT + SHINGLE]):
+            if best and x >= best[0] + best[1]:
+                break
+            y = at.get(shingle)
+            if y is not None and (best is None or x + y < best[0] + best[1]):
+                best = x, y
+        if best is None:
+            return out
+        i, j = i + best[0], j + best[1]
+
+
+def _aligned(of: list[tuple], kept: list[tuple], seeds: list[tuple[int, int]]) -> list[list[tuple[int, int, int]]]:
+    """Chains of runs through the seeds (places in both), each to both sides as far as it goes."""
+    back, kept_back, chains, done = of[::-1], kept[::-1], [], -1
+    for i, j in seeds:
+        if i < done or i >= len(of) or j >= len(kept):
+            continue
+        left = [(len(of) - x - n, len(kept) - y - n, n) for x, y, n in _runs(back, kept_back, len(of) - i, len(kept) - j)][::-1]
+        right = _runs(of, kept, i, j)
+        if left and right and left[-1][0] + left[-1][2] == right[0][0] and left[-1][1] + left[-1][2] == right[0][1]:
+            right[0] = left[-1][0], left[-1][1], left[-1][2] + right[0][2]
+            left.pop()
+        if left + right:
+            chains.append(left + right)
+            done = max(done, chains[-1][-1][0] + chains[-1][-1][2])
+    return chains
+
+
+def similar(of: list[tuple], kept: list[tuple], chain: list[tuple[int, int, int]], similarity: float, least: int) -> list[tuple[int, int]]:
+    """Words from and to of the longest parts of a chain that have the exact Jaccard and `least` words."""
+    x, y, n = np.array(chain).T
+    sums = np.concatenate(([0], np.cumsum(n)))
+    gap = np.maximum(x[1:] - x[:-1] - n[:-1], y[1:] - y[:-1] - n[:-1])
+    # A run at an end is as long as the gap before it, in words beyond a shingle's.
+    opens = np.append(n[:-1] >= gap - 2 * (SHINGLE - 1), True)
+    closes = np.append(True, n[1:] >= gap - 2 * (SHINGLE - 1))
+    found, todo = [], [(0, len(chain))]
+    while todo:
+        a, b = todo.pop()
+        tries = []
+        for i in range(a, b):
+            both = sums[i + 1 : b + 1] - sums[i]
+            sizes = (x[i:b] + n[i:b] - x[i]) + (y[i:b] + n[i:b] - y[i])
+            fits = (both * (1 + similarity) >= similarity * sizes - 1e-9) & (x[i:b] + n[i:b] - x[i] + SHINGLE - 1 >= least)
+            fits &= (opens[i] & closes[i:b]) | (np.arange(i, b) == i)
+            tries += [(int(x[j] + n[j] - x[i]), i, int(j)) for j in np.flatnonzero(fits)[-1:] + i]
+        for _, i, j in sorted(tries, key=lambda t: -t[0]):
+            one, two = set(of[x[i] : x[j] + n[j]]), set(kept[y[i] : y[j] + n[j]])
+            if len(one & two) >= similarity * len(one | two):
+                found.append((int(x[i]), int(x[j] + n[j]) + SHINGLE - 1))
+                todo += [(a, i), (j + 1, b)]
+                break
+    return found
 
 
-def _passages(flagged: DataFrame, text: str, least: int, kind_of_key: str) -> DataFrame:
+def _joined(spans: list[tuple]) -> list[tuple]:
+    """Spans (from, to, who) that touch or overlap as one, with who of all that add to it."""
+    out = []
+    for a, b, who in sorted(spans, key=lambda t: (t[0], -t[1])):
+        if out and a <= out[-1][1]:
+            if b > out[-1][1]:
+                out[-1] = out[-1][0], b, out[-1][2] | who
+        else:
+            out.append((a, b, who))
+    return out
+
+
+def _to_cut(words: list[str], bounds: list[int], stretches: list[dict], similarity: float, least: int) -> list[tuple]:
+    """Words from and to that a document loses, and the numbers of the stretches they are in. bounds: where its paragraphs open."""
+    of = list(zip(*[words[k:] for k in range(SHINGLE)], strict=False))
+    known, near, runs = set(of), [], []
+    for who, stretch in enumerate(stretches):
+        plain = stretch["words"].split(" ")
+        kept = list(zip(*[plain[k:] for k in range(SHINGLE)], strict=False))
+        if sum(map(known.__contains__, kept)) < RUN - SHINGLE + 1:
+            continue
+        opens = [int(o) for o in stretch["offsets"].split(" ")]
+        seeds = sorted((bounds[s["number"]], opens[s["k_number"] - stretch["k_first"]]) for s in stretch["seeds"])
+        for chain in _aligned(of, kept, seeds):
+            near += [(a, b, {who}) for a, b in similar(of, kept, chain, similarity, least)]
+            runs += [(a, a + n + SHINGLE - 1, {who}) for a, _, n in chain if n + SHINGLE - 1 >= RUN]
+    return _joined(near + [r for r in _joined(runs) if r[1] - r[0] >= least])
+
+
+def _passages(flagged: DataFrame, text: str, similarity: float, least: int, kind_of_key: str) -> DataFrame:
     """Spans (start, end in characters) to remove of each document, the clusters of their paragraphs,
-    and the keys of the documents that keep them. flagged: row, text, hits."""
+    and the keys of the documents that keep them. flagged: row, text, stretches."""
 
     key_lists = pa.list_(to_arrow_type(T._parse_datatype_string(kind_of_key)))
 
@@ -302,39 +399,21 @@ def _passages(flagged: DataFrame, text: str, least: int, kind_of_key: str) -> Da
                 bounds = np.append(cut.opens, len(cut.words))
                 whole = data.tobytes()
                 rows, spans, words, clusters, keepers = [], [], [], [], []
-                for i, hits in enumerate(part.column("hits").to_pylist()):
-                    hit = {h["number"]: h for h in hits}
+                for i in range(part.num_rows):
+                    stretches = part.column("stretches")[i].as_py()
                     a, b = int(bounds[opens_of[i]]), int(bounds[opens_of[i + 1]])
-                    found, total, of, keep = [], 0, set(), set()
-
-                    def some(x: int, y: int) -> list[str]:
-                        return _plain(whole[cut.starts[x] : cut.stops[y - 1]]).split(" ") if x < y else []
-
-                    for number in sorted(hit):
-                        if number - 1 in hit:
-                            continue
-                        last = number
-                        while last + 1 in hit:
-                            last += 1
-                        x, y = int(bounds[opens_of[i] + number]), int(bounds[opens_of[i] + last + 1])
-                        before = [w for w in hit[number]["left"].split(" ") if w]
-                        after = [w for w in hit[last]["right"].split(" ") if w]
-                        x -= _same_end(some(max(a, x - len(before)), x), before)
-                        y += _same_start(some(y, min(b, y + len(after))), after)
-                        if found and x < found[-1][1]:
-                            x = found[-1][1]
-                        if y - x >= least:
-                            found.append((x, y))
-                            total += y - x
-                            of |= {hit[k]["cluster"] for k in range(number, last + 1)}
-                            keep |= {hit[k]["keeper"] for k in range(number, last + 1)}
+                    base = int(ends[i])
+                    head = whole[base : int(ends[i + 1])]
+                    own = (bounds[opens_of[i] : opens_of[i + 1] + 1] - a).tolist()
+                    found = _to_cut(_plain(head).split(" "), own, stretches, similarity, least)
                     if found:
-                        base = int(ends[i])
-                        head = whole[base : int(ends[i + 1])]
+                        found = [(a + x, a + y, who) for x, y, who in found]
+                        of = {(w, s["cluster"]) for _, _, who in found for w in who for s in stretches[w]["seeds"]}
+                        keep = {stretches[w]["keeper"] for _, _, who in found for w in who}
                         rows.append(part.column("row")[i].as_py())
-                        spans.append([{"start": len(head[: cut.starts[x] - base].decode()), "end": len(head[: cut.stops[y - 1] - base].decode())} for x, y in found])
-                        words.append(total)
-                        clusters.append(sorted(of))
+                        spans.append([{"start": len(head[: cut.starts[x] - base].decode()), "end": len(head[: cut.stops[y - 1] - base].decode())} for x, y, _ in found])
+                        words.append(sum(y - x for x, y, _ in found))
+                        clusters.append(sorted({c for _, c in of}))
                         keepers.append(sorted(keep - {None}))
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
                 yield pa.RecordBatch.from_arrays(
@@ -342,13 +421,13 @@ def _passages(flagged: DataFrame, text: str, least: int, kind_of_key: str) -> Da
                     names=["row", "spans", "removed_words", "clusters", "kept_in"],
                 )
 
-    return flagged.select("row", text, "hits").mapInArrow(passages, f"row bigint, spans array<struct<start:int,end:int>>, removed_words bigint, clusters array<bigint>, kept_in array<{kind_of_key}>")
+    return flagged.select("row", text, "stretches").mapInArrow(passages, f"row bigint, spans array<struct<start:int,end:int>>, removed_words bigint, clusters array<bigint>, kept_in array<{kind_of_key}>")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, least: int = LEAST) -> DataFrame:
     """row (hash of key and text), spans, removed_words, clusters and kept_in (keys) of the documents with passages to remove."""
     rows = docs.select(F.col(key), F.coalesce(text, F.lit("")).alias(text)).withColumn("row", row_key(key, text)).where(F.length(text) > 0)
-    keys = stored(_emitted(rows, text), "bands")
+    keys = stored(_emitted(rows, text, similarity), "bands")
     shared = keys.groupBy("key").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a != b").select("key")
     hits = stored(keys.join(shared, "key"), "shared-bands")
     numbers = hits.groupBy("row").agg(F.collect_set("number").alias("numbers"))
@@ -364,28 +443,25 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     own = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("keeper"), F.col("row").alias("k_row"), F.col("number").alias("k_number"))
     first = placed.groupBy("cluster").agg(F.min(own).alias("kept")).select("cluster", "kept.keeper", "kept.k_row", "kept.k_number")
     others = placed.select("row", "number", "cluster").join(first, "cluster").where(F.col("row") != F.col("k_row"))
-    along = Window.partitionBy("row").orderBy("number")
-    edges = stored(
-        others.withColumns(
-            {
-                "opens": F.coalesce(F.lag("number").over(along) != F.col("number") - 1, F.lit(True)),
-                "closes": F.coalesce(F.lead("number").over(along) != F.col("number") + 1, F.lit(True)),
-            }
-        ),
-        "edges",
+    # Seeds that follow each other in both documents are a stretch.
+    along = Window.partitionBy("row", "k_row").orderBy("number")
+    step, k_step = (F.col(c) - F.lag(c).over(along) for c in ("number", "k_number"))
+    others = others.withColumn("opens", F.coalesce((step > NEAR) | (k_step <= 0) | (k_step > NEAR), F.lit(True)).cast("int"))
+    seeds = F.sort_array(F.collect_list(F.struct("number", "k_number", "cluster")))
+    edges = (
+        others.withColumn("stretch", F.sum("opens").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy("row", "k_row", "stretch")
+        .agg(F.min("k_number").alias("k_first"), F.max("k_number").alias("k_last"), F.first("keeper").alias("keeper"), seeds.alias("seeds"))
     )
-    # What stands beside the kept paragraphs where passages may end, asked once for each place.
-    at = lambda side, which: edges.where(which).select("k_row", F.struct(F.col("k_number").alias("number"), F.lit(side).alias("side")).alias("r"))
-    wanted = at(-1, "opens").unionByName(at(1, "closes")).distinct().groupBy(F.col("k_row").alias("row")).agg(F.collect_list("r").alias("asked"))
-    beside = _read(suspects.join(wanted, "row"), "asked", text, "row bigint, number int, side int, words string", _beside)
-    beside = stored(beside.select(F.col("row").alias("k_row"), F.col("number").alias("k_number"), "side", "words"), "beside")
-    for side, which, name in ((-1, "opens", "left"), (1, "closes", "right")):
-        words = beside.where(F.col("side") == side).select("k_row", "k_number", F.lit(True).alias(which), F.col("words").alias(name))
-        edges = edges.join(words, ["k_row", "k_number", which], "left")
-    hit = F.struct("number", "cluster", "keeper", F.coalesce("left", F.lit("")).alias("left"), F.coalesce("right", F.lit("")).alias("right"))
-    flagged = edges.groupBy("row").agg(F.collect_list(hit).alias("hits"))
+    edges = stored(edges.drop("stretch"), "edges")
+    # The kept words of a stretch, asked once for all that have it.
+    wanted = edges.select("k_row", "k_first", "k_last").distinct().groupBy(F.col("k_row").alias("row")).agg(F.collect_list(F.struct("k_first", "k_last")).alias("asked"))
+    beside = _read(suspects.join(wanted, "row"), "asked", text, "row bigint, k_first int, k_last int, offsets string, words string", _around)
+    beside = stored(beside.withColumnRenamed("row", "k_row"), "beside")
+    stretch = F.struct(F.col("keeper").isNull().alias("none"), "keeper", "k_first", "seeds", "offsets", "words")
+    flagged = edges.join(beside, ["k_row", "k_first", "k_last"]).groupBy("row").agg(F.sort_array(F.collect_list(stretch)).alias("stretches"))
     kind = docs.schema[key].dataType.simpleString()
-    return stored(_passages(suspects.join(flagged, "row"), text, least, kind), "passages")
+    return stored(_passages(suspects.join(flagged, "row"), text, similarity, least, kind), "passages")
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, least: int = LEAST) -> DataFrame:

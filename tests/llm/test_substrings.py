@@ -161,6 +161,29 @@ def test_native_similarity(spark):
     assert isinstance(substrings.spanning(pd.DataFrame({"id": [1], "words": ["a"]}), pd.DataFrame({"id": [2], "words": ["a"]}), 0.8), pd.DataFrame)
 
 
+def test_edited_passages_leave_too(make):
+    rows, edits = [], [(60, [30]), (90, [45]), (300, [50, 100, 150, 200, 250])]
+    for i in range(30):
+        n, at = edits[i % 3]
+        passage = words(n, 300 + i)
+        edited = [f"new{i}" if k in at else w for k, w in enumerate(passage)]
+        for k, p in enumerate((passage, edited)):
+            own = words(120, 700 + 2 * i + k)
+            rows.append((2 * i + k, spread([*own[: 3 * i], *p, *own[3 * i :]], i + k)))
+    got = by_id(substrings.dedup(make(rows)), "removed_words", "kept_in")
+    for i in range(30):
+        assert got[2 * i][0] == 0
+        assert got[2 * i + 1] == (edits[i % 3][0], [2 * i])
+
+
+def test_passages_with_more_edits_stay(make):
+    # Every eighth word differs: a Jaccard of about 0.23.
+    passage = words(90, 4)
+    edited = [f"new{k}" if k % 8 == 4 else w for k, w in enumerate(passage)]
+    rows = [(k, spread([*words(60, 20 + k), *p, *words(60, 30 + k)], k)) for k, p in enumerate((passage, edited))]
+    assert all(r["removed_words"] == 0 for r in substrings.dedup(make(rows)).collect())
+
+
 @pytest.mark.parametrize("least", [50, 51, 55])
 def test_every_passage_holds_a_whole_paragraph(least):
     texts = [words(40, 3 * i) + words(least, 3 * i + 1) + words(40, 3 * i + 2) for i in range(2000)]

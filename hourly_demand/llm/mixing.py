@@ -11,8 +11,10 @@ pattern the mix takes.
 Documents of a pattern are then selected in a seeded order: each is used as often as the flow uses
 the whole pattern, and documents up to a cut of the order once more. The cut is found by histograms
 of the order's leading bits that are refined around it, so no group of documents is ever sorted or
-gathered. What then is missing, less than one document, is filled up with the longest document
-beyond the cut that fits, three times.
+gathered. The document at the cut is longer than what is missing; it and others that are too long are
+passed over, and the documents beyond the cut are cut again, until no unused one fits. That is one
+walk through the order that takes whatever fits; each round leaves less than a document's size, so
+rounds are as many as halvings of the sizes, in the mean.
 
 Null texts have size 0, null sources are a source of their own, the last. Copies are separate
 documents. Empty tables give no rows.
@@ -32,7 +34,10 @@ from .common import stored
 WORD = r"[^\x20\x09-\x0D]+"
 #: The order within the cut's last bucket is a window over at most so many rows, if hashes differ.
 BUCKET_ROWS = 20_000
-FILLS = 3
+#: Rounds after the first cut; None goes on until no unused document fits.
+FILLS: int | None = None
+#: A place in the order beyond all documents.
+_END = 1 << 60
 _STEP = 12
 
 
@@ -113,7 +118,8 @@ def flow(quotas: dict, patterns: dict[str, tuple[list, int]], uses: int) -> dict
 
 def _cuts(rows: DataFrame, rests: dict[str, int]) -> dict[str, tuple[int, int, int]]:
     """For each pattern the place in the order up to which the sizes stay within the rest: (first key,
-    second key, words up to there), documents strictly below the place."""
+    second key, words up to there), documents strictly below the place. A pattern whose documents all
+    stay within has its place at the end, one without documents before the first."""
     spark = rows.sparkSession
     out = dict.fromkeys(rests, (-1, -1, 0))
     open_ = {p: (0, 0, r, 0) for p, r in rests.items() if r > 0}  # prefix of the bits so far, bits, rest, words before
@@ -130,14 +136,20 @@ def _cuts(rows: DataFrame, rests: dict[str, int]) -> dict[str, tuple[int, int, i
         )
         rest = _small(spark, {p: v[2] for p, v in open_.items()}, "rest bigint")
         # The first bucket that goes beyond the rest; a pattern without one is wholly within.
-        first = sums.join(F.broadcast(rest), "_pattern").where("upto > rest").groupBy("_pattern").agg(
-            F.min(F.struct("b", "words", "n", "upto")).alias("x")
-        )
-        met = {r["_pattern"]: r["x"] for r in first.collect()}
+        beyond = F.when(F.col("upto") > F.col("rest"), F.struct("b", "words", "n", "upto"))
+        first = sums.join(F.broadcast(rest), "_pattern").groupBy("_pattern").agg(F.min(beyond).alias("x"), F.max("upto").alias("all"))
+        found = first.collect()
+        met = {r["_pattern"]: r["x"] for r in found if r["x"] is not None}
+        if not level:
+            out |= {r["_pattern"]: (_END, 0, r["all"]) for r in found if r["x"] is None}
+            open_ = {p: v for p, v in open_.items() if p in met}
+            prefixes = {p: [] for p in open_}
+            if not open_:
+                return out
         for p in list(open_):
             _, _, left, before = open_[p]
             if p not in met:
-                raise ValueError(f"the rest of {p} exceeds its words")
+                raise ValueError(f"the cut of {p} is lost")
             x = met[p]
             prefixes[p] = [*prefixes[p], x["b"]]
             skipped = x["upto"] - x["words"]
@@ -173,27 +185,23 @@ def _within(spark, wide: DataFrame, prefixes: dict[str, list[int]], level: int)
     return wide.join(F.broadcast(rows), "_pattern").where(F.slice("_bits", 1, level) == F.col("_prefix")).drop("_prefix")
 
 
-def _fills(rows: DataFrame, cuts: dict, rests: dict[str, int]) -> dict[str, list[int]]:
-    """Rows beyond the cut that fill up what is missing, the longest that fits first."""
-    spark, out = rows.sparkSession, {p: [] for p in rests}
-    missing = {p: r - cuts[p][2] for p, r in rests.items()}
-    for _ in range(FILLS):
-        now = [(p, m, cuts[p][0], cuts[p][1], out[p]) for p, m in missing.items() if m > 0]
-        if not now:
-            break
-        want = spark.createDataFrame(now, "_pattern string, m bigint, c1 bigint, c2 bigint, used array<bigint>")
-        best = (
-            rows.join(F.broadcast(want), "_pattern")
-            .where("size > 0 and size <= m and (_k1 > c1 or _k1 = c1 and _k2 >= c2) and not array_contains(used, _row)")
-            .groupBy("_pattern")
-            .agg(F.max(F.struct("size", "_k1", "_k2", "_row")).alias("x"))
-        )
-        found = best.collect()
-        for r in found:
-            out[r["_pattern"]].append(r["x"]["_row"])
-            missing[r["_pattern"]] -= r["x"]["size"]
-        if not found:
-            break
+def _chosen(rows: DataFrame, rests: dict[str, int]) -> dict[str, list[tuple[int, int, int]]]:
+    """Of each pattern the cuts (first key, second key, size): documents below a cut and of at most its
+    size are chosen. In the order, each is one that still fits; in the end no other does."""
+    spark = rows.sparkSession
+    out, missing, here, rounds = {p: [] for p in rests}, {p: r for p, r in rests.items() if r > 0}, rows, 0
+    while missing and (FILLS is None or rounds <= FILLS):
+        rounds += 1
+        cuts = _cuts(here, missing)
+        for p, (c1, c2, taken) in cuts.items():
+            if c1 >= 0:
+                out[p].append((c1, c2, missing[p]))
+            missing[p] -= taken
+        missing = {p: m for p, m in missing.items() if m > 0 and 0 <= cuts[p][0] < _END}
+        # What is left below the cut is longer than what was missing then.
+        want = spark.createDataFrame([(p, m, *cuts[p][:2]) for p, m in missing.items()], "_pattern string, m bigint, c1 bigint, c2 bigint")
+        fits = "size > 0 and size <= m and (_k1 > c1 or _k1 = c1 and _k2 >= c2)"
+        here = rows.join(F.broadcast(want), "_pattern").where(fits).drop("m", "c1", "c2")
     return out
 
 
@@ -240,13 +248,12 @@ def mix(
     whole = {p: min(uses, taken[p] // w) if w else 0 for p, (_, w) in patterns.items()}
     rests = {p: taken[p] - whole[p] * patterns[p][1] for p in patterns}
     slim = numbered.select("_pattern", "_k1", "_k2", "_row", "size")
-    cuts = _cuts(slim, rests)
-    fills = _fills(slim, cuts, rests)
-    rows = [(p, sizes[s[0]], goal[s[0]], whole[p], cuts[p][0], cuts[p][1], fills[p]) for p, (s, _) in patterns.items()]
-    schema = "_pattern string, source_size bigint, target double, _whole bigint, _c1 bigint, _c2 bigint, _more array<bigint>"
+    cuts = _chosen(slim, rests)
+    rows = [(p, sizes[s[0]], goal[s[0]], whole[p], cuts[p]) for p, (s, _) in patterns.items()]
+    schema = "_pattern string, source_size bigint, target double, _whole bigint, _cuts array<struct<c1: bigint, c2: bigint, m: bigint>>"
     # One row per pattern, which the driver holds anyway.
     decided = numbered.join(F.broadcast(spark.createDataFrame(rows, schema)), "_pattern")
-    extra = F.expr("_k1 < _c1 or _k1 = _c1 and _k2 < _c2 or array_contains(_more, _row)").cast("bigint")
+    extra = F.expr("exists(_cuts, c -> size <= c.m and (_k1 < c.c1 or _k1 = c.c1 and _k2 < c.c2))").cast("bigint")
     return decided.withColumn("taken", F.col("size") * (F.col("_whole") + extra)).select(
         *plain.columns, "size", "source_size", "target", "taken"
     )

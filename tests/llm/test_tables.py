@@ -129,6 +129,21 @@ def test_mix_comes_near_targets(make):
     assert Counter((r["doc_id"], r["taken"]) for r in again) == Counter((r["doc_id"], r["taken"]) for r in got)
 
 
+def test_mix_fills_up_beside_long_documents(spark):
+    rng, rows = random.Random(3), []
+    for s in range(12):
+        sizes = [rng.randint(10, 90) for _ in range(300)] + [20_000, 20_000]
+        rows += [(1000 * s + i, f"s{s:02}", n) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, words bigint")
+    got = mixing.mix(df, F.array("source"), key=["doc_id"], size=F.col("words")).collect()
+    for s in {r["source"] for r in got}:
+        of = [r for r in got if r["source"] == s]
+        uses = [r["taken"] // r["size"] for r in of]
+        unused = [r["size"] for r, n in zip(of, uses, strict=True) if n == min(uses)]
+        missing = of[0]["target"] - sum(r["taken"] for r in of)
+        assert -1 <= missing < (min(unused) if min(uses) < 3 else 1), s
+
+
 def test_mix_prefix_is_seeded_order(make, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 3)
     monkeypatch.setattr(mixing, "FILLS", 0)

@@ -221,14 +221,18 @@ def _nearest(k: int):
             names, ids, floor = queries["id"].to_numpy(), kept["id"].to_numpy(), queries["floor"].to_numpy()
             near = unit(q) @ unit(v).T
             near[names[:, None] == ids[None, :]] = -np.inf
+            # Rows of one id count once, by the best of them, so that they push no other id out.
+            by = np.argsort(ids, kind="stable")
+            heads = np.flatnonzero(np.diff(ids[by], prepend=ids[by[0]] - 1))
+            best = near if len(heads) == len(ids) else np.maximum.reduceat(near[:, by], heads, axis=1)
             for i, row in enumerate(near):
-                least = np.partition(row, -k)[-k] if len(row) > k else -np.inf
+                least = np.partition(best[i], -k)[-k] if best.shape[1] > k else -np.inf
                 # Rounding differs with the place in a product: what comes near the k-th is scored anew.
                 at = np.flatnonzero((row >= max(least, floor[i]) - 1e-9) & (row > -np.inf))
                 if len(at):
                     score = cosine(np.broadcast_to(q[i], (len(at), q.shape[1])), v[at])
                     order = np.lexsort((ids[at], -score))
-                    # Copies of an id, as replicas make, must not push others out.
+                    # Each id once, with its best score.
                     seen = np.unique(ids[at][order], return_index=True)[1]
                     order = order[np.sort(seen)][:k]
                     out[0].append(np.full(len(order), names[i]))
@@ -272,7 +276,9 @@ def search(table: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id",
     out = None
     for dim, rows in good.groupBy("dim").count().orderBy("dim").collect():
         kept, queries = good.where(F.col("dim") == dim), asked.where(F.col("dim") == dim)
-        sample = kept.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()
+        sample = kept.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("id", "v").toArrow()
+        # Rows of one id are not each other's neighbours.
+        sample = sample.take(pa.array(np.unique(sample["id"].to_numpy(), return_index=True)[1]))
         index = fit(unit(matrix(sample["v"])), rows, k)
         shared = spark.sparkContext.broadcast(tuple(index))
         posted = stored(_placed(kept, shared, False).drop("place"), "lists")

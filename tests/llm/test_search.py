@@ -81,6 +81,16 @@ def brute_nearest(rows, k):
     return out
 
 
+@pytest.mark.parametrize("copies", [2, 7])
+def test_ann_of_repeated_rows(spark, monkeypatch, copies):
+    monkeypatch.setattr(ann, "LIST", 10_000)  # one list: exact
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(60)]
+    got = ann.search(table(spark, rows * copies), F.col("vec_id") % 50 == 0, k=5).collect()
+    want = {(q, c) for q, found in brute_nearest(rows, 5).items() for _, c in found}
+    assert {(r["query_id"], r["vec_id"]) for r in got} == want and len(got) == len(want)
+
+
 def test_ann(spark, monkeypatch):
     monkeypatch.setattr(ann, "LIST", 32)
     monkeypatch.setattr(ann, "BLOCK", 16)

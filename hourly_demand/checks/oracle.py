@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ..operators.permutation import PRIME, ROUNDS, WIDTHS, round_keys
+
 PI2 = "6.283185307179586"
 
 
@@ -302,14 +304,11 @@ def _monitor() -> str:
 
 
 def _group_importance() -> str:
-    """Sample of every s-th row; each group taken from rows that lie a fixed shift earlier."""
+    """Each group of features taken from rows that lie a fixed shift earlier."""
     more = """
-    numbered AS (SELECT zone_id, trips_count, hour, lag_24, roll_mean_24,
-                        row_number() OVER (PARTITION BY zone_id ORDER BY pickup_hour) - 1 AS i,
-                        count(*) OVER (PARTITION BY zone_id) AS total FROM complete),
-    sample AS (SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY i) - 1 AS pos,
-                      count(*) OVER (PARTITION BY zone_id) AS n
-               FROM numbered WHERE i % greatest(1, total // 100) = 0),
+    sample AS (SELECT zone_id, trips_count, hour, lag_24, roll_mean_24,
+                      row_number() OVER (PARTITION BY zone_id ORDER BY pickup_hour) - 1 AS pos,
+                      count(*) OVER (PARTITION BY zone_id) AS n FROM complete),
     base AS (SELECT avg(abs(trips_count - (0.5::DOUBLE * lag_24 + 0.3::DOUBLE * roll_mean_24 + 0.01::DOUBLE * hour))) AS b FROM sample),
     jobs AS (SELECT * FROM (VALUES ('lags'), ('rolling'), ('calendar')) g("group"), (VALUES (24), (37), (51)) s(shift)),
     moved AS (SELECT "group", shift, s.trips_count,
@@ -323,6 +322,45 @@ def _group_importance() -> str:
     return _with_more(body, more)
 
 
+def _perm_importance(repeats: int = 5, seed: int = 42) -> str:
+    """Partners by the Feistel network on positions; what falls outside walks on until it is inside."""
+
+    def mixed(half: str, k: int) -> str:
+        moved = f"(({half} + c[{3 * k + 1}]) % {PRIME})"
+        return f"(({moved} * {moved}) % {PRIME} * c[{3 * k + 2}] + c[{3 * k + 3}]) % {PRIME}"
+
+    turns, name = "", "halves"
+    for k in range(ROUNDS):
+        left = f"(l + {mixed('r', k)}) % a" if k % 2 == 0 else "l"
+        right = "r" if k % 2 == 0 else f"(r + {mixed('l', k)}) % b"
+        turns += f", t{k} AS (SELECT repeat, n, x, a, b, c, {left} AS l, {right} AS r FROM {name})"
+        name = f"t{k}"
+    keys = ", ".join(f"({r}, {round_keys(seed, r)}::BIGINT[])" for r in range(repeats))
+    features = ["lag_24", "roll_mean_24", "hour"]
+    value = lambda f: f"CASE WHEN feature = '{f}' THEN o.{f} ELSE s.{f} END"
+    more = f"""
+    sample AS (SELECT zone_id, trips_count, {", ".join(features)},
+                      row_number() OVER (PARTITION BY zone_id ORDER BY pickup_hour) - 1 AS pos,
+                      count(*) OVER (PARTITION BY zone_id) AS n FROM complete),
+    sizes AS (SELECT DISTINCT n, greatest(1, floor(sqrt(n))::BIGINT) AS root FROM sample),
+    tried AS (SELECT n, w.a, (n + w.a - 1) // w.a AS b FROM sizes, unnest(range(greatest((root + 1) // 2, root - {WIDTHS - 1}), root + 1)) w(a)),
+    shapes AS (SELECT n, arg_min(a, (a * b - n, -a)) AS a, arg_min(b, (a * b - n, -a)) AS b FROM tried GROUP BY n),
+    halves AS (SELECT k.repeat, s.n, x.x, s.a, s.b, k.c, x.x // s.b AS l, x.x % s.b AS r
+               FROM shapes s, (VALUES {keys}) k(repeat, c), unnest(range(s.a * s.b)) x(x))
+    {turns},
+    step AS (SELECT repeat, n, x, l * b + r AS y FROM {name}),
+    walk AS (SELECT repeat, n, x, y FROM step WHERE x < n UNION ALL
+             SELECT w.repeat, w.n, w.x, s.y FROM walk w JOIN step s ON s.repeat = w.repeat AND s.n = w.n AND s.x = w.y WHERE w.y >= w.n),
+    partner AS (SELECT repeat, n, x, y FROM walk WHERE y < n),
+    base AS (SELECT avg(abs(trips_count - (0.5::DOUBLE * lag_24 + 0.3::DOUBLE * roll_mean_24))) AS b FROM sample),
+    moved AS (SELECT feature, p.repeat, s.trips_count, {value("lag_24")} AS l, {value("roll_mean_24")} AS m
+              FROM sample s JOIN partner p ON p.n = s.n AND p.x = s.pos JOIN sample o ON o.zone_id = s.zone_id AND o.pos = p.y,
+                   (VALUES {", ".join(f"('{f}')" for f in features)}) f(feature)),
+    rep AS (SELECT feature, repeat, avg(abs(trips_count - (0.5::DOUBLE * l + 0.3::DOUBLE * m))) AS mae FROM moved GROUP BY ALL)"""
+    body = f"SELECT feature, {r('avg(mae - b)', 'mae_increase')}, {r('stddev_pop(mae - b)', 'std')} FROM rep, base GROUP BY feature"
+    return _with_more(body, more).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _findings() -> str:
     champion = " UNION ALL ".join(
         f"SELECT zone_id, 'champion' AS section, candidate AS subject, '{m}' AS metric, {r(e, 'value', 9)} FROM chosen WHERE selected"
@@ -747,5 +785,6 @@ def oracle() -> dict[str, str]:
         f"SELECT zone_id, pickup_hour, period, {r('prediction')}, {r('lower')}, {r('upper')}, covered FROM pred"
     )
     out["group_importance"] = _group_importance()
+    out["perm_importance"] = _perm_importance()
     out["findings"] = _findings()
     return out

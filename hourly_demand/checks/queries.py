@@ -35,6 +35,8 @@ PROTOCOL = Protocol(
     inner_window=timedelta(hours=48),
     trials=2,
 )
+#: The fits of the registered queries stop earlier than the 60 rounds of a study, as all queries run in a row.
+ROUNDS_WITHOUT_GAIN = 10
 CANDIDATES = [
     backtest.weekly_naive_candidate(19),
     backtest.Candidate("Day_full", "Day", 19, "lag_24"),
@@ -767,7 +769,7 @@ def group_importance(spark, sf):
     table = complete(spark, sf)
     return rounded(
         importance.group_importance(
-            table, predict, ["hour", "lag_24", "roll_mean_24"], KEYS, target_n=100, shifts=[24, 37, 51]
+            table, predict, ["hour", "lag_24", "roll_mean_24"], KEYS, shifts=[24, 37, 51]
         )
     )
 
@@ -808,16 +810,36 @@ def ridge_coefficients(spark, sf):
     return rounded(importance.coefficients(models.fit_ridge(train, FEATURES, 10.0), train))
 
 
+def _last_fold(spark, sf):
+    """Rows of the last fold with their parts, stored: a fit reads them many times."""
+    shared.checkpoint_root(spark)
+    return backtest.fold_roles(complete(spark, sf), PROTOCOL).filter(F.col("fold") == PROTOCOL.folds[-1].name).checkpoint()
+
+
+def _stopped_gbt(spark, sf):
+    """A fit bounded at 1,500 rounds, which stops by itself, and the rows of its fold."""
+    rows = _last_fold(spark, sf)
+    parts = {"early": rows.filter("is_early"), "core": rows.filter("is_core")}
+    model, best = models.fit_gbt(rows.filter("is_fit"), FEATURES, {"maxDepth": 3}, **parts, rounds=PROTOCOL.max_trees, patience=ROUNDS_WITHOUT_GAIN)
+    return model, best, rows
+
+
 @query
 def gbt(spark, sf):
-    model, _ = models.fit_gbt(_train(spark, sf), FEATURES, {"maxDepth": 3}, rounds=5)
-    return _scored(model, _tests(spark, sf))
+    model, best, rows = _stopped_gbt(spark, sf)
+    return _scored(model, rows.filter("is_valid")).withColumn("rounds", F.lit(best))
 
 
 @query
 def quantile_boost(spark, sf):
-    model = models.fit_quantile(_train(spark, sf), FEATURES, 0.75, stages=4, max_depth=3)
-    return _scored(model, _tests(spark, sf))
+    """As `gbt`, for the 0.75 quantile, with a share of the rows a round."""
+    rows = _last_fold(spark, sf)
+    parts = {"early": rows.filter("is_early"), "core": rows.filter("is_core")}
+    params = {"maxDepth": 3, "minInstancesPerNode": 30, "subsamplingRate": 0.8}
+    model, best = models.fit_quantile(
+        rows.filter("is_fit"), FEATURES, 0.75, PROTOCOL.max_trees, params=params, **parts, patience=ROUNDS_WITHOUT_GAIN
+    )
+    return _scored(model, rows.filter("is_valid")).withColumn("rounds", F.lit(best))
 
 
 @query
@@ -841,13 +863,13 @@ def ablation_ridge(spark, sf):
 
 @query
 def gain(spark, sf):
-    model, _ = models.fit_gbt(_train(spark, sf), FEATURES, {"maxDepth": 3}, rounds=3)
+    model, _, _ = _stopped_gbt(spark, sf)
     return rounded(importance.gain_importance(model, FEATURES, spark))
 
 
 @query
 def top_features(spark, sf):
-    model, _ = models.fit_gbt(_train(spark, sf), FEATURES, {"maxDepth": 3}, rounds=3)
+    model, _, _ = _stopped_gbt(spark, sf)
     return rounded(importance.top_features(importance.gain_importance(model, FEATURES, spark), "gain"))
 
 
@@ -859,7 +881,7 @@ def perm_importance(spark, sf):
         return df.withColumn("prediction", 0.5 * F.col("lag_24") + 0.3 * F.col("roll_mean_24"))
 
     cols = ["lag_24", "roll_mean_24", "hour"]
-    return rounded(importance.permutation_importance(complete(spark, sf), predict, cols, KEYS, target_n=100))
+    return rounded(importance.permutation_importance(complete(spark, sf), predict, cols, KEYS))
 
 
 # ---- streams ---------------------------------------------------------------------------------------

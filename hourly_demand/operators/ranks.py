@@ -1,8 +1,12 @@
 """Exact order statistics without gathering a group in one task.
 
 A value is mapped to a numbered slot by a monotone function of the value alone. There are some
-hundred thousand slots per group at most, whatever the number of rows, so a running sum over their
-counts finds the slot that holds a rank. Only the distinct values of that slot are then ordered.
+thousand slots per group at most, whatever the number of rows, so a running sum over their counts
+finds the slot that holds a rank. A slot that holds too many rows, not all of one value, is cut again
+into equal parts between its own smallest and largest value, and again, level by level: each level is
+one more aggregation over the rows of crowded slots only. Smallest and largest value fall into different
+parts, so every level makes a range smaller. In the end the distinct values of at most CROWDED rows
+are ordered for a rank.
 """
 
 from __future__ import annotations
@@ -16,8 +20,11 @@ from .groups import attach, null_safe_join, sized
 
 # Slots per doubling of the value. Fewer with groups, so that the counts per group and slot stay far
 # fewer than the rows.
-SLOTS_GLOBAL = 32768
-SLOTS_GROUPED = 1024
+SLOTS_GLOBAL = 1024
+SLOTS_GROUPED = 64
+#: Rows of a range that are ordered in one task, and parts that a larger range is cut into.
+CROWDED = 8192
+PARTS = 1024
 
 
 def _slot(v: Column, per_octave: int) -> Column:
@@ -47,18 +54,47 @@ def select_ranks(
     function from the number of values to the wanted rank. A rank outside 1..n gives NULL. With
     `weight`, a row stands for that many equal values.
 
-    The rows are read twice: once to count the slots, which shuffles only the counts, and once to
-    fetch the values of the slots that hold a wanted rank. Equal values are merged before they
-    are ordered. With groups, the first pass runs at once.
+    The rows are read once to count the slots, which shuffles only the counts, once more for every
+    level of crowded ranges (most inputs have none), and once to fetch the values of the ranges that
+    hold a wanted rank. Equal values are merged before they are ordered. All but the last run at once.
     """
     by = list(by)
     rows = _known_values(df, value, by, weight).withColumn(
         "_slot", _slot(F.col("_v"), SLOTS_GROUPED if by else SLOTS_GLOBAL)
     )
+    targets = _located(rows, ranks, by)
+    in_range = Window.partitionBy(*by, "_name").orderBy("_v")
+    return (
+        _in_range(rows, targets, by)
+        .groupBy(*by, "_name", "_n", "_below", "_rank", "_v")
+        .agg(F.sum("_w").alias("_c"))
+        .withColumn("_upto", F.col("_below") + F.sum("_c").over(in_range))
+        .filter(F.col("_upto") >= F.col("_rank"))
+        .groupBy(*by)
+        .agg(
+            F.max("_n").alias(count_name),
+            *[F.min(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks],
+        )
+    )
+
+
+def _range_size() -> list[Column]:
+    return [F.sum("_w").alias("_c"), F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+
+
+def _in_range(rows: DataFrame, targets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of each target's range. Small targets are broadcast and drop all other rows on the scan."""
+    wanted = targets.drop("_c", "_rows")
+    return null_safe_join(rows, wanted, [*by, "_slot"]).filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+
+
+def _located(rows: DataFrame, ranks: dict[str, Callable[[Column], Column]], by: list[str]) -> DataFrame:
+    """A row per group and wanted rank: the range (_slot, _lo to _hi) that holds it, the values below the
+    range, and those in it: at most CROWDED rows, or one value."""
     per_group = Window.partitionBy(*by)
     slots = (
         rows.groupBy(*by, "_slot")
-        .agg(F.sum("_w").alias("_c"))
+        .agg(*_range_size())
         .withColumn("_n", F.sum("_c").over(per_group))
         .withColumn("_below", F.sum("_c").over(per_group.orderBy("_slot")) - F.col("_c"))
     )
@@ -68,27 +104,27 @@ def select_ranks(
         F.struct(F.lit(name).alias("name"), rank(F.col("_n")).cast("bigint").alias("rank"))
         for name, rank in ranks.items()
     ]
-    targets = (
-        slots.select(*by, "_slot", "_n", "_below", "_c", F.inline(F.array(*wanted)))
-        .filter((F.col("rank") > F.col("_below")) & (F.col("rank") <= F.col("_below") + F.col("_c")))
-        .select(*by, "_slot", "_n", "_below", F.col("name").alias("_name"), F.col("rank").alias("_rank"))
-    )
-    # Without groups there is one row per wanted rank. Broadcast targets drop the rows of all other
-    # slots on the scan.
-    targets = sized(targets) if by else F.broadcast(targets)
-    in_slot = Window.partitionBy(*by, "_name").orderBy("_v")
-    return (
-        null_safe_join(rows, targets, [*by, "_slot"])
-        .groupBy(*by, "_name", "_n", "_below", "_rank", "_v")
-        .agg(F.sum("_w").alias("_c"))
-        .withColumn("_upto", F.col("_below") + F.sum("_c").over(in_slot))
-        .filter(F.col("_upto") >= F.col("_rank"))
-        .groupBy(*by)
-        .agg(
-            F.max("_n").alias(count_name),
-            *[F.min(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in ranks],
+    kept = [*by, "_slot", "_n", "_below", "_c", "_rows", "_lo", "_hi"]
+    holds = (F.col("_rank") > F.col("_below")) & (F.col("_rank") <= F.col("_below") + F.col("_c"))
+    targets = slots.select(*kept, F.inline(F.array(*wanted)).alias("_name", "_rank")).filter(holds)
+    while True:
+        targets = sized(targets)
+        too_many = (F.col("_rows") > CROWDED) & (F.col("_lo") < F.col("_hi"))
+        crowded = targets.filter(too_many)
+        if crowded.isEmpty():
+            return targets
+        # Halves, so that the width of a range of huge values stays finite; the end may be infinite.
+        width = F.col("_hi") / 2 - F.col("_lo") / 2
+        share = F.when(F.col("_v") < F.col("_hi"), (F.col("_v") / 2 - F.col("_lo") / 2) / width).otherwise(F.lit(1.0))
+        inside = _in_range(rows, crowded, by)
+        parts = (
+            inside.withColumn("_part", F.least(F.lit(PARTS - 1), F.floor(share * PARTS)).cast("int"))
+            .groupBy(*by, "_slot", "_name", "_rank", "_n", "_below", "_part")
+            .agg(*_range_size())
         )
-    )
+        along = Window.partitionBy(*by, "_name").orderBy("_part")
+        finer = parts.withColumn("_below", F.col("_below") + F.sum("_c").over(along) - F.col("_c")).filter(holds)
+        targets = targets.filter(~too_many).unionByName(finer.select(*targets.columns))
 
 
 def _position(n: Column, p: float) -> Column:

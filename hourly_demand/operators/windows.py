@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import TS, Y, check_delay
 from ..functions.time import hour_index, hours
-from .groups import attach
+from .groups import attach, null_safe_join
 
 CHUNK_HOURS = 2016
 WINDOWS = (3, 24, 168)
@@ -231,7 +231,7 @@ def positions(
     )
     inside = Window.partitionBy(*keys, "_chunk").orderBy(ts)
     return (
-        base.join(starts, [*keys, "_chunk"])
+        null_safe_join(base, starts, [*keys, "_chunk"])
         .withColumn(name, F.col("_start") + F.row_number().over(inside) - 1)
         .drop("_chunk", "_start")
     )

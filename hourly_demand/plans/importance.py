@@ -10,11 +10,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TS, Y
-from ..operators.groups import attach, exploded_literals
+from ..operators.groups import attach, exploded_literals, null_safe_join
+from ..operators.permutation import partner, round_keys, shape
 from ..operators.windows import positions, stride_sample
 from ..sources.shared import checkpoint_root
 
@@ -54,6 +55,21 @@ def _numbered(table: DataFrame, keys: Sequence[str], target_n: int | None, colum
     return positions(sample, keys, total="_n").drop(TS).checkpoint()
 
 
+def _with_partner(copies: DataFrame, rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """copies, whose rows name the position `_take` of a row of their series, with that row's columns as `_from`."""
+    given = rows.select(*keys, F.col("pos").alias("_take"), F.struct(*columns).alias("_from"))
+    return null_safe_join(copies, given, [*keys, "_take"]).drop("_take")
+
+
+def _replaced(joined: DataFrame, sets: dict[str, Sequence[str]], columns: Sequence[str], label: str) -> DataFrame:
+    """One row per set of columns, in which these columns come from the partner. Nothing is shuffled for it."""
+    variants = [
+        F.struct(F.lit(name).alias(label), *[(F.col(f"_from.{c}") if c in moved else F.col(c)).alias(c) for c in columns])
+        for name, moved in sets.items()
+    ]
+    return joined.withColumn("_variant", F.explode(F.array(*variants))).drop(*columns, "_from").select("*", "_variant.*").drop("_variant")
+
+
 def _mae(df: DataFrame, by: Sequence[str], name: str) -> DataFrame:
     return df.groupBy(*by).agg(F.avg(F.abs(F.col(Y) - F.col("prediction"))).alias(name))
 
@@ -76,26 +92,19 @@ def permutation_importance(
     seed: int = 42,
     target_n: int | None = SAMPLE,
 ) -> DataFrame:
-    """Rise of the MAE when one feature is shuffled, for every feature and repeat in one pass.
+    """Rise of the MAE when one feature is shuffled within its series, for every feature and repeat.
 
-    The order of a shuffle is the order of seeded hashes, so it does not depend on partitions.
+    A keyed bijection gives the row that takes part in a shuffle by arithmetic, so nothing is sorted.
+    A repeat uses one shuffle for all features: each row meets its partner once, and the features are
+    replaced one by one beside it. So a row is shuffled once per repeat, whatever the number of features.
     """
     base_rows = _numbered(table, keys, target_n, columns)
     base = _mae(predict(base_rows), [], "base")
-    jobs = exploded_literals([{"feature": c, "repeat": r} for c in columns for r in range(repeats)])
-    copies = base_rows.select("*", F.inline(jobs))
-    mark = F.xxhash64(F.lit(seed), "feature", "repeat", *keys, "pos")
-    order = Window.partitionBy(*keys, "feature", "repeat").orderBy(mark, "pos")
-    placed = copies.withColumn("_take", (F.row_number().over(order) - 1).cast("bigint"))
-    # Only one column of a copy changes, so its value travels as a single double.
-    value = F.coalesce(*[F.when(F.col("feature") == c, F.col(c).cast("double")) for c in columns])
-    given = copies.select(*keys, "feature", "repeat", F.col("pos").alias("_take"), value.alias("_value"))
-    joined = placed.join(given, [*keys, "feature", "repeat", "_take"])
-    types = dict(table.dtypes)
-    swapped = {
-        c: F.when(F.col("feature") == c, F.col("_value").cast(types[c])).otherwise(F.col(c)) for c in columns
-    }
-    return _summarise(joined.withColumns(swapped).drop("_take", "_value"), base, "feature", predict)
+    jobs = exploded_literals([{"repeat": r, "_keys": F.lit(round_keys(seed, r)).cast("array<bigint>")} for r in range(repeats)])
+    copies = base_rows.withColumn("_shape", shape(F.col("_n"))).select("*", F.inline(jobs))
+    copies = copies.withColumn("_take", partner(F.col("pos"), F.col("_n"), F.col("_shape"), F.col("_keys"))).drop("_keys", "_shape")
+    joined = _with_partner(copies, base_rows, keys, columns)
+    return _summarise(_replaced(joined, {c: [c] for c in columns}, columns, "feature"), base, "feature", predict)
 
 
 def draw_shifts(repeats: int, groups: Sequence[str], seed: int) -> list[dict]:
@@ -134,17 +143,13 @@ def group_importance(
     else:
         jobs = [{"group": g, "repeat": r, "_shift": int(s)} for g in groups for r, s in enumerate(shifts)]
         copies = base_rows.select("*", F.inline(exploded_literals(jobs)))
-    on = [*keys, "group", "repeat", "pos"]
-    moved = copies.select(
-        *keys, "group", "repeat", ((F.col("pos") + F.col("_shift")) % F.col("_n")).alias("pos"),
-        F.struct(*columns).alias("_from"),
-    )
+    copies = copies.withColumn("_take", F.pmod(F.col("pos") - F.col("_shift"), F.col("_n"))).drop("_shift")
+    joined = _with_partner(copies, base_rows, keys, columns)
     member = {c: g for g, cols in groups.items() for c in cols}
     swapped = {
         c: F.when(F.col("group") == g, F.col(f"_from.{c}")).otherwise(F.col(c)) for c, g in member.items()
     }
-    joined = copies.join(moved, on).withColumns(swapped).drop("_from", "_shift")
-    return _summarise(joined, base, "group", predict)
+    return _summarise(joined.withColumns(swapped).drop("_from"), base, "group", predict)
 
 
 def top_features(importance: DataFrame, score: str, n: int = 12) -> DataFrame:

@@ -10,16 +10,17 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Y, Protocol
-from ..sources.shared import checkpoint_root
 from .backtest import evaluate_model
+from .boosting import BLOCK, PATIENCE, AbsoluteLoss, Boosted, QuantileLoss, boost
 from .features import scaling
 
-CATEGORICAL = ("hour", "weekday")
+#: Columns that are one-hot encoded for the linear model; all others are standardised.
+ONE_HOT = {"hour", "weekday"}
 LEARNING_RATE = 0.05
 # Search ranges. Log-uniform for the penalty, uniform for the trees.
 RIDGE_ALPHA = (0.1, 1000.0)
@@ -45,19 +46,14 @@ def standard_stage(train: DataFrame, numeric: Sequence[str]) -> SQLTransformer:
 
 def prep_pipeline(train: DataFrame, columns: Sequence[str]) -> list:
     """One-hot hour and weekday, standardised numbers; categories not seen in training are all zero."""
-    categorical = [c for c in CATEGORICAL if c in columns]
-    numeric = [c for c in columns if c not in CATEGORICAL]
-    stages = [standard_stage(train, numeric)] if numeric else []
-    if categorical:
-        stages.append(
-            OneHotEncoder(
-                inputCols=categorical,
-                outputCols=[f"onehot_{c}" for c in categorical],
-                handleInvalid="keep",
-                dropLast=True,
-            )
-        )
-    inputs = [f"onehot_{c}" for c in categorical] + [f"z_{c}" for c in numeric]
+    by_kind: dict[str, list[str]] = {"onehot": [], "z": []}
+    for c in columns:
+        by_kind["onehot" if c in ONE_HOT else "z"].append(c)
+    stages = [standard_stage(train, by_kind["z"])] if by_kind["z"] else []
+    if by_kind["onehot"]:
+        encoded = [f"onehot_{c}" for c in by_kind["onehot"]]
+        stages.append(OneHotEncoder(inputCols=by_kind["onehot"], outputCols=encoded, handleInvalid="keep", dropLast=True))
+    inputs = [f"{kind}_{c}" for kind, names in by_kind.items() for c in names]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     return stages
 
@@ -86,18 +82,6 @@ def fit_ridge(train: DataFrame, columns: Sequence[str], alpha: float, y: str = Y
         train.unpersist()
 
 
-def tree_params(params: dict, seed: int, rounds: int) -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features",
-        predictionCol="raw_prediction",
-        lossType="absolute",
-        stepSize=LEARNING_RATE,
-        maxIter=rounds,
-        seed=seed,
-        **params,
-    )
-
-
 def fit_gbt(
     train: DataFrame,
     columns: Sequence[str],
@@ -107,74 +91,52 @@ def fit_gbt(
     rounds: int = 100,
     seed: int = 42,
     y: str = Y,
+    patience: int = PATIENCE,
+    block: int = BLOCK,
 ) -> tuple[PipelineModel, int]:
-    """Boosted trees with absolute loss.
+    """Boosted trees with absolute loss, as Spark's own boosting fits them.
 
-    With `core` and `early`, a first fit on `core` finds the number of rounds that is best on
-    `early`; the model is then fitted on `train` with that number.
+    With `core` and `early`, a first fit on `core` stops once `patience` rounds have not lowered the
+    loss on `early`; the model is then fitted on `train` with the best number of rounds.
     """
+    made, best = _boosted(AbsoluteLoss(), train, columns, params, early, core, rounds, LEARNING_RATE, seed, y, patience, block)
+    trees = made.gbt_model(train.sparkSession, columns).setFeaturesCol("features").setPredictionCol("raw_prediction")
     assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
-    best = rounds
-    if early is not None and core is not None:
-        first = tree_params(params or {}, seed, rounds).setLabelCol(y).fit(assembler.transform(core))
-        losses = first.evaluateEachIteration(assembler.transform(early), "absolute")
-        best = max(1, 1 + min(range(len(losses)), key=losses.__getitem__))
-    trees = tree_params(params or {}, seed, best).setLabelCol(y)
-    return Pipeline(stages=[assembler, trees, clip_stage()]).fit(train), best
+    return PipelineModel(stages=[assembler, trees, clip_stage()]), best
 
 
 def fit_quantile(
     train: DataFrame,
     columns: Sequence[str],
     tau: float,
-    stages: int = 20,
+    stages: int = 100,
     learning_rate: float = LEARNING_RATE,
-    max_depth: int = 5,
+    params: dict | None = None,
+    early: DataFrame | None = None,
+    core: DataFrame | None = None,
     seed: int = 42,
     y: str = Y,
-    checkpoint_every: int = 5,
-) -> PipelineModel:
-    """Gradient boosting for the quantile `tau` (pinball loss) from Spark's regression trees.
+    patience: int = PATIENCE,
+    block: int = BLOCK,
+) -> tuple[PipelineModel, int]:
+    """Gradient boosting for the quantile `tau` (pinball loss), and its number of rounds.
 
-    Each stage fits a tree to the gradient and moves every leaf by its `tau` quantile of the
-    residuals. Leaf quantiles come from a mergeable sketch, so a leaf may hold any number of rows.
-    Only the leaf values (at most 2 ** max_depth) reach the driver. `tau` = 0.5 is L1 boosting.
+    `core` and `early` stop it as they stop `fit_gbt`. The model is one literal of all trees and one
+    expression that walks it, so its plan has the same size for any number of rounds. `tau` = 0.5 is
+    L1 boosting with median leaves.
     """
-    if not 0 < tau < 1:
-        raise ValueError("tau must lie between 0 and 1")
-    if 2**max_depth > MAX_LEAVES:
-        raise ValueError("max_depth is too large")
-    checkpoint_root(train.sparkSession)
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
-    label = F.col(y).cast("double").alias("_y")
-    base = train.agg(F.percentile_approx(F.col(y).cast("double"), tau, 10000).alias("q")).first()["q"]
-    data = assembler.transform(train).select("features", label, F.lit(float(base)).alias("_cur")).persist()
-    fitted = [assembler, SQLTransformer(statement=f"SELECT *, {float(base)!r}D AS cur_0 FROM __THIS__")]
-    current = data
-    for stage in range(1, stages + 1):
-        gradient = F.when(F.col("_y") > F.col("_cur"), tau).otherwise(tau - 1.0)
-        tree = DecisionTreeRegressor(
-            featuresCol="features",
-            labelCol="_g",
-            predictionCol=f"step_{stage}",
-            leafCol=f"leaf_{stage}",
-            maxDepth=max_depth,
-            seed=seed + stage,
-        ).fit(current.withColumn("_g", gradient))
-        placed = tree.transform(current)
-        residual = F.percentile_approx(F.col("_y") - F.col("_cur"), tau, 10000)
-        leaves = placed.groupBy(f"leaf_{stage}").agg(residual.alias("v")).collect()
-        cases = " ".join(f"WHEN {r[0]!r}D THEN {learning_rate * r[1]!r}D" for r in leaves)
-        step = f"(CASE leaf_{stage} {cases} ELSE 0D END)"
-        fitted += [
-            tree,
-            SQLTransformer(statement=f"SELECT *, cur_{stage - 1} + {step} AS cur_{stage} FROM __THIS__"),
-        ]
-        current = placed.withColumn("_cur", F.col("_cur") + F.expr(step)).select("features", "_y", "_cur")
-        if stage % checkpoint_every == 0 and stage < stages:
-            current = current.checkpoint()
-    data.unpersist()
-    return PipelineModel(stages=[*fitted, clip_stage(f"cur_{stages}")])
+    if 2 ** (params or {}).get("maxDepth", 5) > MAX_LEAVES:
+        raise ValueError("maxDepth is too large")
+    made, best = _boosted(QuantileLoss(tau), train, columns, params, early, core, stages, learning_rate, seed, y, patience, block)
+    return PipelineModel(stages=[made.ensemble(columns).stage("raw_prediction"), clip_stage()]), best
+
+
+def _boosted(loss, train, columns, params, early, core, rounds, rate, seed, y, patience, block) -> tuple[Boosted, int]:
+    """A fit on `core` finds the rounds if there are stopping rows; the fit on `train` takes as many."""
+    best = rounds
+    if early is not None and core is not None:
+        best = boost(core, columns, y, loss, rounds, rate, params, seed, early, patience, block).best
+    return boost(train, columns, y, loss, best, rate, params, seed, block=block), best
 
 
 @dataclass(frozen=True)
@@ -198,11 +160,10 @@ class ModelSpec:
             return fit_ridge(train, self.columns, self.params["alpha"]), 0
         if self.family != "Trees":
             raise ValueError(f"unknown family {self.family}")
+        core, early = (rows.filter("is_core"), rows.filter("is_early")) if has_roles else (None, None)
         if protocol.metric == "BusinessLossPerHour":
             n = stages or rounds
-            depth = self.params.get("maxDepth", 5)
-            return fit_quantile(train, self.columns, protocol.tau, n, max_depth=depth, seed=protocol.seed), n
-        core, early = (rows.filter("is_core"), rows.filter("is_early")) if has_roles else (None, None)
+            return fit_quantile(train, self.columns, protocol.tau, n, params=self.params, early=early, core=core, seed=protocol.seed)
         return fit_gbt(train, self.columns, self.params, early, core, rounds, protocol.seed)
 
     def predictor(self, model: PipelineModel | None) -> Predictor:

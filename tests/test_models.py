@@ -68,8 +68,9 @@ def test_quantile_boosting_reaches_its_quantile(spark, table):
     pinball = lambda df: df.agg(
         F.avg(F.greatest(tau * (F.col("trips_count") - F.col("prediction")), (tau - 1) * (F.col("trips_count") - F.col("prediction"))))
     ).first()[0]
-    few = models.fit_quantile(table, ["lag_24", "hour"], tau, stages=1, learning_rate=0.3, max_depth=4)
-    many = models.fit_quantile(table, ["lag_24", "hour"], tau, stages=8, learning_rate=0.3, max_depth=4)
+    few, _ = models.fit_quantile(table, ["lag_24", "hour"], tau, stages=1, learning_rate=0.3, params={"maxDepth": 4})
+    many, n = models.fit_quantile(table, ["lag_24", "hour"], tau, stages=8, learning_rate=0.3, params={"maxDepth": 4})
+    assert n == 8
     fitted = many.transform(table)
     assert pinball(fitted) < 0.8 * pinball(few.transform(table))
     below = fitted.agg(F.avg((F.col("trips_count") <= F.col("prediction")).cast("double"))).first()[0]
@@ -79,7 +80,7 @@ def test_quantile_boosting_reaches_its_quantile(spark, table):
 
 
 def test_quantile_model_can_be_stored(spark, table, tmp_path):
-    model = models.fit_quantile(table, ["lag_24", "hour"], 0.75, stages=2, max_depth=2)
+    model, _ = models.fit_quantile(table, ["lag_24", "hour"], 0.75, stages=2, params={"maxDepth": 2})
     model.write().overwrite().save(str(tmp_path / "q"))
     from pyspark.ml import PipelineModel
 
@@ -193,7 +194,7 @@ def test_asymmetric_metric_uses_the_quantile_model(spark, table):
     p = replace(PROTOCOL, metric="BusinessLossPerHour", folds=PROTOCOL.folds[:1])
     spec = models.ModelSpec("Trees_lags", "Trees", ("hour", "lag_24"), {"maxDepth": 3})
     cv, _ = models.back_test(table, spec, p, rounds=3)
-    assert cv.first()["best_iteration"] == 3 and cv.first()["BusinessLossPerHour"] > 0
+    assert 1 <= cv.first()["best_iteration"] <= 3 and cv.first()["BusinessLossPerHour"] > 0
     assert p.tau == 0.75
 
 
@@ -210,12 +211,16 @@ def test_group_shift_equals_numpy(spark, table):
     predict = lambda df: df.withColumn("prediction", 0.7 * F.col("lag_24") + 0.3 * F.col("lag_168"))
     got = importance.group_importance(table, predict, ["lag_24", "lag_168"], shifts=[31]).first()
     pdf = table.toPandas().sort_values("pickup_hour").reset_index(drop=True)
-    pdf = pdf.iloc[:: max(1, len(pdf) // 400)].reset_index(drop=True)
-    order = np.roll(np.arange(len(pdf)), 31)
-    plain = (pdf.trips_count - (0.7 * pdf.lag_24 + 0.3 * pdf.lag_168)).abs().mean()
-    moved = pdf[["lag_24", "lag_168"]].to_numpy()[order]
-    shifted = np.abs(pdf.trips_count - moved @ [0.7, 0.3]).mean()
-    assert got["mae_increase"] == pytest.approx(shifted - plain)
+
+    def increase(pdf):
+        order = np.roll(np.arange(len(pdf)), 31)
+        plain = (pdf.trips_count - (0.7 * pdf.lag_24 + 0.3 * pdf.lag_168)).abs().mean()
+        moved = pdf[["lag_24", "lag_168"]].to_numpy()[order]
+        return np.abs(pdf.trips_count - moved @ [0.7, 0.3]).mean() - plain
+
+    assert got["mae_increase"] == pytest.approx(increase(pdf))
+    sampled = importance.group_importance(table, predict, ["lag_24", "lag_168"], shifts=[31], target_n=400).first()
+    assert sampled["mae_increase"] == pytest.approx(increase(pdf.iloc[:: max(1, len(pdf) // 400)].reset_index(drop=True)))
 
 
 def test_error_segments_match_pandas(spark, table):

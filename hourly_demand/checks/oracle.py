@@ -577,14 +577,15 @@ def oracle() -> dict[str, str]:
     )
     out["autocorr"] = sql(" UNION ALL ".join(_pearson_lag(k) for k in (1, 24, 168)))
     out["corr_matrix"] = _corr_sql()
-    out["periodogram"] = _with_more(
-        f"""SELECT k::BIGINT AS k, {r('672.0::DOUBLE / k', 'period', 4)}, {r('CASE WHEN k = 336 THEN 1 ELSE 2 END * (re * re + im * im) / 672', 'power', 4)}
-            FROM (SELECT k, sum(d * cos({PI2} * ((j * k) % 672) / 672)) AS re, sum(d * sin({PI2} * ((j * k) % 672) / 672)) AS im
-                  FROM flat CROSS JOIN range(2, 337) f(k) GROUP BY k)""",
-        """placed AS (SELECT row_number() OVER (ORDER BY pickup_hour) - 1 AS j, trips_count AS y FROM city),
-           line AS (SELECT regr_slope(y, j) AS b, regr_intercept(y, j) AS a FROM placed),
-           flat AS (SELECT j, y - (a + b * j) AS d FROM placed, line)""",
-    )
+    for name, size in (("periodogram", 672), ("periodogram_prime", 661)):
+        out[name] = _with_more(
+            f"""SELECT k::BIGINT AS k, {r(f'{size}.0::DOUBLE / k', 'period', 4)}, {r(f'CASE WHEN 2 * k = {size} THEN 1 ELSE 2 END * (re * re + im * im) / {size}', 'power', 4)}
+                FROM (SELECT k, sum(d * cos({PI2} * ((j * k) % {size}) / {size})) AS re, sum(d * sin({PI2} * ((j * k) % {size}) / {size})) AS im
+                      FROM flat CROSS JOIN range(2, {size // 2 + 1}) f(k) GROUP BY k)""",
+            f"""placed AS (SELECT row_number() OVER (ORDER BY pickup_hour) - 1 AS j, trips_count AS y FROM city QUALIFY j < {size}),
+               line AS (SELECT regr_slope(y, j) AS b, regr_intercept(y, j) AS a FROM placed),
+               flat AS (SELECT j, y - (a + b * j) AS d FROM placed, line)""",
+        )
     out["reference_bins"] = "WITH " + _edges("events", "edges") + "," + _shares("events", "edges", "shares") + f"""
         SELECT event_type, bin::INT AS bin, {r('CASE WHEN bin > 0 THEN cuts[bin] END', 'lo')},
                {r('CASE WHEN bin < len(cuts) THEN cuts[bin + 1] END', 'hi')}, {r('share', 'probability')}

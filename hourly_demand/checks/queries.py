@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import TS, Y, Protocol, Rules, Span
 from ..functions import calendar as cal
-from ..functions.time import hours
+from ..functions.time import hour_index, hours
 from ..operators import cleaning, drift, intervals, metrics, panel, profile, ranks, selection, spectrum
 from ..operators import validation, windows
 from ..plans import backtest, features as feat, forecast, importance, models, report
@@ -438,6 +438,14 @@ def periodogram(spark, sf):
     return rounded(spectrum.periodogram(city_panel(spark, sf)), 4)
 
 
+@query
+def periodogram_prime(spark, sf):
+    """The first 661 hours: a prime length, transformed by a chirp."""
+    p = city_panel(spark, sf)
+    first = hour_index(TS) - hour_index(F.lit(RULES.start).cast("timestamp_ntz"))
+    return rounded(spectrum.periodogram(p.filter(first < 661)), 4)
+
+
 @query
 def reference_bins(spark, sf):
     """Reference distribution of the event values per type, one row per bin."""

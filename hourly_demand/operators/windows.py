@@ -19,6 +19,8 @@ from .groups import attach, null_safe_join
 
 CHUNK_HOURS = 2016
 WINDOWS = (3, 24, 168)
+#: Rows of a block, the unit that deviations are put together from.
+BLOCK = 24
 
 
 def lag_offsets(delay: int) -> list[int]:
@@ -37,8 +39,10 @@ class Chunks:
             df.withColumn("_i", idx)
             .withColumn("_chunk", F.explode(F.sequence(first, last)))
             .withColumn("_own", F.col("_chunk") == F.floor(F.col("_i") / chunk_hours))
+            .withColumn("_block", F.floor(F.col("_i") / BLOCK))
         )
-        self.window = Window.partitionBy(*keys, "_chunk").orderBy("_i")
+        # Blocks follow from the hour; named in the order, so that windows over blocks need no sort of their own.
+        self.window = Window.partitionBy(*keys, "_chunk").orderBy("_block", "_i")
 
     def own(self, df: DataFrame) -> DataFrame:
         """Drops the copies and the working columns."""
@@ -46,45 +50,95 @@ class Chunks:
         return df.filter("_own").drop(*extra)
 
 
-def _lag(name: str, k: int, w) -> Column:
-    """Value exactly k hours earlier; NULL where that hour is absent."""
-    return F.when(F.col("_i") - F.lag("_i", k).over(w) == k, F.lag(name, k).over(w))
+class _Past:
+    """Rows a fixed number of rows earlier, each fetched once as a struct however many values are read of it."""
+
+    def __init__(self, window, columns: Sequence[str]):
+        self.window, self.columns, self.made = window, columns, {}
+
+    def __call__(self, k: int) -> Column:
+        self.made.setdefault(f"_past_{k}", F.lag(F.struct(*self.columns), k).over(self.window))
+        return F.col(f"_past_{k}")
+
+    def value(self, name: str, k: int) -> Column:
+        """Value exactly k hours earlier; NULL where that hour is absent."""
+        return F.when(F.col("_i") - self(k)["_i"] == k, self(k)[name])
 
 
 def _with_sums(df: DataFrame, w) -> DataFrame:
-    """Running count and sums within the chunk; NaN counts as missing.
+    """Running count and sum within the chunk; NaN counts as missing.
 
-    They turn each trailing window into two look-ups, so its cost does not depend on its length.
-    The sums for the deviation are taken from the chunk's first known value on: a deviation does
-    not change with it, and large values keep their digits.
+    They turn each trailing mean into two look-ups, so its cost does not depend on its length.
     """
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    y = F.col("_y")
     known = F.col(Y).cast("double")
     df = df.withColumn("_y", F.when(~F.isnan(known), known))
-    df = df.withColumn("_d", y - F.first("_y", ignorenulls=True).over(whole))
-    return df.withColumns(
-        {
-            "_n": F.count("_y").over(running),
-            "_s": F.coalesce(F.sum(y).over(running), F.lit(0.0)),
-            "_e": F.coalesce(F.sum("_d").over(running), F.lit(0.0)),
-            "_q": F.coalesce(F.sum(F.col("_d") * F.col("_d")).over(running), F.lit(0.0)),
-        }
-    )
+    return df.withColumns({"_n": F.count("_y").over(running), "_s": F.coalesce(F.sum("_y").over(running), F.lit(0.0))})
+
+
+def _merged(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column]) -> tuple[Column, Column, Column]:
+    """Count, mean and sum of squared distances from it, of two sets of rows together."""
+    n, gap = a[0] + b[0], b[1] - a[1]
+    return n, a[1] + gap * b[0] / n, a[2] + b[2] + gap * gap * a[0] * b[0] / n
 
 
-def _trailing(window: int, delay: int, w) -> dict[str, Column]:
-    def span(name: str) -> Column:
-        return F.lag(name, delay).over(w) - F.coalesce(F.lag(name, delay + window).over(w), F.lit(0))
+def _spread(column: str) -> tuple[Column, Column, Column]:
+    return tuple(F.col(column)[f] for f in ("n", "mean", "m2"))
 
-    oldest = F.col("_i") - F.lag("_i", delay + window - 1).over(w)
-    full = (oldest == delay + window - 1) & (span("_n") == window)
-    spread = F.greatest(F.lit(0.0), window * span("_q") - span("_e") * span("_e"))
-    return {
-        "mean": F.when(full, span("_s") / window),
-        "std": F.when(full, F.sqrt(spread) / window),
-    }
+
+def _with_blocks(df: DataFrame, keys: Sequence[str], w) -> DataFrame:
+    """`_day`: count, mean and sum of squared distances of the BLOCK rows up to each row.
+
+    Rows fall into blocks by hour. The rows up to a row are the end of the block before it and the
+    beginning of its own; each is aggregated from its own rows, and two are merged. Nothing is the
+    difference of two long sums, so a change of level far away costs no digits.
+    """
+    block = Window.partitionBy(*keys, "_chunk", "_block").orderBy("_i")
+
+    def summary(frame) -> Column:
+        n = F.count("_y").over(frame)
+        return F.struct(n.alias("n"), F.avg("_y").over(frame).alias("mean"), (F.var_pop("_y").over(frame) * n).alias("m2"))
+
+    df = df.withColumns(
+        {
+            "_head": summary(block.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            "_tail": summary(block.rowsBetween(Window.currentRow, Window.unboundedFollowing)),
+        }
+    ).withColumn("_before", F.lag("_tail", BLOCK - 1).over(w))
+    both = _merged(_spread("_before"), _spread("_head"))
+    day = F.struct(*[v.alias(f) for v, f in zip(both, ("n", "mean", "m2"), strict=True)])
+    # The last row of a block has all its rows in the block.
+    return df.withColumn("_day", F.when(F.col("_i") % BLOCK == BLOCK - 1, F.col("_head")).otherwise(day)).drop("_head", "_tail", "_before")
+
+
+def _trailing_std(window: int, delay: int, w, past: _Past) -> Column:
+    """Population deviation of the `window` rows up to `delay` rows ago, if none of them is unknown."""
+    days, rest = divmod(window, BLOCK)
+    parts = [tuple(past(delay + BLOCK * d)["_day"][f] for f in ("n", "mean", "m2")) for d in range(days)]
+    if rest:
+        last = delay + BLOCK * days
+        frame = w.rowsBetween(-(last + rest - 1), -last)
+        past.made[f"_rest_{window}"] = F.struct(
+            F.count("_y").over(frame).alias("n"), F.avg("_y").over(frame).alias("mean"), F.var_pop("_y").over(frame).alias("v")
+        )
+        left = F.col(f"_rest_{window}")
+        parts.append((left["n"], left["mean"], left["v"] * left["n"]))
+    total = parts[0]
+    for part in parts[1:]:
+        total = _merged(total, part)
+    return F.sqrt(F.greatest(F.lit(0.0), total[2]) / window)
+
+
+def _trailing(window: int, delay: int, w, past: _Past, stats: Sequence[str]) -> dict[str, Column]:
+    newest, before, oldest = past(delay), past(delay + window), past(delay + window - 1)
+    count = newest["_n"] - F.coalesce(before["_n"], F.lit(0))
+    full = (F.col("_i") - oldest["_i"] == delay + window - 1) & (count == window)
+    made = {}
+    if "mean" in stats:
+        made["mean"] = F.when(full, (newest["_s"] - F.coalesce(before["_s"], F.lit(0.0))) / window)
+    if "std" in stats:
+        made["std"] = F.when(full, _trailing_std(window, delay, w, past))
+    return made
 
 
 def lags(
@@ -104,7 +158,9 @@ def lags(
     if mode != "window":
         raise ValueError("mode must be 'window' or 'join'")
     chunks = Chunks(panel, max(offsets), keys, chunk_hours)
-    return chunks.own(chunks.df.withColumns({f"lag_{k}": _lag(Y, k, chunks.window) for k in offsets}))
+    past = _Past(chunks.window, ["_i", Y])
+    made = {f"lag_{k}": past.value(Y, k) for k in offsets}
+    return chunks.own(chunks.df.withColumns(past.made).withColumns(made))
 
 
 def rolling(
@@ -117,12 +173,32 @@ def rolling(
 ) -> DataFrame:
     """Adds delayed trailing means and population deviations over full windows without NULL."""
     chunks = Chunks(panel, max(windows) + delay - 1, keys, chunk_hours)
+    return chunks.own(_with_past(chunks, keys, (), windows, delay, stats))
+
+
+def _with_past(
+    chunks: Chunks,
+    keys: Sequence[str],
+    offsets: Sequence[int],
+    windows: Sequence[int],
+    delay: int,
+    stats: Sequence[str],
+    row_columns: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """The chunks with lags and trailing windows."""
     out = _with_sums(chunks.df, chunks.window)
-    made = {}
+    columns = ["_i", Y, "_n", "_s"]
+    if "std" in stats and max(windows) >= BLOCK:
+        out = _with_blocks(out, keys, chunks.window)
+        columns.append("_day")
+    if row_columns is not None:
+        out = row_columns(out)
+    past = _Past(chunks.window, columns)
+    made = {f"lag_{k}": past.value(Y, k) for k in offsets}
     for size in windows:
-        parts = _trailing(size, delay, chunks.window)
-        made.update({f"roll_{s}_{size}": parts[s] for s in stats})
-    return chunks.own(out.withColumns(made))
+        for stat, column in _trailing(size, delay, chunks.window, past, stats).items():
+            made[f"roll_{stat}_{size}"] = column
+    return out.withColumns(past.made).withColumns(made)
 
 
 def lags_and_rolling(
@@ -141,14 +217,7 @@ def lags_and_rolling(
     """
     offsets = lag_offsets(delay)
     chunks = Chunks(panel, max(max(offsets), max(windows) + delay - 1), keys, chunk_hours)
-    out = _with_sums(chunks.df, chunks.window)
-    if row_columns is not None:
-        out = row_columns(out)
-    made = {f"lag_{k}": _lag(Y, k, chunks.window) for k in offsets}
-    for size in windows:
-        for stat, column in _trailing(size, delay, chunks.window).items():
-            made[f"roll_{stat}_{size}"] = column
-    return chunks.own(out.withColumns(made))
+    return chunks.own(_with_past(chunks, keys, offsets, windows, delay, ("mean", "std"), row_columns))
 
 
 def gaps(panel: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

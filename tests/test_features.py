@@ -118,3 +118,21 @@ def test_dst_hours_match_pandas_in_another_zone(spark):
 
 def test_schema_of_panel(spark):
     assert to_spark(spark, history(), PANEL).schema["pickup_hour"].dataType.simpleString() == "timestamp_ntz"
+
+
+@pytest.mark.parametrize("chunk_hours", [2016, 50])
+def test_deviations_survive_a_change_of_level(spark, chunk_hours):
+    """Counts of 0 and then around 1e7, with an unknown hour: as exact as a fresh window."""
+    rng = np.random.default_rng(4)
+    y = np.concatenate([np.zeros(300), 1e7 + rng.integers(0, 2, 400), 1e7 + rng.random(300)])
+    y[850] = np.nan
+    pdf = pd.DataFrame({"pickup_hour": pd.date_range("2024-01-01 05:00", periods=len(y), freq="h"), "trips_count": y})
+    got = windows.rolling(to_spark(spark, pdf), (3, 24, 25, 60, 168), 2, chunk_hours=chunk_hours).orderBy("pickup_hour").toPandas()
+    for size in (3, 24, 25, 60, 168):
+        for at in range(len(y)):
+            part = y[at - size - 1 : at - 1] if at >= size + 1 else np.array([np.nan])
+            found = got[f"roll_std_{size}"][at]
+            if np.isnan(part).any():
+                assert np.isnan(found), (size, at)
+            else:
+                assert found == pytest.approx(part.std(), rel=1e-7, abs=1e-9), (size, at)

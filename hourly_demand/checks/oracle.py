@@ -274,11 +274,12 @@ FIRST = "(SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16')"
 SECOND = "(SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-16')"
 
 
-def _monitor() -> str:
-    """Zone reference from the fit hours; zones with few distinct deciles have fewer bins."""
+def _monitor(zone: str = "zone_id", keys: str = "zone_id, period") -> str:
+    """Reference from the fit hours of each zone, or of all rows with a constant for the zone; few distinct deciles make fewer bins."""
     ds = ", ".join(f"d{i}" for i in range(1, 10))
     more = f"""
-    fit AS (SELECT zone_id, trips_count FROM complete WHERE pickup_hour < TIMESTAMP '2024-01-23'),
+    watched AS (SELECT * REPLACE ({zone} AS zone_id) FROM pred),
+    fit AS (SELECT {zone} AS zone_id, trips_count FROM complete WHERE pickup_hour < TIMESTAMP '2024-01-23'),
     cut AS ({_deciles('trips_count', 'zone_id', 'fit')}),
     edges AS (SELECT zone_id, list_sort([x for x in list_distinct([{ds}]) if x > lo AND x < hi]) AS cuts FROM cut),
     bins AS (SELECT zone_id, unnest(generate_series(0, len(cuts))) AS bin FROM edges),
@@ -288,14 +289,14 @@ def _monitor() -> str:
     obs AS (SELECT b.zone_id, period, b.bin, (coalesce(n, 0) + 0.5::DOUBLE) / sum(coalesce(n, 0) + 0.5::DOUBLE) OVER (PARTITION BY b.zone_id, period) AS share
             FROM bins b CROSS JOIN periods
             LEFT JOIN (SELECT zone_id, period, len([x for x in cuts if x <= trips_count]) AS bin, count(*) AS n
-                       FROM pred JOIN edges USING (zone_id) GROUP BY ALL) c USING (zone_id, period, bin)),
+                       FROM watched JOIN edges USING (zone_id) GROUP BY ALL) c USING (zone_id, period, bin)),
     drift AS (SELECT zone_id, period, sum((o.share - r.share) * ln(o.share / r.share)) AS psi
               FROM obs o JOIN ref r USING (zone_id, bin) GROUP BY ALL),
     sc AS (SELECT zone_id, period, count(*) AS n, avg(abs_error) AS mae, sqrt(avg(abs_error * abs_error)) AS rmse,
                   CASE WHEN sum(trips_count) <> 0 THEN 100 * sum(abs_error) / sum(trips_count) END AS wape,
-                  avg(covered::INT) AS cov FROM pred GROUP BY ALL)"""
+                  avg(covered::INT) AS cov FROM watched GROUP BY ALL)"""
     body = f"""
-    SELECT zone_id, period, {r('psi')}, n, 0::BIGINT AS n_bad, {r('mae', 'MAE')}, {r('rmse', 'RMSE')},
+    SELECT {keys}, {r('psi')}, n, 0::BIGINT AS n_bad, {r('mae', 'MAE')}, {r('rmse', 'RMSE')},
            {r('wape', 'WAPE_pct')}, {r('cov', 'coverage')},
            concat_ws(',', CASE WHEN psi > 0.2 THEN 'psi_above_0.2' END, CASE WHEN mae > 0.15 THEN 'mae_above_limit' END,
                      CASE WHEN cov < 0.85 THEN 'coverage_below_0.85' END) AS alerts
@@ -452,10 +453,12 @@ def oracle() -> dict[str, str]:
            ON o.zone_id = s.zone_id AND o.pickup_hour = h.pickup_hour WHERE o.zone_id IS NULL"""
     )
     out["merge_partials"] = out["union_months"]
+    # Each hour also stands at the hours that look back at it, so no table is joined to itself.
     out["lag_join"] = sql(
-        """SELECT a.*, b.trips_count AS lag_1, c.trips_count AS lag_24 FROM panel a
-           LEFT JOIN panel b ON b.zone_id = a.zone_id AND b.pickup_hour = a.pickup_hour - INTERVAL 1 HOUR
-           LEFT JOIN panel c ON c.zone_id = a.zone_id AND c.pickup_hour = a.pickup_hour - INTERVAL 24 HOUR"""
+        """SELECT zone_id, moved AS pickup_hour, max(trips_count) FILTER (k = 0) AS trips_count,
+                  max(trips_count) FILTER (k = 1) AS lag_1, max(trips_count) FILTER (k = 24) AS lag_24
+           FROM (SELECT zone_id, trips_count, k, pickup_hour + to_hours(k) AS moved FROM panel, (VALUES (0), (1), (24)) v(k))
+           GROUP BY zone_id, moved HAVING count(*) FILTER (k = 0) > 0"""
     )
     out["fold_assign"] = sql(
         """SELECT panel.*, fold, CASE WHEN pickup_hour < s THEN 'train' ELSE 'valid' END AS role
@@ -672,8 +675,10 @@ def oracle() -> dict[str, str]:
             WHERE i % greatest(1, n // 100) = 0"""
     )
     out["cyclic_shift"] = _with_more(
-        f"""SELECT a.zone_id, a.pickup_hour, a.trips_count, b.lag_1, b.lag_24, {r('a.roll_mean_3', 'roll_mean_3')}
-            FROM placed a JOIN placed b ON a.zone_id = b.zone_id AND a.i = (b.i + 30) % b.n""",
+        f"""SELECT zone_id, max(pickup_hour) FILTER (own) AS pickup_hour, max(trips_count) FILTER (own) AS trips_count,
+                   max(lag_1) FILTER (NOT own) AS lag_1, max(lag_24) FILTER (NOT own) AS lag_24, {r('max(roll_mean_3) FILTER (own)', 'roll_mean_3')}
+            FROM (SELECT *, CASE WHEN own THEN i ELSE (i + 30) % n END AS place FROM placed, (VALUES (true), (false)) v(own))
+            GROUP BY zone_id, place""",
         f"""placed AS (SELECT *, row_number() OVER ({part}) - 1 AS i, count(*) OVER (PARTITION BY zone_id) AS n FROM complete)""",
     )
     out["history_tail"] = sql(
@@ -753,17 +758,36 @@ def oracle() -> dict[str, str]:
             FROM complete WINDOW g AS (PARTITION BY zone_id)"""
     )
     out["weekly_naive"] = sql(f"SELECT *, lag(trips_count, 168) OVER ({part}) AS prediction FROM panel")
-    out["next_hour"] = _with_more(
-        f"""SELECT p.zone_id, TIMESTAMP '2024-01-30 00:00:00' AS pickup_hour, p.trips_count AS prediction,
-                   {r('greatest(0.0::DOUBLE, p.trips_count - q * sqrt(greatest(1.0::DOUBLE, p.trips_count)))', 'lower')},
-                   {r('p.trips_count + q * sqrt(greatest(1.0::DOUBLE, p.trips_count))', 'upper')}, 'ok' AS status
-            FROM panel p JOIN sr ON sr.zone_id = p.zone_id WHERE p.pickup_hour = TIMESTAMP '2024-01-23'""",
-        f"""sr AS (SELECT zone_id, max(score) AS q FROM (
-              SELECT zone_id, score, row_number() OVER (PARTITION BY zone_id ORDER BY score) AS k, count(*) OVER (PARTITION BY zone_id) AS n
-              FROM (SELECT zone_id, abs(trips_count - lag_168) / sqrt(greatest(1.0::DOUBLE, lag_168)) AS score FROM complete
-                    WHERE pickup_hour >= TIMESTAMP '2024-01-23' AND pickup_hour < TIMESTAMP '2024-01-26'))
-              WHERE k = {rank} GROUP BY zone_id)""",
-    )
+    # Radius and last week's value of a zone from one pass over its rows.
+    scores = "abs(trips_count - lag_168) / sqrt(greatest(1.0::DOUBLE, lag_168))"
+    inside = "pickup_hour >= TIMESTAMP '2024-01-23' AND pickup_hour < TIMESTAMP '2024-01-26'"
+    scored = f"""SELECT zone_id, list_sort(list({scores}) FILTER ({inside})) AS sorted, count(*) FILTER ({inside}) AS n,
+                        list({{'h': pickup_hour, 'y': trips_count}}) FILTER (pickup_hour >= TIMESTAMP '2024-01-22 01:00:00') AS later
+                 FROM complete GROUP BY zone_id"""
+    radius = f"sorted[{rank}::INT]"
+
+    def bounded(p: str) -> str:
+        spread = f"{radius} * sqrt(greatest(1.0::DOUBLE, {p}))"
+        return f"{r(f'greatest(0.0::DOUBLE, {p} - {spread})', 'lower')}, {r(f'{p} + {spread}', 'upper')}, 'ok' AS status"
+
+    out["next_hour"] = sql(
+        f"""SELECT zone_id, TIMESTAMP '2024-01-30 00:00:00' AS pickup_hour, p AS prediction, {bounded('p')}
+            FROM (SELECT *, list_filter(later, lambda x: x.h = TIMESTAMP '2024-01-23')[1].y AS p FROM ({scored}))"""
+    )
+    out["stream_forecast"] = sql(
+        f"""SELECT zone_id, o.h + INTERVAL 168 HOUR AS pickup_hour, o.y AS prediction, {bounded('o.y')}
+            FROM (SELECT * EXCLUDE (later), unnest(later) AS o FROM ({scored})) WHERE o.h <= TIMESTAMP '2024-01-23'"""
+    )
+    # A stream has closed the hours that end a delay before its newest trip; only trips that pass the rules before the zone rule count.
+    newest = "(SELECT max(date_trunc('second', pickup_datetime)) FROM judged WHERE verdict IN ({}))"
+    closed = "pickup_hour + INTERVAL 2 HOUR <= " + newest
+    out["stream_hourly"] = sql(f"SELECT * FROM counts WHERE {closed.format("'kept', 'zone'")}")
+    out["late_rows"] = sql(f"SELECT *, 0::BIGINT AS emitted, trips_count AS late FROM counts WHERE NOT ({closed.format("'kept', 'zone'")})")
+    out["stream_audit"] = sql(
+        f"""SELECT verdict, CASE WHEN verdict <> 'date' THEN pickup_hour END AS pickup_hour, count(*) AS n FROM judged
+            WHERE verdict = 'date' OR {closed.format("'kept', 'zone', 'values'")} GROUP BY ALL"""
+    )
+    out["stream_monitor"] = _monitor("1", "period")
     out["inner_split"] = sql(
         """SELECT *, n_fit >= 30 AND n_calibration >= 30 AND n_valid > 0 AS ok FROM (
              SELECT zone_id, fold, count(*) FILTER (pickup_hour < s - INTERVAL 50 HOUR) AS n_fit,

@@ -909,9 +909,11 @@ def stream_hourly(spark, sf):
 
 @query
 def stream_audit(spark, sf):
+    """Raw trips per verdict and closed hour; all date rejects, which have no hour."""
     root = shared.shared_folder(spark, "stream-audit")
     counts = hourly.stream_audit(_stream(spark, sf), RULES, zones(spark, sf), 1)
-    return hourly.run_to_table(counts, f"{root}/out", f"{root}/state")
+    rows = hourly.run_to_table(counts, f"{root}/out", f"{root}/state")
+    return rows.groupBy("verdict", TS).agg(F.sum("n").alias("n"))
 
 
 @query
@@ -923,27 +925,29 @@ def late_rows(spark, sf):
 
 @query
 def stream_monitor(spark, sf):
-    """Predictions arrive as files; each micro-batch leaves its monitoring rows."""
+    """Predictions arrive as files, several micro-batches of them; the sums of all make the rows."""
     root = shared.shared_folder(spark, "stream-monitor")
-    pred = predictions(spark, sf)
-    pred.write.parquet(f"{root}/in")
-    ref = drift.reference_distribution(_train(spark, sf))
-    stream = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).parquet(f"{root}/in")
-    hourly.run_batches(stream, hourly.monitor_batch(ref, f"{root}/out"), f"{root}/state")
-    return rounded(spark.read.parquet(f"{root}/out"))
+    predictions(spark, sf).repartition(4, "zone_id").write.parquet(f"{root}/in")
+    shared.checkpoint_root(spark)
+    ref = drift.reference_distribution(_train(spark, sf)).checkpoint()
+    reader = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).option("maxFilesPerTrigger", 2)
+    hourly.run_batches(reader.parquet(f"{root}/in"), hourly.monitor_batch(ref, f"{root}/out"), f"{root}/state")
+    out = hourly.merged_monitor(spark, f"{root}/out", ref, max_mae=0.15)
+    return rounded(out.withColumn("alerts", F.concat_ws(",", "alerts")))
 
 
 @query
 def stream_forecast(spark, sf):
-    """Closed hours arrive as files; each micro-batch forecasts the next hour of every zone."""
+    """Closed hours arrive as files, a day of them at once; every one of them gives a forecast."""
     root = shared.shared_folder(spark, "stream-forecast")
     p = zone_panel(spark, sf)
     cut = F.lit("2024-01-29 00:00:00").cast("timestamp_ntz")
-    p.filter(F.col(TS) < cut).write.parquet(f"{root}/stored")
+    month = F.date_trunc("month", TS).cast("date")
+    p.filter(F.col(TS) < cut).withColumn("month", month).write.partitionBy("month").parquet(f"{root}/stored")
     p.filter(F.col(TS) >= cut).write.parquet(f"{root}/in")
     _radii(spark, sf).write.parquet(f"{root}/radii")
     model = forecast.naive_model(spark.read.parquet(f"{root}/radii"), "2024-01-23", 1, KEYS)
     stream = spark.readStream.schema(p.schema).parquet(f"{root}/in")
-    write = hourly.forecast_batch(lambda: spark.read.parquet(f"{root}/stored"), model, f"{root}/out", KEYS)
+    write = hourly.forecast_batch(hourly.stored_since(spark, f"{root}/stored"), model, f"{root}/out", KEYS)
     hourly.run_batches(stream, write, f"{root}/state")
-    return rounded(spark.read.parquet(f"{root}/out"))
+    return rounded(spark.read.parquet(f"{root}/out").drop("batch"))

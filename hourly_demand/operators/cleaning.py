@@ -39,7 +39,7 @@ def _holds(rule: Column) -> Column:
     return F.coalesce(rule, F.lit(False))
 
 
-def _before_zone(trips: DataFrame, rules: Rules) -> Column:
+def before_zone(trips: DataFrame, rules: Rules) -> Column:
     """First failing rule among date and values, or `ok`; a missing value fails its rule."""
     outside, invalid = ~_holds(in_period(trips, rules)), ~_holds(valid_values(rules))
     return F.when(outside, "date").when(invalid, "values").otherwise("ok")
@@ -58,14 +58,15 @@ def in_zones(trips: DataFrame, zones: DataFrame, on: str = "zone_id") -> DataFra
     return trips.join(zones.select(on), on, "left_semi")
 
 
+def with_zone_verdict(marked: DataFrame, zones: DataFrame, before: str = "_before") -> DataFrame:
+    """`verdict` from the outcome of the rules before the zone rule, for trips or counts of them."""
+    joined = marked.join(_markers(zones), "zone_id", "left")
+    return joined.withColumn("verdict", _zone_verdict(F.col(before), F.col("_known"))).drop(before, "_known")
+
+
 def classify(trips: DataFrame, rules: Rules, zones: DataFrame) -> DataFrame:
     """Adds `verdict` to every trip: the first failing rule, or `kept`."""
-    return (
-        trips.withColumn("_before", _before_zone(trips, rules))
-        .join(_markers(zones), "zone_id", "left")
-        .withColumn("verdict", _zone_verdict(F.col("_before"), F.col("_known")))
-        .drop("_before", "_known")
-    )
+    return with_zone_verdict(trips.withColumn("_before", before_zone(trips, rules)), zones)
 
 
 def verdict_cube(trips: DataFrame, zones: DataFrame, rules: Rules) -> DataFrame:
@@ -78,7 +79,7 @@ def verdict_cube(trips: DataFrame, zones: DataFrame, rules: Rules) -> DataFrame:
     months = ["file_month"] if "file_month" in trips.columns else []
     never_null = F.coalesce("pickup_datetime", ntz(rules.start))
     cube = (
-        trips.select(*months, "zone_id", scan_hour(never_null).alias("_hour"), _before_zone(trips, rules).alias("_before"))
+        trips.select(*months, "zone_id", scan_hour(never_null).alias("_hour"), before_zone(trips, rules).alias("_before"))
         .select(*months, "zone_id", F.when(F.col("_before") != "date", F.col("_hour")).alias(TS), "_before")
         .groupBy(*months, "zone_id", TS, "_before")
         .agg(F.count("*").alias("n"))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..config import Y
 from ..functions.errors import is_finite
 from .groups import attach, sized
-from .metrics import score_columns
 from .ranks import quantiles
 
 # Multiples of a step of 0.1, so 0.30000000000000004 and not 0.3: where a decile falls exactly on a
@@ -145,6 +144,67 @@ def alert_list(psi_: Column, mae: Column | None, coverage: Column | None, max_ma
     return F.array_compact(F.array(*found))
 
 
+#: Sums that make a monitoring row; all of them add up over parts of a group.
+SUMS = ("n", "n_bad", "sum_abs", "sum_square", "sum_target", "n_bounded", "n_covered")
+
+
+def _sum_columns(y: str) -> list[Column]:
+    good = is_finite(y) & is_finite("prediction")
+    e = F.when(good, F.col(y) - F.col("prediction"))
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(~good).alias("n_bad"),
+        F.sum(F.abs(e)).alias("sum_abs"),
+        F.sum(e * e).alias("sum_square"),
+        F.sum(F.when(good, F.col(y).cast("double"))).alias("sum_target"),
+        F.count("covered").alias("n_bounded"),
+        F.count_if("covered").alias("n_covered"),
+        _bin_counts(F.col(y).cast("double"), F.col("edges")).alias("bins"),
+    ]
+
+
+def _monitoring_rows(sums: DataFrame, by: Sequence[str], max_mae: float | None) -> DataFrame:
+    """Rows from sums with the edges and probabilities of their reference."""
+    ok = F.col("n_bad") == 0
+    share = F.lit(100) * F.col("sum_abs") / F.col("sum_target")
+    out = sums.withColumns(
+        {
+            "psi": _psi(_shares(F.col("bins"), F.col("edges")), F.col("probabilities")),
+            "MAE": F.when(ok, F.col("sum_abs") / F.col("n")),
+            "RMSE": F.when(ok, F.sqrt(F.col("sum_square") / F.col("n"))),
+            "WAPE_pct": F.when(ok & (F.col("sum_target") != 0), share),
+            "coverage": F.when(F.col("n_bounded") > 0, F.col("n_covered") / F.col("n_bounded")),
+        }
+    )
+    alerts = alert_list(F.col("psi"), F.col("MAE"), F.col("coverage"), max_mae).alias("alerts")
+    return out.select(*by, "psi", "n", "n_bad", "MAE", "RMSE", "WAPE_pct", "coverage", alerts)
+
+
+def _with_coverage(pred: DataFrame, y: str) -> DataFrame:
+    return pred if "covered" in pred.columns else pred.withColumn("covered", F.col(y).between(F.col("lower"), F.col("upper")))
+
+
+def monitor_sums(
+    pred: DataFrame, reference: DataFrame, by: Sequence[str] = ("period",), ref_by: Sequence[str] = (), y: str = Y
+) -> DataFrame:
+    """What some predictions add to the monitoring of their groups: counts by bin, sums of errors."""
+    joined = attach(_with_coverage(pred, y), reference.select(*ref_by, "edges"), ref_by)
+    return joined.groupBy(*by).agg(*_sum_columns(y))
+
+
+def monitor_merged(
+    sums: DataFrame,
+    reference: DataFrame,
+    by: Sequence[str] = ("period",),
+    ref_by: Sequence[str] = (),
+    max_mae: float | None = None,
+) -> DataFrame:
+    """Monitoring row per group from any number of its parts."""
+    bins = F.array(*[F.sum(F.get("bins", F.lit(i))) for i in range(MAX_BINS)]).alias("bins")
+    whole = sums.groupBy(*by).agg(*[F.sum(c).alias(c) for c in SUMS], bins)
+    return _monitoring_rows(attach(whole, reference.select(*ref_by, "edges", "probabilities"), ref_by), by, max_mae)
+
+
 def monitor(
     pred: DataFrame,
     reference: DataFrame,
@@ -158,26 +218,6 @@ def monitor(
     Predictions need `prediction`, and `covered` or the bounds. Rows with a missing or infinite
     target are counted in `n_bad` and leave the scores of their group NULL.
     """
-    if "covered" not in pred.columns:
-        pred = pred.withColumn("covered", F.col(y).between(F.col("lower"), F.col("upper")))
-    out = (
-        attach(pred, _reference(reference, ref_by), ref_by)
-        .groupBy(*by)
-        .agg(
-            *score_columns(y)[:5],
-            F.avg(F.col("covered").cast("double")).alias("coverage"),
-            *_drift_aggregates(F.col(y).cast("double")),
-        )
-        .withColumn("psi", _psi_of_group())
-    )
-    return out.select(
-        *by,
-        "psi",
-        "n",
-        "n_bad",
-        "MAE",
-        "RMSE",
-        "WAPE_pct",
-        "coverage",
-        alert_list(F.col("psi"), F.col("MAE"), F.col("coverage"), max_mae).alias("alerts"),
-    )
+    joined = attach(_with_coverage(pred, y), _reference(reference, ref_by), ref_by)
+    expected = [F.any_value(c).alias(c) for c in ("edges", "probabilities")]
+    return _monitoring_rows(joined.groupBy(*by).agg(*_sum_columns(y), *expected), by, max_mae)

@@ -35,6 +35,15 @@ def null_safe_join(left: DataFrame, right: DataFrame, by: Sequence[str], how: st
     return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in by])
 
 
+def null_safe_anti(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of left without a row in right that is equal in `by`; NULL equals NULL."""
+    renamed = right.select(*[F.col(k).alias(f"_right_{k}") for k in by])
+    same = F.lit(True)
+    for k in by:
+        same = same & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(renamed, same, "left_anti")
+
+
 def sized(summary: DataFrame) -> DataFrame:
     """Stores a per-group summary and marks it for broadcast if it proves small. Runs jobs.
 

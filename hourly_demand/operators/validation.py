@@ -103,22 +103,41 @@ def history_status(
     first = last - timedelta(hours=length - 1)
     recent = F.coalesce(F.sum(F.when(F.col(TS) >= ntz(first), F.col("_rows"))), F.lit(0))
     found = _counted_violations(panel, keys, False, F.max(TS).alias("last_hour"), recent.alias("n_recent"))
+    return _judged(found, ntz(last), _crosses_dst(ntz(first), ntz(target), zone), length).select(
+        *keys, "last_hour", "n_recent", "n_bad", "status"
+    )
+
+
+def frame_status(
+    frames: DataFrame, last: str, delay: int = 1, keys: Sequence[str] = (), zone: str = "America/New_York", length: int = 168
+) -> DataFrame:
+    """As `history_status`, for many histories at once: per keys and the hour `last` they should end in.
+
+    frames: keys, last, hour and target, each history on its own rows.
+    """
+    hours_back, hour = check_delay(delay), F.expr("INTERVAL '1' HOUR")
+    by = [*keys, last]
+    found = _counted_violations(frames, by, False, F.max(TS).alias("last_hour"), F.count("*").alias("n_recent"))
+    crosses = _crosses_dst(F.col(last) - (length - 1) * hour, F.col(last) + hours_back * hour, zone)
+    return _judged(found, F.col(last), crosses, length).select(*by, "last_hour", "n_recent", "n_bad", "status")
+
+
+def _judged(found: DataFrame, last: Column, crosses_dst: Column, length: int) -> DataFrame:
     total = F.lit(0).cast("bigint")
     for check in CHECKS:
         total = total + F.col(check)
-    joined = found.withColumn("n_bad", total)
     status = (
         F.when(F.col("n_bad") > 0, "invalid")
-        .when(F.coalesce(F.col("last_hour") != ntz(last), F.lit(True)), "stale")
-        .when(_crosses_dst(first, target, zone), "dst")
+        .when(F.coalesce(F.col("last_hour") != last, F.lit(True)), "stale")
+        .when(crosses_dst, "dst")
         .when(F.col("n_recent") != length, "short")
         .otherwise("ok")
     )
-    return joined.select(*keys, "last_hour", F.col("n_recent"), F.col("n_bad"), status.alias("status"))
+    return found.withColumn("n_bad", total).withColumn("status", status)
 
 
-def _crosses_dst(first: datetime, target: datetime, zone: str) -> Column:
-    steps = F.sequence(ntz(first), ntz(target), F.expr("INTERVAL '1' HOUR"))
+def _crosses_dst(first: Column, target: Column, zone: str) -> Column:
+    steps = F.sequence(first, target, F.expr("INTERVAL '1' HOUR"))
     return F.exists(steps, lambda h: is_dst_hour(h, zone))
 
 

@@ -8,19 +8,21 @@ from dataclasses import dataclass, field
 from datetime import timedelta
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import TS, Y, check_delay
 from ..functions.time import ntz
-from ..operators.groups import attach
+from ..operators.groups import attach, null_safe_join
 from ..operators.intervals import apply_radius
-from ..operators.validation import history_status, live_check, target_hour
+from ..operators.validation import frame_status, history_status, live_check, target_hour
 from ..sources.writers import write_json
 from .features import features
 
 SCHEMA_VERSION = 1
 HISTORY_HOURS = 168
+#: Column of the newest hour that a forecast of `forecast_hours` sees.
+CLOSED = "closed_hour"
 
 
 @dataclass(frozen=True)
@@ -138,18 +140,46 @@ def forecast(
     row = table.filter(F.col(TS) == ntz(target_hour(target))).dropna(subset=["lag_168", *model.columns])
     # A series with doubled hours has more than one such row; its status blanks it below.
     row = row.dropDuplicates(list(keys) or [TS])
-    predicted = apply_radius(model.predict(row), model.radii, model.keys, "left")
-    made = predicted.select(*keys, "prediction", "lower", "upper")
+    return _answered(status, row, model, keys, ntz(target_hour(target)), keys)
+
+
+def _answered(status: DataFrame, rows: DataFrame, model: ForecastModel, keys: Sequence[str], target: Column, by: Sequence[str]) -> DataFrame:
+    """Forecasts of the target rows, one per row of status; `by` are the columns that both share."""
+    predicted = apply_radius(model.predict(rows), model.radii, model.keys, "left")
+    made = predicted.select(*by, "prediction", "lower", "upper")
     usable = F.col("status") == "ok"
     bare = usable & F.col("prediction").isNotNull() & F.col("lower").isNull()
-    return attach(status, made, keys, "left").select(
+    return attach(status, made, by, "left").select(
         *keys,
-        ntz(target_hour(target)).alias(TS),
+        target.alias(TS),
         *[F.when(usable, F.col(c)).alias(c) for c in ("prediction", "lower", "upper")],
         F.when(bare, "no_radius").otherwise(F.col("status")).alias("status"),
     )
 
 
+def forecast_hours(history: DataFrame, closed: DataFrame, model: ForecastModel, keys: Sequence[str] = ()) -> DataFrame:
+    """A forecast from each closed hour of each series, all in one pass.
+
+    closed: keys and hour. The target lies the delay after its closed hour. Every closed hour gets a
+    frame of its own with the week up to it, so a forecast sees nothing later, and the row of a
+    forecast is the same as `forecast` on that week gives.
+    """
+    hour = F.expr("INTERVAL '1' HOUR")
+    last = F.col(CLOSED)
+    wanted = closed.select(*keys, F.col(TS).alias(CLOSED)).distinct()
+    # The hours of each frame and the empty ones up to its target; the history meets them by equality.
+    spread = F.sequence(last - (HISTORY_HOURS - 1) * hour, last + model.delay * hour, hour)
+    frames = null_safe_join(wanted.withColumn(TS, F.explode(spread)), history.select(*keys, TS, F.lit(True).alias("_held"), F.col(Y).cast("double").alias(Y)), [*keys, TS], "left")
+    by = [*keys, CLOSED]
+    frames = frames.withColumns({Y: F.when(F.col(TS) <= last, F.col(Y)), "_held": (F.col(TS) <= last) & F.col("_held")})
+    status = wanted.transform(
+        lambda w: attach(w, frame_status(frames.filter("_held").select(*by, TS, Y), CLOSED, model.delay, keys, model.zone, HISTORY_HOURS).select(*by, "status"), by, "left")
+    ).withColumn("status", F.coalesce("status", F.lit("stale")))
+    table = features(frames.select(*by, TS, Y), model.delay, by)
+    rows = table.filter(F.col(TS) == last + model.delay * hour).dropna(subset=["lag_168", *model.columns]).dropDuplicates(by)
+    return _answered(status, rows, model, keys, last + model.delay * hour, by)
+
+
 def naive_model(
     radii: DataFrame, fitted_until: str, delay: int = 1, keys: Sequence[str] = (), reference: DataFrame | None = None
 ) -> ForecastModel:

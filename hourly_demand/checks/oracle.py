@@ -89,7 +89,7 @@ CTES["cand"] = """
          ('Mean_lags', 'Mean', 13), ('Mean_full', 'Mean', 19)) c(candidate, family, n_features)"""
 CTES["cv"] = """
     SELECT zone_id, candidate, family, fold, max(n_features)::INT AS n_features,
-           count(*) FILTER (fit) AS n_train, avg(abs(trips_count - p)) FILTER (fit) AS train_MAE,
+           count(*) FILTER (fit) AS n_train, count(*) FILTER (cal) AS n_calibration, avg(abs(trips_count - p)) FILTER (fit) AS train_MAE,
            count(*) FILTER (val) AS n_validation, 0::BIGINT AS n_bad,
            avg(abs(trips_count - p)) FILTER (val) AS MAE,
            sqrt(avg((trips_count - p) * (trips_count - p)) FILTER (val)) AS RMSE,
@@ -99,7 +99,8 @@ CTES["cv"] = """
                 AS BusinessLoss,
            avg(CASE WHEN trips_count > p THEN 3 * (trips_count - p) ELSE p - trips_count END) FILTER (val)
                 AS BusinessLossPerHour
-    FROM (SELECT cand.*, fold, pickup_hour < s - INTERVAL 48 HOUR AS fit, pickup_hour >= s AS val
+    FROM (SELECT cand.*, fold, pickup_hour < s - INTERVAL 48 HOUR AS fit, pickup_hour >= s AS val,
+                 pickup_hour >= s - INTERVAL 48 HOUR AND pickup_hour < s AS cal
           FROM cand JOIN folds ON pickup_hour < e)
     GROUP BY zone_id, candidate, family, fold"""
 CTES["board"] = f"""
@@ -506,7 +507,7 @@ def oracle() -> dict[str, str]:
     board_cols = ["MAE_mean", "MAE_std", "MAE_median", "MAE_max", "RMSE_mean", "WAPE_mean"]
     board_cols += ["BusinessLossPerHour_mean", "BusinessLossPerHour_std", "train_MAE_mean"]
     out["leaderboard"] = sql(
-        f"SELECT zone_id, candidate, family, {', '.join(r(c, digits=9) for c in board_cols)}, n_features, n_folds FROM board"
+        f"SELECT zone_id, candidate, family, {', '.join(r(c, digits=9) for c in board_cols)}, n_features, n_folds, 0::BIGINT AS n_short FROM board"
     )
     out["interval_scores"] = _with_more(
         f"SELECT zone_id, candidate, fold, method, {r('coverage')}, {r('mean_width')}, n FROM per_fold",
@@ -799,8 +800,30 @@ def oracle() -> dict[str, str]:
     )
     scores = ["MAE", "RMSE", "WAPE_pct", "BusinessLoss", "BusinessLossPerHour"]
     out["cv_naive"] = sql(
-        f"""SELECT zone_id, candidate, family, fold, n_features, n_train, {r('train_MAE')}, n_validation, n_bad,
-                   {', '.join(r(c) for c in scores)} FROM cv"""
+        f"""SELECT zone_id, candidate, family, fold, n_features, n_train, n_calibration, {r('train_MAE')}, n_validation, n_bad,
+                   {', '.join(r(c) for c in scores)}, CASE WHEN n_train < 30 THEN 'short_fit' WHEN n_calibration < 30 THEN 'short_calibration' ELSE 'ok' END AS status
+            FROM cv"""
+    )
+    # Every third zone begins too late for the first fold, so it has neither scores nor a champion.
+    late = CTES["cv"].replace("FROM cand JOIN", "FROM (SELECT * FROM cand WHERE zone_id % 3 <> 0 OR pickup_hour >= TIMESTAMP '2024-01-11') cand JOIN")
+    out["short_fold"] = _with_more(
+        f"""SELECT zone_id, candidate, n_folds, n_short, {r('CASE WHEN n_short = 0 THEN m END', 'MAE_mean')},
+                   n_short = 0 AND row_number() OVER (PARTITION BY zone_id ORDER BY eligible DESC, n_features, spread NULLS LAST, candidate) = 1 AS selected
+            FROM (SELECT *, round(m, 12) <= round(min(m) OVER (PARTITION BY zone_id) * 1.01::DOUBLE + 1e-12, 12) AS eligible FROM (
+                SELECT zone_id, candidate, count(*) AS n_folds, count(*) FILTER (n_train < 30 OR n_calibration < 30) AS n_short,
+                       avg(MAE) AS m, stddev_samp(MAE) AS spread, max(n_features) AS n_features FROM late_cv GROUP BY zone_id, candidate))""",
+        f"late_cv AS ({late})",
+    )
+    broken = """broken AS (
+        SELECT zone_id, pickup_hour, CASE WHEN zone_id % 5 = 0 AND pickup_hour = TIMESTAMP '2024-01-15 07:00:00' THEN -1 ELSE trips_count END AS y
+        FROM panel WHERE NOT (zone_id % 5 = 1 AND pickup_hour BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-19 04:00:00')
+        UNION ALL SELECT zone_id, pickup_hour, trips_count FROM panel WHERE zone_id % 5 = 2 AND pickup_hour = TIMESTAMP '2024-01-20')"""
+    out["feature_status"] = _with_more(
+        """SELECT zone_id, count(*) AS n_rows, datediff('hour', min(pickup_hour), max(pickup_hour)) + 1 - count(DISTINCT pickup_hour) AS n_missing,
+                  0::BIGINT AS n_no_time, 0::BIGINT AS n_off_hour, count(*) - count(DISTINCT pickup_hour) AS n_duplicate_hour,
+                  0::BIGINT AS n_not_finite, count(*) FILTER (y < 0) AS n_negative,
+                  CASE WHEN zone_id % 5 < 3 THEN 'invalid' ELSE 'ok' END AS status FROM broken GROUP BY zone_id""",
+        broken,
     )
     out["final_naive"] = sql(
         f"""SELECT zone_id, period, candidate, {r('coverage')}, {r('mean_width')}, n, n_bad, {', '.join(r(c) for c in scores)}

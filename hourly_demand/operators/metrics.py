@@ -92,12 +92,14 @@ def cost_scenarios(
     )
 
 
-def leaderboard(cv: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def leaderboard(cv: DataFrame, keys: Sequence[str] = (), folds: int | None = None) -> DataFrame:
     """One row per candidate over its folds; deviations are sample deviations.
 
-    A group holds one row per fold, so the exact median is cheap.
+    A group holds one row per fold, so the exact median is cheap. If the rows carry a status, or the
+    number of folds is given, `n_short` counts the folds that are not usable or missing; a candidate
+    that has one has no scores, as a mean over other folds would not compare with the others'.
     """
-    return cv.groupBy(*keys, "candidate", "family").agg(
+    scores = [
         F.avg("MAE").alias("MAE_mean"),
         F.stddev_samp("MAE").alias("MAE_std"),
         F.percentile("MAE", F.lit(0.5)).alias("MAE_median"),
@@ -107,9 +109,15 @@ def leaderboard(cv: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.avg("BusinessLossPerHour").alias("BusinessLossPerHour_mean"),
         F.stddev_samp("BusinessLossPerHour").alias("BusinessLossPerHour_std"),
         F.avg("train_MAE").alias("train_MAE_mean"),
-        F.max("n_features").alias("n_features"),
-        F.countDistinct("fold").alias("n_folds"),
-    )
+    ]
+    sizes = [F.max("n_features").alias("n_features"), F.countDistinct("fold").alias("n_folds")]
+    if "status" not in cv.columns:
+        return cv.groupBy(*keys, "candidate", "family").agg(*scores, *sizes)
+    board = cv.groupBy(*keys, "candidate", "family").agg(*scores, *sizes, F.count_if(F.col("status") != "ok").alias("n_short"))
+    if folds is not None:
+        board = board.withColumn("n_short", F.col("n_short") + F.lit(folds) - F.col("n_folds"))
+    scored = [c for c in board.columns if c.rsplit("_", 1)[-1] in ("mean", "std", "median", "max")]
+    return board.withColumns({c: F.when(F.col("n_short") == 0, F.col(c)) for c in scored})
 
 
 def interval_scores(df: DataFrame, by: Sequence[str] = (), y: str = Y) -> DataFrame:

@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import TS, Y, check_delay
-from ..functions.time import hour_index, hours
+from ..functions.time import floor_hour, hour_index, hours
 from .groups import attach, null_safe_join
 
 CHUNK_HOURS = 2016
+UNTIMED_CHUNKS = 256
 WINDOWS = (3, 24, 168)
 #: Rows of a block, the unit that deviations are put together from.
 BLOCK = 24
@@ -31,14 +32,22 @@ def lag_offsets(delay: int) -> list[int]:
 class Chunks:
     """A panel cut into chunks that each see `reach` earlier hours."""
 
-    def __init__(self, df: DataFrame, reach: int, keys: Sequence[str] = (), chunk_hours: int = CHUNK_HOURS):
+    def __init__(
+        self, df: DataFrame, reach: int, keys: Sequence[str] = (), chunk_hours: int = CHUNK_HOURS, untimed: bool = False
+    ):
         idx = hour_index(TS)
         first = F.floor(idx / chunk_hours)
         last = F.floor((idx + reach) / chunk_hours)
+        chunks = F.sequence(first, last)
+        own = F.col("_chunk") == F.floor(F.col("_i") / chunk_hours)
+        if untimed:
+            # Rows without a time are kept in chunks of their own, dealt out so that many make no hot chunk.
+            aside = -1 - F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(UNTIMED_CHUNKS))
+            chunks, own = F.when(idx.isNull(), F.array(aside)).otherwise(chunks), F.col("_i").isNull() | own
         self.df = (
             df.withColumn("_i", idx)
-            .withColumn("_chunk", F.explode(F.sequence(first, last)))
-            .withColumn("_own", F.col("_chunk") == F.floor(F.col("_i") / chunk_hours))
+            .withColumn("_chunk", F.explode(chunks))
+            .withColumn("_own", own)
             .withColumn("_block", F.floor(F.col("_i") / BLOCK))
         )
         # Blocks follow from the hour; named in the order, so that windows over blocks need no sort of their own.
@@ -208,6 +217,7 @@ def lags_and_rolling(
     windows: Sequence[int] = WINDOWS,
     chunk_hours: int = CHUNK_HOURS,
     row_columns: Callable[[DataFrame], DataFrame] | None = None,
+    checked: bool = False,
 ) -> DataFrame:
     """Lag and trailing-window features with one shuffle and one sort.
 
@@ -216,10 +226,25 @@ def lags_and_rolling(
     one method for all features would be too long for the JIT compiler.
     """
     offsets = lag_offsets(delay)
-    chunks = Chunks(panel, max(max(offsets), max(windows) + delay - 1), keys, chunk_hours)
+    chunks = Chunks(panel, max(max(offsets), max(windows) + delay - 1), keys, chunk_hours, checked)
+    if checked:
+        chunks.df = chunks.df.withColumn("violation", _violation(chunks.window))
     return chunks.own(_with_past(chunks, keys, offsets, windows, delay, ("mean", "std"), row_columns))
 
 
+def _violation(w) -> Column:
+    """How a row breaks the contract, from the row itself and the one before it. A NULL target is a known gap."""
+    y, step = F.col(Y).cast("double"), F.col("_i") - F.lag("_i").over(w)
+    return (
+        F.when(F.col("_i").isNull(), "no_time")
+        .when(step == 0, "duplicate_hour")
+        .when(F.col(TS) != floor_hour(TS), "off_hour")
+        .when(F.isnan(y) | (F.abs(y) == float("inf")), "not_finite")
+        .when(y < 0, "negative")
+        .when(step > 1, "missing_hour")
+    )
+
+
 def gaps(panel: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Per series: rows, distinct hours, hours expected between first and last, and the shortfall."""
     idx = hour_index(TS)

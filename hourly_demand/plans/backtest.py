@@ -18,7 +18,7 @@ from ..functions.errors import METHODS
 from ..functions.time import in_span, ntz
 from ..operators.groups import attach, exploded_literals
 from ..operators.intervals import apply_radius, bounds, conformal_radii, with_series_radius
-from ..operators.metrics import interval_scores, interval_summary, leaderboard, score_columns, with_errors
+from ..operators.metrics import SCORES, interval_scores, interval_summary, leaderboard, score_columns, with_errors
 from ..operators.selection import champion, choose_interval
 
 ROLES = ("is_fit", "is_core", "is_early", "is_calibration", "is_valid")
@@ -116,15 +116,28 @@ def with_candidates(table: DataFrame, candidates: Sequence[Candidate]) -> DataFr
 
 
 def cv_rows(predicted: DataFrame, protocol: Protocol, keys: Sequence[str] = ()) -> DataFrame:
-    """One row per series, candidate and fold: sizes, train MAE and validation scores."""
+    """One row per series, candidate and fold: sizes, status, train MAE and validation scores.
+
+    A fold whose fit or calibration part has fewer than `min_rows` rows, or that has nothing to
+    validate on, keeps its sizes and a status that says so; its scores are NULL.
+    """
     train_error = F.abs(F.col(Y) - F.col("prediction"))
     scores = score_columns(Y, "prediction", protocol.cost_under, protocol.cost_over, F.col("is_valid"))
-    return predicted.groupBy(*keys, "candidate", "family", "fold").agg(
+    made = predicted.groupBy(*keys, "candidate", "family", "fold").agg(
         F.max("n_features").alias("n_features"),
         F.count_if("is_fit").alias("n_train"),
+        F.count_if("is_calibration").alias("n_calibration"),
         F.avg(F.when(F.col("is_fit"), train_error)).alias("train_MAE"),
         *scores,
     ).withColumnRenamed("n", "n_validation")
+    status = (
+        F.when(F.col("n_train") < protocol.min_rows, "short_fit")
+        .when(F.col("n_calibration") < protocol.min_rows, "short_calibration")
+        .when(F.col("n_validation") == 0, "no_validation")
+        .otherwise("ok")
+    )
+    ok = F.col("status") == "ok"
+    return made.withColumn("status", status).withColumns({c: F.when(ok, F.col(c)) for c in ("train_MAE", *SCORES)})
 
 
 def narrow(table: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()) -> list[str]:
@@ -208,8 +221,12 @@ def pooled_interval_cv(predicted: DataFrame, protocol: Protocol) -> DataFrame:
 
 
 def select(cv: DataFrame, protocol: Protocol, keys: Sequence[str] = ()) -> DataFrame:
-    """Leaderboard with the champion of each series flagged."""
-    return champion(leaderboard(cv, keys), protocol.metric, keys=keys)
+    """Leaderboard with the champion of each series flagged.
+
+    A candidate with a fold that is too short or missing has no scores and is not chosen, so a series
+    without enough history has no champion; `n_short` says why.
+    """
+    return champion(leaderboard(cv, keys, len(protocol.folds)), protocol.metric, keys=keys)
 
 
 def interval_choice(per_fold: DataFrame, protocol: Protocol, keys: Sequence[str] = ()) -> DataFrame:

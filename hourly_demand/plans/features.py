@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import TS, Y
 from ..functions.calendar import calendar, cycles, holiday_flag
-from ..functions.time import in_span
+from ..functions.time import hour_index, in_span
 from ..operators.groups import attach
 from ..operators.windows import CHUNK_HOURS, WINDOWS, lag_offsets, lags_and_rolling
 
@@ -38,14 +38,35 @@ def calendar_features(df: DataFrame) -> DataFrame:
 
 
 def features(
-    panel: DataFrame, delay: int = 1, keys: Sequence[str] = (), chunk_hours: int = CHUNK_HOURS
+    panel: DataFrame, delay: int = 1, keys: Sequence[str] = (), chunk_hours: int = CHUNK_HOURS, checked: bool = False
 ) -> DataFrame:
     """Calendar, lag and trailing-window features of every hour of every series.
 
     Lags and windows take one shuffle and one sort; the calendar part is computed on the rows.
+    `checked` adds `violation`, how a row breaks the contract of a panel, found on the same sorted
+    rows: no_time, off_hour, duplicate_hour, missing_hour (before it), not_finite or negative, else
+    NULL. `series_status` turns it into a status per series.
     """
-    table = lags_and_rolling(panel, delay, keys, chunk_hours=chunk_hours, row_columns=calendar_features)
-    return table.select(*keys, TS, Y, *feature_sets(delay)["full"])
+    table = lags_and_rolling(panel, delay, keys, chunk_hours=chunk_hours, row_columns=calendar_features, checked=checked)
+    return table.select(*keys, TS, Y, *feature_sets(delay)["full"], *(["violation"] if checked else []))
+
+
+def series_status(table: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows, violations and status (ok, invalid) per series of a checked feature table.
+
+    Counts combine before they are shuffled, so the rows do not move again. Missing hours follow from
+    first and last hour and the number of hours between, so a gap of any length counts.
+    """
+    hour = hour_index(TS)
+    at = lambda code: F.count_if(F.col("violation") == code)
+    found = table.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        (F.max(hour) - F.min(hour) + 1 - (F.count(hour) - at("duplicate_hour"))).alias("n_missing"),
+        *[at(code).alias(f"n_{code}") for code in ("no_time", "off_hour", "duplicate_hour", "not_finite", "negative")],
+    )
+    found = found.withColumn("n_missing", F.coalesce("n_missing", F.lit(0)).cast("bigint"))
+    total = sum((F.col(c) for c in found.columns if c.startswith("n_") and c != "n_rows"), F.lit(0))
+    return found.withColumn("status", F.when(total > 0, "invalid").otherwise("ok"))
 
 
 def complete_rows(table: DataFrame) -> DataFrame:

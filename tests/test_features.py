@@ -9,7 +9,8 @@ from hourly_demand.functions.calendar import holiday_flag
 from hourly_demand.functions.time import is_dst_hour
 from hourly_demand.operators import windows
 from hourly_demand.operators.panel import dst_hours, hour_grid, null_dst
-from hourly_demand.plans.features import complete_rows, feature_sets, features
+from hourly_demand.operators.validation import panel_violations
+from hourly_demand.plans.features import complete_rows, feature_sets, features, series_status
 
 
 def test_later_values_do_not_change_earlier_features(spark):
@@ -136,3 +137,32 @@ def test_deviations_survive_a_change_of_level(spark, chunk_hours):
                 assert np.isnan(found), (size, at)
             else:
                 assert found == pytest.approx(part.std(), rel=1e-7, abs=1e-9), (size, at)
+
+
+@pytest.mark.parametrize("chunk_hours", [2016, 60])
+def test_a_broken_series_yields_a_status(spark, chunk_hours):
+    """The same violations as the panel contract counts, found beside the features; sound series keep theirs."""
+    base, start = history(periods=900), history(periods=1).pickup_hour[0]
+    at = lambda i: start + pd.Timedelta(hours=i)
+    parts = {z: base.assign(zone_id=z) for z in (1, 2, 3, 4, 5, 6, 7)}
+    parts[2] = parts[2].drop(index=range(300, 720))  # longer than any window looks back
+    parts[3] = pd.concat([parts[3], parts[3].iloc[[5, 5, 400]]])
+    parts[4].loc[10, "trips_count"] = -2.0
+    parts[4].loc[11, "trips_count"] = float("inf")
+    parts[5] = pd.concat([parts[5], pd.DataFrame({"pickup_hour": [pd.NaT, pd.NaT], "trips_count": [1.0, 2.0], "zone_id": [5, 5]})])
+    parts[6] = pd.concat([parts[6], pd.DataFrame({"pickup_hour": [at(899) + pd.Timedelta(minutes=90)], "trips_count": [1.0], "zone_id": [6]})])
+    parts[7].loc[20, "trips_count"] = np.nan  # a known gap is no violation
+    df = to_spark(spark, pd.concat(parts.values())[["zone_id", "pickup_hour", "trips_count"]], KEYED).persist()
+    table = features(df, 1, ["zone_id"], chunk_hours, checked=True).persist()
+    assert table.count() == df.count()
+    got = {r["zone_id"]: r for r in series_status(table, ["zone_id"]).collect()}
+    assert {z: r["status"] for z, r in got.items()} == {1: "ok", 2: "invalid", 3: "invalid", 4: "invalid", 5: "invalid", 6: "invalid", 7: "ok"}
+    want = {}
+    for r in panel_violations(df, ["zone_id"], allow_null=True).collect():
+        want.setdefault(r["zone_id"], {})[r["check"]] = r["n_bad"]
+    names = {"null_time": "n_no_time", "off_hour": "n_off_hour", "duplicate_hour": "n_duplicate_hour", "missing_hour": "n_missing", "not_finite": "n_not_finite", "negative": "n_negative"}
+    for z, r in got.items():
+        assert {c: r[n] for c, n in names.items()} == {c: want[z][c] for c in names}, z
+    sound = lambda t: t.filter("zone_id = 1").orderBy("pickup_hour").toPandas()
+    plain = sound(features(df, 1, ["zone_id"], chunk_hours))
+    pd.testing.assert_frame_equal(sound(table)[plain.columns], plain)

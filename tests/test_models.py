@@ -223,6 +223,23 @@ def test_group_shift_equals_numpy(spark, table):
     assert sampled["mae_increase"] == pytest.approx(increase(pdf.iloc[:: max(1, len(pdf) // 400)].reset_index(drop=True)))
 
 
+def test_short_folds_have_a_status_and_no_champion(spark, table):
+    cands = [backtest.weekly_naive_candidate(19), backtest.Candidate("Mean_full", "Mean", 19, "roll_mean_24")]
+    start = table.agg(F.min("pickup_hour").alias("t")).first()["t"]
+    young = table.filter(F.col("pickup_hour") >= F.lit(PROTOCOL.folds[0].start - timedelta(days=7, hours=20)))
+    without = table.filter((F.col("pickup_hour") < F.lit(PROTOCOL.folds[1].start)) & (F.col("pickup_hour") >= F.lit(start)))
+    rows = [part.withColumn("zone_id", F.lit(z)) for z, part in enumerate((table, young, without))]
+    cv = backtest.evaluate(rows[0].unionByName(rows[1]).unionByName(rows[2]), cands, PROTOCOL, ["zone_id"]).persist()
+    status = {(r["zone_id"], r["fold"]): (r["status"], r["MAE"] is None) for r in cv.filter("candidate = 'Mean_full'").collect()}
+    assert status == {(0, "a"): ("ok", False), (0, "b"): ("ok", False), (1, "a"): ("short_fit", True), (1, "b"): ("ok", False), (2, "a"): ("ok", False), (2, "b"): ("no_validation", True)}
+    board = backtest.select(cv, PROTOCOL, ["zone_id"]).collect()
+    assert {r["zone_id"] for r in board if r["selected"]} == {0}
+    assert all((r["MAE_mean"] is None) == (r["n_short"] > 0) and (r["n_short"] > 0) == (r["zone_id"] > 0) for r in board)
+    # A fold that a series has no rows of at all counts as short too.
+    missing = backtest.select(cv.filter("zone_id = 0 AND fold = 'a'"), PROTOCOL, ["zone_id"]).collect()
+    assert {(r["n_folds"], r["n_short"], r["selected"]) for r in missing} == {(1, 1, False)}
+
+
 def test_error_segments_match_pandas(spark, table):
     pred = table.withColumns(
         {"prediction": F.col("lag_24"), "lower": F.col("lag_24") - 20, "upper": F.col("lag_24") + 20, "period": F.lit("p")}

@@ -825,6 +825,13 @@ def oracle() -> dict[str, str]:
                   CASE WHEN zone_id % 5 < 3 THEN 'invalid' ELSE 'ok' END AS status FROM broken GROUP BY zone_id""",
         broken,
     )
+    verdicts = ", ".join(f"count(*) FILTER (verdict = '{v}') AS {n}" for v, n in (("date", "rejected_date"), ("values", "rejected_values"), ("zone", "rejected_zone"), ("kept", "kept_rows")))
+    out["refresh_store"] = sql(f"SELECT '2024-01-01' AS file_month, count(*) AS raw_rows, {verdicts}, 1 AS first_run, 0 AS second_run FROM judged")
+    out["refresh_gone"] = sql(
+        f"""SELECT CASE WHEN pickup_datetime < TIMESTAMP '2024-01-16' THEN '2024-03-01' ELSE '2024-01-01' END AS file_month, count(*) AS raw_rows, {verdicts},
+                   count(*) = count(verdict) AS ok, 2 AS first_run, 2 AS second_run
+            FROM (SELECT * REPLACE (CASE WHEN pickup_datetime < TIMESTAMP '2024-01-16' THEN 'date' ELSE verdict END AS verdict) FROM judged) GROUP BY 1"""
+    )
     out["final_naive"] = sql(
         f"""SELECT zone_id, period, candidate, {r('coverage')}, {r('mean_width')}, n, n_bad, {', '.join(r(c) for c in scores)}
             FROM results"""

@@ -187,6 +187,26 @@ def refresh_store(spark, sf):
     )
 
 
+@query
+def refresh_gone(spark, sf):
+    """Two refreshes with different months: February's files have gone in the second, January's have changed, March's are
+    new. Trips outside the month of their file are date rejects."""
+    root = shared.shared_folder(spark, "store")
+    raw, cut = trips(spark, sf), F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    early = raw.filter(F.col("pickup_datetime") < cut).toDF(*readers.TRIP_MAPPING.values())
+    late = raw.filter(F.col("pickup_datetime") >= cut).toDF(*readers.TRIP_MAPPING.values())
+    for folder, month, part in (("first", "2024-01", early), ("first", "2024-02", late), ("second", "2024-01", late), ("second", "2024-03", early)):
+        part.write.parquet(f"{root}/{folder}/trips_{month}.parquet")
+    runs = [len(refresh.refresh(spark, f"{root}/{folder}", f"{root}/out", zones(spark, sf), RULES)) for folder in ("first", "second")]
+    store = refresh.Store(spark, f"{root}/out")
+    sound = refresh.check_manifest(store.manifest(), store.counts().filter("verdict = 'kept'"))
+    done = store.manifest().join(sound, "file_month")
+    return done.select(
+        _text("file_month"), "raw_rows", "rejected_date", "rejected_values", "rejected_zone", "kept_rows",
+        (F.col("kept_ok") & F.col("hours_ok") & F.col("raw_ok")).alias("ok"), F.lit(runs[0]).alias("first_run"), F.lit(runs[1]).alias("second_run"),
+    )
+
+
 def _text(name: str):
     return F.col(name).cast("string").alias(name)
 

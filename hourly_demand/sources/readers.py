@@ -74,6 +74,19 @@ def read_months(
     return union_all(parts)
 
 
+def read_stale_months(spark: SparkSession, folder: str, months: Sequence, mapping: dict[str, str] | None = None) -> DataFrame:
+    """Trips of some months below a folder, with their file month.
+
+    The months are a filter on the path of each file. It reaches the scan, which drops all other
+    files before it opens them, so no list of paths is made. The schema is that of one of their files.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
+    one = listed.filter(month_of_path("path").isin(list(months))).agg(F.min("path").alias("path")).first()["path"]
+    schema = spark.read.parquet(one).schema
+    every = _with_file_month(spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder))
+    return project_trips(every.filter(month_of_path("_metadata.file_path").isin(list(months))), mapping)
+
+
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:
     """Appends frames by column name."""
     out = parts[0]

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..config import TS, Rules
 from ..operators.cleaning import audit, verdict_cube
-from .readers import month_of_path, read_months
+from .readers import month_of_path, read_stale_months
+from .shared import delete_folder
 
 STORE_VERSION = 1
 COUNTS_SCHEMA = f"zone_id BIGINT, {TS} TIMESTAMP_NTZ, verdict STRING, n BIGINT, file_month DATE"
@@ -111,6 +112,17 @@ class Store:
         marks = counts.groupBy("file_month").agg(content_checksum([TS, "zone_id", "verdict", "n"]).alias("checksum"))
         return self.manifest().join(marks, ["file_month", "checksum"], "left_semi").join(sound, "file_month", "left_semi")
 
+    def months_without(self, inputs: DataFrame) -> list:
+        """Stored months that have no input any more."""
+        stored = self.manifest().select("file_month").unionByName(self.counts().select("file_month")).distinct()
+        return sorted(r["file_month"] for r in stored.join(inputs, "file_month", "left_anti").collect())
+
+    def drop_months(self, months: Sequence) -> None:
+        """Removes months, their manifest rows first: counts without a row are not trusted."""
+        for folder in (self.manifest_path, self.counts_path):
+            for month in months:
+                delete_folder(self.spark, f"{folder}/file_month={month}")
+
     def _write(self, df: DataFrame, path: str) -> None:
         (
             df.write.mode("overwrite")
@@ -129,7 +141,7 @@ def refresh(
     mapping: dict[str, str] | None = None,
     content: bool = False,
 ) -> list:
-    """Recomputes the stale months of `src` and returns them.
+    """Recomputes the stale months of `src` and returns them; months without files leave the store.
 
     Each month is rebuilt from all of its files. The only thing collected is the list of months.
     """
@@ -138,16 +150,10 @@ def refresh(
     inputs = input_months(spark, src, content)
     stale = stale_months(inputs, store.valid_manifest(), signature).select("file_month", "signature", "fingerprint")
     todo = {r["file_month"]: (r["signature"], r["fingerprint"]) for r in stale.collect()}
+    store.drop_months(store.months_without(inputs))
     if not todo:
         return []
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(src)
-        .select("path", month_of_path("path").alias("m"))
-    )
-    paths = [r["path"] for r in files.filter(F.col("m").isin(list(todo))).select("path").collect()]
-    trips = read_months(spark, paths, mapping)
+    trips = read_stale_months(spark, src, list(todo), mapping)
     cube = verdict_cube(trips, zones, rules)
     # One month is spread over several tasks by hour; a hot month is not a hot task.
     store._write(cube.repartition("file_month", F.to_date(TS)), store.counts_path)

@@ -30,3 +30,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run below the checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder wherever the session's file systems reach."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

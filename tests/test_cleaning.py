@@ -1,4 +1,6 @@
 import glob
+import os
+import shutil
 from dataclasses import replace
 from datetime import datetime
 
@@ -114,6 +116,26 @@ def test_missing_column_raises(spark):
         readers.project_trips(spark.createDataFrame(january(), RAW).drop("total_amount"))
 
 
+def test_refresh_opens_stale_files_only_and_drops_gone_months(spark, tmp_path):
+    src, store, zones = str(tmp_path / "in"), str(tmp_path / "out"), zone_set(spark, 1)
+    for month, rows in (("2024-01", "2024-01"), ("2024-02", "2024-02"), ("2024-03", "2024-02")):
+        spark.createDataFrame(january(rows), RAW).coalesce(1).write.parquet(f"{src}/trips_{month}.parquet")
+    run = lambda: [str(m)[:7] for m in refresh.refresh(spark, src, store, zones, Rules("2024-01-01", "2024-04-01"))]
+    assert run() == ["2024-01", "2024-02", "2024-03"]
+    # A sound month whose file would fail if it were opened: same name, size and time, no Parquet.
+    (path,) = glob.glob(f"{src}/trips_2024-01.parquet/*.parquet")
+    times, size = os.stat(path), os.path.getsize(path)
+    open(path, "wb").write(b"x" * size)
+    os.utime(path, ns=(times.st_atime_ns, times.st_mtime_ns))
+    spark.createDataFrame(january("2024-02"), RAW).coalesce(1).write.mode("append").parquet(f"{src}/trips_2024-02.parquet")
+    shutil.rmtree(f"{src}/trips_2024-03.parquet")
+    assert run() == ["2024-02"]
+    done = refresh.Store(spark, store)
+    months = lambda df: sorted(str(r["file_month"])[:7] for r in df.select("file_month").distinct().collect())
+    assert months(done.manifest()) == months(done.counts()) == ["2024-01", "2024-02"]
+    assert run() == []
+
+
 def test_store_recomputes_only_what_changed(spark, tmp_path):
     src, store, zones = str(tmp_path / "in"), str(tmp_path / "out"), zone_set(spark, 1)
     rules = Rules("2024-01-01", "2024-03-01")

@@ -7,7 +7,7 @@ A text is split by the tokenizer's pattern; each match, a word, is encoded separ
    a word starts as the array of the ranks of its bytes, and `aggregate` folds over as many steps as
    it has pairs. Each step takes the lowest rank of all neighbouring pairs, the leftmost first, puts
    the merged piece in place of the two and looks up only the two new pairs. Ranks come from a
-   literal in the plan: a two-choice hash table from (left, right) to the rank of the joined bytes.
+   literal row of the plan: a two-choice hash table from (left, right) to the rank of the joined bytes.
 2. The texts are read once more in Arrow batches. Frequent words are looked up; any other word goes
    through the same ranked merges where it stands (`Merger`), as the fold costs some 100 times more
    than a lookup and a join of all words would shuffle more than the input. No text and no token is
@@ -23,7 +23,6 @@ import base64
 import functools
 import hashlib
 import heapq
-import json
 import struct
 from collections.abc import Iterator
 
@@ -31,15 +30,17 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import let, slices, with_columns
+from .common import let, slices, text_bytes, with_columns
 
 #: Distinct words that are folded once. With WORD_BYTES this bounds the table to some 20 MB.
 FREQUENT_WORDS = 100_000
 WORD_BYTES = 32
+#: Tasks that share the fold.
+FOLD_TASKS = 16
 #: Words that a Python worker remembers besides.
 REMEMBERED = 200_000
 #: Words of more bytes are merged with a heap.
@@ -79,13 +80,14 @@ class Vocabulary:
                     pairs[left << _RANK_BITS | right] = rank
         self.bits, self.slots = _two_choice(pairs)
 
-    def column(self) -> Column:
-        """The constants as one struct: slots, ranks of the 256 bytes. The optimizer folds it to a literal."""
-        return _constant({"slots": self.slots, "bytes": self.bytes}, "slots array<bigint>, bytes array<bigint>")
+    def column(self, spark: SparkSession) -> Column:
+        """The constants as one struct: slots, ranks of the 256 bytes.
 
-
-def _constant(value: dict, schema: str) -> Column:
-    return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), schema)
+        They are a local row of the plan, read as a scalar. As a literal inside the expression they
+        would be printed, some 5 MB each time, wherever Spark describes the plan.
+        """
+        row = pa.table({"slots": pa.array([self.slots], pa.list_(pa.int64())), "bytes": pa.array([self.bytes], pa.list_(pa.int64()))})
+        return spark.createDataFrame(row).select(F.struct("slots", "bytes").alias("t")).scalar()
 
 
 def _choices(pair: int, bits: int) -> tuple[int, int]:
@@ -176,13 +178,13 @@ def frequent_words(texts: DataFrame, column: str, pattern: str, limit: int = FRE
     counted = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     short = counted.where((F.octet_length("w") <= WORD_BYTES) & (F.col("n") > 1))
     # The sorted limit leaves one partition; the fold is worth spreading.
-    return short.orderBy(F.desc("n"), "w").limit(limit).select("w").repartition("w")
+    return short.orderBy(F.desc("n"), "w").limit(limit).select("w").repartition(FOLD_TASKS, "w")
 
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """w and ids of each distinct word, by the fold."""
-    ids = let(vocabulary.column(), lambda t: encode_word(F.col("w"), t["slots"], t["bytes"], vocabulary.bits))
-    return words.select("w", ids.alias("ids"))
+    ids = let(F.col("_t"), lambda t: encode_word(F.col("w"), t["slots"], t["bytes"], vocabulary.bits))
+    return words.select("w", vocabulary.column(words.sparkSession).alias("_t")).select("w", ids.alias("ids"))
 
 
 class Merger:
@@ -268,6 +270,25 @@ class Encoder:
         return packed
 
 
+def packed_words(rows: pa.Table) -> tuple[bytes, np.ndarray, bytes, np.ndarray]:
+    """Words and their ids (columns w and ids) as two runs of bytes with the ends of each, without a Python object a word."""
+    if not rows.num_rows:
+        return b"", np.empty(0, np.int64), b"", np.empty(0, np.int64)
+    words, ids = (pa.concat_arrays(rows[c].chunks) for c in ("w", "ids"))
+    data, ends = text_bytes(words)
+    sizes = ids.value_lengths().to_numpy(zero_copy_only=False)
+    return data.tobytes(), ends[1:], ids.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes(), 4 * np.cumsum(sizes)
+
+
+def unpacked_words(words: bytes, word_ends: np.ndarray, ids: bytes, id_ends: np.ndarray) -> dict[str, bytes]:
+    """The packed ids of each word."""
+    out, a, b = {}, 0, 0
+    for c, d in zip(word_ends.tolist(), id_ends.tolist(), strict=True):
+        out[words[a:c].decode()] = ids[b:d]
+        a, b = c, d
+    return out
+
+
 def decode(packed: bytes, pieces: np.ndarray) -> bytes:
     """The joined pieces of packed ids."""
     return b"".join(pieces[np.frombuffer(packed, dtype="<u4")])
@@ -280,16 +301,16 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, column: str =
     that of the bytes that decoding them gives. Of columns of docs with these names the new one stays.
     """
     vocabulary = Vocabulary(ranks)
-    # Bounded: at most FREQUENT_WORDS rows of at most WORD_BYTES bytes and as many ids.
-    rows = encode_words(frequent_words(docs, column, pattern), vocabulary).toArrow()
-    frequent = {w: np.array(i, dtype="<u4").tobytes() for w, i in zip(rows["w"].to_pylist(), rows["ids"].to_pylist(), strict=True)}
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, frequent, vocabulary.pieces))
+    # Bounded: at most FREQUENT_WORDS rows of at most WORD_BYTES bytes and as many ids. They stay packed on the driver.
+    rows = encode_words(frequent_words(docs, column, pattern), vocabulary).toArrow().combine_chunks()
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.pieces, packed_words(rows)))
     added = {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}
     added |= {"ids": T.ArrayType(T.IntegerType())} if ids else {}
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own_ranks, own_frequent, own_pieces = shared.value
-        encoder, pieces = Encoder(own_ranks, own_frequent, pattern), np.array(own_pieces, dtype=object)
+        own_pieces, own_words = shared.value
+        own_ranks = {p: rank for rank, p in enumerate(own_pieces) if p}
+        encoder, pieces = Encoder(own_ranks, unpacked_words(*own_words), pattern), np.array(own_pieces, dtype=object)
         for batch in batches:
             for part in slices(batch, column):
                 packed = [encoder.packed(t or "") for t in part.column(column).to_pylist()]

@@ -80,6 +80,19 @@ def test_run_on_empty_tables(spark, corpus, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_stages_keep_columns_with_names_of_their_own(spark, corpus):
+    from pyspark.sql import functions as F
+
+    folder, _ = corpus
+    names = ["score", "predicted", "size", "taken", "target", "spans", "row", "fp", "clusters"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(60).withColumns({c: F.concat(F.lit(c), "doc_id") for c in names})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[c] == (None if r["doc_id"] is None else f"{c}{r['doc_id']}") for r in rows for c in names)
+
+
 def test_each_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES)

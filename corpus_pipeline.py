@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +12,17 @@ from hourly_demand.llm import bpe, mixing, simhash, substrings, toxicity
 from hourly_demand.llm.common import stored, table
 
 
+def _beside(docs: DataFrame, names: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """work(docs), with columns of docs that have one of its own names kept aside."""
+    aside = {c: f"_own_{c}" for c in docs.columns if c in names}
+    out = work(docs.withColumnsRenamed(aside)).drop(*aside)
+    return out.withColumnsRenamed({v: k for k, v in aside.items()}).select(*docs.columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted to be toxic, by the labels that are not held out."""
-    judged = toxicity.judge(docs, table(spark, sf_dir, "labels"))
-    return judged.where("predicted = 0").select(*docs.columns)
+    labels = table(spark, sf_dir, "labels")
+    return _beside(docs, ("held_out", "score", "predicted"), lambda d: toxicity.judge(d, labels).where("predicted = 0"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,18 +32,26 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 50 words and more that another document keeps."""
-    cut = substrings.dedup(docs)
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        cut = cut.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(length))
-    return cut.select(*docs.columns)
+
+    def cut(d: DataFrame) -> DataFrame:
+        out = substrings.dedup(d)
+        if "n_chars" not in d.columns:
+            return out
+        length = F.length("text").cast(d.schema["n_chars"].dataType)
+        return out.withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(length))
+
+    return _beside(docs, ("spans", "removed_words", "clusters", "kept_in"), cut)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; sources weigh 1, 2, 3, repeating."""
-    mixed = mixing.mix(docs, F.array("source"), key=["doc_id"])
     uses = F.when(F.col("taken") > 0, F.expr("taken div size")).otherwise(0).cast("int")
-    return mixed.where("taken > 0").withColumn("_use", F.explode(F.sequence(F.lit(1), uses))).select(*docs.columns)
+
+    def taken(d: DataFrame) -> DataFrame:
+        mixed = mixing.mix(d, F.array("source"), key=["doc_id"])
+        return mixed.where("taken > 0").withColumn("_use", F.explode(F.sequence(F.lit(1), uses)))
+
+    return _beside(docs, ("size", "source_size", "target", "taken", "_use"), taken)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,16 +50,16 @@ def _directory(rows: DataFrame, fine: int, coarse: int, limit: int) -> tuple[Dat
     """(fine prefix -> shard, fine prefixes that are still too large) for shards of coarse to fine bits."""
     sums = rows.groupBy(_prefix(fine).alias("_fine")).agg(F.sum("n_bytes").alias("bytes"))
     up = sums.withColumn("depth", F.explode(F.sequence(F.lit(coarse), F.lit(fine)))).withColumn(
-        "prefix", F.expr(f"shiftright(_fine, {fine} - depth)")
+        "_prefix", F.expr(f"shiftright(_fine, {fine} - depth)")
     )
-    nodes = up.groupBy("depth", "prefix").agg(F.sum("bytes").alias("shard_bytes"))
+    nodes = up.groupBy("depth", "_prefix").agg(F.sum("bytes").alias("shard_bytes"))
     fitting = nodes.where(F.col("shard_bytes") <= limit)
     # The shortest of the prefixes of a fine one that fit.
     shards = (
-        up.join(fitting, ["depth", "prefix"])
+        up.join(fitting, ["depth", "_prefix"])
         .groupBy("_fine")
-        .agg(F.min(F.struct("depth", "prefix", "shard_bytes")).alias("s"))
-        .select("_fine", "s.depth", "s.prefix", "s.shard_bytes")
+        .agg(F.min(F.struct("depth", "_prefix", "shard_bytes")).alias("s"))
+        .select("_fine", "s.depth", "s._prefix", "s.shard_bytes")
     )
     return shards, sums.where(F.col("bytes") > limit).select("_fine")
 
@@ -80,9 +80,9 @@ def assign(docs: DataFrame, limit: int, key: Sequence[str] = ("doc_id", "text"),
         placed = (
             rows.withColumn("_fine", _prefix(fine))
             .join(shards, "_fine")
-            .withColumn("shard", F.expr("if(depth = 0, '', lpad(bin(prefix), depth, '0'))"))
+            .withColumn("shard", F.expr("if(depth = 0, '', lpad(bin(_prefix), depth, '0'))"))
             .withColumn("fits", F.lit(True))
-            .drop("_hash", "_fine", "prefix")
+            .drop("_hash", "_fine", "_prefix")
         )
         out = placed if out is None else out.unionByName(placed)
         large = stored(large, "large-buckets")

@@ -88,6 +88,13 @@ def test_shards(make, limit):
     assert all(not (r["fits"] is False) or r["n_bytes"] > limit for r in got)
 
 
+def test_shards_keep_columns_with_names_of_their_own(make):
+    df = make([(i, "some text") for i in range(50)], extra="prefix").withColumn("bytes", F.lit(7))
+    got = sharding.assign(df, 100).collect()
+    assert len(got) == 50 and {(r["prefix"], r["bytes"]) for r in got} == {("old", 7)}
+    shard_check(got, 100, 450)
+
+
 def test_shards_of_empty_tables_and_files(spark, make, tmp_path):
     assert sharding.assign(make([]), 100).count() == 0
     with pytest.raises(ValueError):
@@ -152,6 +159,48 @@ def test_mix_prefix_is_seeded_order(make, monkeypatch):
     assert sum(t for s, t in got.values() if s == "a") == 300 and sum(t for s, t in got.values() if s == "b") == 600
 
 
+def plain_targets(sizes):
+    """Shares of all words by weights 1, 2, 3, repeating; what a source cannot take at most 3 times goes to the others by weight."""
+    names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    weight = {s: 1 + i % 3 for i, s in enumerate(names)}
+    left, goal = sum(sizes.values()), {}
+    while True:
+        open_ = [s for s in names if s not in goal]
+        unit = left / sum(weight[s] for s in open_) if open_ else 0
+        full = [s for s in open_ if unit * weight[s] > 3 * sizes[s]]
+        if not full:
+            return goal | {s: unit * weight[s] for s in open_}
+        for s in full:
+            goal[s] = 3 * sizes[s]
+            left -= goal[s]
+
+
+def test_mix_equals_a_plain_walk(spark):
+    """Whole uses of all documents of a source, then each in the seeded order that still fits."""
+    rng = random.Random(11)
+    rows = [(i, rng.choice(["a", "b", "b", "b", "c", None]), int(rng.paretovariate(0.8) * 5)) for i in range(1500)]
+    rows += [(5000, "d", 7), (5001, "c", 30_000), (5002, "b", 0)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, words bigint")
+    place = {r[0]: r[1] for r in df.select("doc_id", F.shiftrightunsigned(F.xxhash64(F.lit(0), "doc_id"), 4)).collect()}
+    sizes = Counter()
+    for _, s, n in rows:
+        sizes[s] += n
+    goal = plain_targets(sizes)
+    want = {}
+    for s, total in sizes.items():
+        own = sorted((r for r in rows if r[1] == s), key=lambda r: place[r[0]])
+        words = min(round(goal[s]), 3 * total)
+        whole = min(3, words // total)
+        rest = words - whole * total
+        for i, _, n in own:
+            extra = 0 < n <= rest
+            rest -= n * extra
+            want[i] = n * (whole + extra)
+    got = mixing.mix(df, F.array("source"), key=["doc_id"], size=F.col("words")).collect()
+    assert {r["doc_id"]: r["taken"] for r in got} == want
+    assert all(r["target"] == pytest.approx(goal[r["source"]]) for r in got)
+
+
 def test_overlapping_sources(spark):
     rows = [(i, "w " * 10, ["a"] if i < 50 else ["a", "b"] if i < 60 else ["b"]) for i in range(70)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, sources array<string>")

@@ -33,6 +33,7 @@ from .common import slices, text_bytes, with_columns
 
 SAMPLE_ROWS = 6_000
 SAMPLE_BYTES = 48 << 20
+SAMPLE_TEXT = 1 << 20
 MIN_ROWS = 5
 PASSES = 20
 #: The L1 penalty grows with the rows seen, so that it weighs the same for any number of labels.
@@ -85,7 +86,9 @@ def features(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     for size in STEMS:
         long = np.flatnonzero(ends_of - starts > size)
         at = starts[long]
-        hashes.append(_mixed((sums[at + size] - sums[at]) * down[at] + np.uint64(size)))
+        # Far from the hash of any word: a small number added would make a word of a neighbouring first letter.
+        salt = np.uint64(size * 0x9E3779B97F4A7C15 % 2**64)
+        hashes.append(_mixed((sums[at + size] - sums[at]) * down[at] + salt))
         of.append(text[long])
     for skip in SKIPS:
         gap = skip + 1
@@ -145,11 +148,15 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, f
 def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
     """The bounded sample: text and label, in the order of a hash of the key."""
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("_label"))
+    # Labels without a document take no place in the sample; only keys are read for that.
+    known = known.join(docs.select(key).distinct(), key, "left_semi")
     order = F.xxhash64(F.lit("toxicity"), F.col(key).cast("string"))
     chosen = known.orderBy(order, key).limit(SAMPLE_ROWS)
     found = docs.select(key, F.coalesce(text, F.lit("")).alias("_text")).join(F.broadcast(chosen), key)
     # Copies of a key may be many; the sample stays bounded.
     few = found.withColumn("_order", order).withColumn("_bytes", F.octet_length("_text"))
+    # A text that is very long alone takes no part, so it cannot push out all after it.
+    few = few.where(F.col("_bytes") <= SAMPLE_TEXT)
     few = few.orderBy("_order", "_bytes", "_text").limit(SAMPLE_ROWS)
     upto = F.sum("_bytes").over(Window.orderBy("_order", "_bytes", "_text").rowsBetween(Window.unboundedPreceding, 0))
     return few.withColumn("_upto", upto).where(F.col("_upto") <= SAMPLE_BYTES).select("_order", "_text", "_label")

@@ -1,7 +1,10 @@
 """op2: features, held-out accuracy, defined results."""
 
+import math
 import random
+import re
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -79,3 +82,64 @@ def test_features_do_not_depend_on_the_batch():
         assert sorted(hashes[of == i].tolist()) == sorted(alone.tolist())
     first = toxicity.features(np.frombuffer(b"the cat sat", np.uint8), np.array([0, 11]))[0]
     assert sorted(first.tolist()) == sorted(hashes[of == 0].tolist())
+
+
+def plain_features(text):
+    """Words, starts of words and pairs of words with 0 to 2 words between, as a set."""
+    words = re.findall(r"[0-9a-z\x80-\U0010ffff]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    out = set(words)
+    for size in toxicity.STEMS:
+        out |= {("start", w.encode()[:size], size) for w in words if len(w.encode()) > size}
+    for skip in toxicity.SKIPS:
+        out |= {(a, b, skip) for a, b in zip(words, words[skip + 1 :])}
+    return out
+
+
+def plain_model(texts, labels):
+    """FTRL-proximal, one feature and one row at a time."""
+    sets = [plain_features(t) for t in texts]
+    held = Counter(f for s in sets for f in s)
+    sets = [{f for f in s if held[f] >= toxicity.MIN_ROWS} | {None} for s in sets]
+    z, n = defaultdict(float), defaultdict(float)
+    l1 = toxicity.L1_PER_ROW * len(texts) * toxicity.PASSES
+
+    def weight(f):
+        if abs(z[f]) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[f]) - z[f]) / ((toxicity.BETA + math.sqrt(n[f])) / toxicity.ALPHA + toxicity.L2)
+
+    def chance(s):
+        return 1 / (1 + math.exp(-min(max(math.fsum(weight(f) for f in s), -35), 35)))
+
+    for _ in range(toxicity.PASSES):
+        for s, label in zip(sets, labels):
+            g = chance(s) - label
+            for f in sorted(s, key=str):
+                w = weight(f)
+                z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / toxicity.ALPHA * w
+                n[f] += g * g
+    return lambda text: chance({f for f in plain_features(text) if held[f] >= toxicity.MIN_ROWS} | {None}), weight, held
+
+
+def test_scores_equal_a_plain_ftrl_loop(make):
+    docs, labels = corpus(150, 4)
+    docs[3] = (3, "Été vile VILE, rotten-scoundrel x1 é")
+    y = [t for _, _, t in labels]
+    chance, weight, held = plain_model([t for _, t in docs], y)
+    model = toxicity.fit([t for _, t in docs], np.array(y, float))
+    kept = sum(1 for f in held if held[f] >= toxicity.MIN_ROWS and weight(f) != 0)
+    assert len(model[0]) == kept > 5 and model[2] == pytest.approx(weight(None))
+    tried = docs + [(1000 + i, t) for i, (_, t) in enumerate(corpus(60, 9)[0])] + [(2000, ""), (2001, None)]
+    got = by_id(toxicity.score(make(tried), model), "score")
+    for i, text in tried:
+        assert got[i] == pytest.approx(chance(text or ""), abs=1e-9), i
+
+
+def test_long_texts_and_labels_without_documents_do_not_shrink_the_sample(spark, make, labelled, monkeypatch):
+    docs, labels, truth = labelled
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 400)
+    monkeypatch.setattr(toxicity, "SAMPLE_TEXT", 2000)
+    few = docs[:300] + [(i, "long " * 1000) for i, _ in docs[300:320]]
+    alone = spark.createDataFrame([(100_000 + i, 1, 1) for i in range(5000)], labels.schema)
+    found = toxicity.sample(make(few), labels.unionByName(alone), "doc_id", "text", "toxic")
+    assert found.count() == 300

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +23,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders of stored tables, and of tables made from them.
+_FOLDERS: WeakKeyDictionary[DataFrame, list[str]] = WeakKeyDictionary()
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go when it has ended, not when the driver collects its garbage."""
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with _shuffles_removed(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = [path]
+    return out
+
+
+def owning(df: DataFrame, *tables: DataFrame) -> DataFrame:
+    """df, made from stored tables that go when it is spent."""
+    _FOLDERS[df] = [f for t in tables for f in _FOLDERS.get(t, [])]
+    return df
+
+
+def spent(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more, as what was made from them is stored."""
+    for table in tables:
+        jvm, spark = table.sparkSession._jvm, table.sparkSession
+        for folder in _FOLDERS.pop(table, []):
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -29,6 +29,8 @@ columns named spans, removed_words, clusters or kept_in are replaced.
 
 from __future__ import annotations
 
+import itertools
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +42,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.window import Window
 
-from .common import let, slices, stored, text_bytes
+from .common import let, slices, spent, stored, text_bytes
 from .components import components
 from .toxicity import _CODES, _mixed, _powers
 
@@ -172,18 +174,18 @@ def _read(suspects: DataFrame, asked: str, text: str, schema: str, answer) -> Da
                 cut = Cut(data, ends)
                 opens_of = np.searchsorted(cut.text[cut.opens], np.arange(part.num_rows + 1))
                 bounds = np.append(cut.opens, len(cut.words))
-                whole, starts, stops = data.tobytes(), cut.starts, cut.stops
+                whole, places = data.tobytes(), bounds.tolist()
                 out = []
                 for i, requests in enumerate(part.column(asked).to_pylist()):
                     first, last = int(opens_of[i]), int(opens_of[i + 1])
-                    low, high = int(bounds[first]), int(bounds[last])
+                    low, high = places[first], places[last]
+                    plain = _plain(whole[ends[i] : ends[i + 1]]).split(" ")
 
                     def opens(n: int, first=first) -> int:
-                        return int(bounds[first + n])
+                        return places[first + n]
 
-                    def words(a: int, b: int, low=low, high=high) -> str:
-                        a, b = max(a, low), min(b, high)
-                        return _plain(whole[starts[a] : stops[b - 1]]) if a < b else ""
+                    def words(a: int, b: int, low=low, high=high, plain=plain) -> str:
+                        return " ".join(plain[max(a, low) - low : min(b, high) - low])
 
                     row = part.column("row")[i].as_py()
                     out += [(row, *answer(words, opens, r)) for r in requests]
@@ -247,7 +249,10 @@ def _links(contents: DataFrame, similarity: float) -> DataFrame:
     def span(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return spanning(left, right, similarity)
 
-    return linked.unionByName(one.groupBy(at).cogroup(two.groupBy(at)).applyInPandas(span, "a bigint, b bigint"))
+    spanned = one.groupBy(at).cogroup(two.groupBy(at)).applyInPandas(span, "a bigint, b bigint")
+    links = stored(linked.unionByName(spanned), "links")
+    spent(load, near)
+    return links
 
 
 def _shingle_set(words: str) -> frozenset:
@@ -286,7 +291,28 @@ def spanning(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> pd.D
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _runs(of: list[tuple], kept: list[tuple], i: int, j: int) -> list[tuple[int, int, int]]:
+def _numbered(words: list[str], ids: defaultdict[str, int]) -> np.ndarray:
+    """Words as numbers, the same word always as the same one."""
+    return np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
+
+
+def _runs_of_words(texts: list[np.ndarray], words: int) -> list[list[int]]:
+    """The shingles of several texts of numbered words as numbers: equal ones for equal shingles only."""
+    sizes = [max(0, len(t) - SHINGLE + 1) for t in texts]
+    code = [t[:n] for t, n in zip(texts, sizes, strict=True)]
+    bits, used = max(1, int(words - 1).bit_length()), max(1, int(words - 1).bit_length())
+    for k in range(1, SHINGLE):
+        if used + bits > 62:
+            # Too many for one number: the ones that occur are numbered anew.
+            dense = np.unique(np.concatenate(code), return_inverse=True)[1]
+            code = np.split(dense, np.cumsum(sizes)[:-1])
+            used = max(1, len(dense).bit_length())
+        code = [(c << bits) | t[k : k + n] for c, t, n in zip(code, texts, sizes, strict=True)]
+        used += bits
+    return [c.tolist() for c in code]
+
+
+def _runs(of: list[int], kept: list[int], i: int, j: int) -> list[tuple[int, int, int]]:
     """Runs of equal shingles from of[i] and kept[j] on, over gaps: start in both, and shingles."""
     out = []
     while True:
@@ -311,7 +337,7 @@ def _runs(of: list[tuple], kept: list[tuple], i: int, j: int) -> list[tuple[int,
         i, j = i + best[0], j + best[1]
 
 
-def _aligned(of: list[tuple], kept: list[tuple], seeds: list[tuple[int, int]]) -> list[list[tuple[int, int, int]]]:
+def _aligned(of: list[int], kept: list[int], seeds: list[tuple[int, int]]) -> list[list[tuple[int, int, int]]]:
     """Chains of runs through the seeds (places in both), each to both sides as far as it goes."""
     back, kept_back, chains, done = of[::-1], kept[::-1], [], -1
     for i, j in seeds:
@@ -328,7 +354,7 @@ def _aligned(of: list[tuple], kept: list[tuple], seeds: list[tuple[int, int]]) -
     return chains
 
 
-def similar(of: list[tuple], kept: list[tuple], chain: list[tuple[int, int, int]], similarity: float, least: int) -> list[tuple[int, int]]:
+def similar(of: list[int], kept: list[int], chain: list[tuple[int, int, int]], similarity: float, least: int) -> list[tuple[int, int]]:
     """Words from and to of the longest parts of a chain that have the exact Jaccard and `least` words."""
     x, y, n = np.array(chain).T
     sums = np.concatenate(([0], np.cumsum(n)))
@@ -339,6 +365,19 @@ def similar(of: list[tuple], kept: list[tuple], chain: list[tuple[int, int, int]
     found, todo = [], [(0, len(chain))]
     while todo:
         a, b = todo.pop()
+        if a == b:
+            continue
+        # The whole is longer than any part of it.
+        i, j = a, b - 1
+        if opens[i] & closes[j] or i == j:
+            both, size, other = sums[b] - sums[a], x[j] + n[j] - x[i], y[j] + n[j] - y[i]
+            if both * (1 + similarity) >= similarity * (size + other) - 1e-9 and size + SHINGLE - 1 >= least:
+                one, two = set(of[x[i] : x[j] + n[j]]), set(kept[y[i] : y[j] + n[j]])
+                if len(one & two) >= similarity * len(one | two):
+                    found.append((int(x[i]), int(x[j] + n[j]) + SHINGLE - 1))
+                    continue
+        if b - a == 1:
+            continue
         tries = []
         for i in range(a, b):
             both = sums[i + 1 : b + 1] - sums[i]
@@ -369,11 +408,11 @@ def _joined(spans: list[tuple]) -> list[tuple]:
 
 def _to_cut(words: list[str], bounds: list[int], stretches: list[dict], similarity: float, least: int) -> list[tuple]:
     """Words from and to that a document loses, and the numbers of the stretches they are in. bounds: where its paragraphs open."""
-    of = list(zip(*[words[k:] for k in range(SHINGLE)], strict=False))
+    ids: defaultdict[str, int] = defaultdict(itertools.count().__next__)
+    texts = [_numbered(t, ids) for t in (words, *[s["words"].split(" ") for s in stretches])]
+    of, *others = _runs_of_words(texts, len(ids))
     known, near, runs = set(of), [], []
-    for who, stretch in enumerate(stretches):
-        plain = stretch["words"].split(" ")
-        kept = list(zip(*[plain[k:] for k in range(SHINGLE)], strict=False))
+    for who, (stretch, kept) in enumerate(zip(stretches, others, strict=True)):
         if sum(map(known.__contains__, kept)) < RUN - SHINGLE + 1:
             continue
         opens = [int(o) for o in stretch["offsets"].split(" ")]
@@ -427,19 +466,30 @@ def _passages(flagged: DataFrame, text: str, similarity: float, least: int, kind
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, least: int = LEAST) -> DataFrame:
     """row (hash of key and text), spans, removed_words, clusters and kept_in (keys) of the documents with passages to remove."""
     rows = docs.select(F.col(key), F.coalesce(text, F.lit("")).alias(text)).withColumn("row", row_key(key, text)).where(F.length(text) > 0)
+    # Every table goes once the one made from it is written.
     keys = stored(_emitted(rows, text, similarity), "bands")
     shared = keys.groupBy("key").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a != b").select("key")
-    hits = stored(keys.join(shared, "key"), "shared-bands")
+    # The shared keys of a partition are few beside its rows, which then need no sort.
+    hits = stored(keys.join(shared.hint("shuffle_hash"), "key"), "shared-bands")
+    spent(keys)
     numbers = hits.groupBy("row").agg(F.collect_set("number").alias("numbers"))
     # Equal rows are one document.
     suspects = stored(rows.join(numbers, "row").dropDuplicates(["row"]), "suspects")
     members = stored(_read(suspects, "numbers", text, "row bigint, number int, words string", _words_of), "paragraphs")
-    members = members.withColumn("id", F.xxhash64("words"))
-    of_key = members.select("row", "number", "id").join(hits, ["row", "number"])
-    contents = members.groupBy("id").agg(F.first("words").alias("words")).join(of_key.groupBy("id").agg(F.collect_set("key").alias("keys")), "id")
-    found = components(_links(stored(contents, "contents"), similarity)).withColumnsRenamed({"node": "id", "root": "_root"})
-    placed = members.join(found, "id", "left").withColumn("cluster", F.coalesce("_root", "id")).drop("_root", "words", "id")
-    placed = placed.join(suspects.select("row", key), "row")
+    own_id = F.xxhash64("words").alias("id")
+    of_key = members.select("row", "number", own_id).join(hits, ["row", "number"])
+    contents = members.groupBy(own_id).agg(F.first("words").alias("words")).join(of_key.groupBy("id").agg(F.collect_set("key").alias("keys")), "id")
+    contents = stored(contents, "contents")
+    spent(hits)
+    links = _links(contents, similarity)
+    spent(contents)
+    found = components(links)
+    spent(links)
+    of_cluster = found.withColumnsRenamed({"node": "id", "root": "_root"})
+    # Of a paragraph only its cluster and its document's key are needed from here on.
+    placed = members.select("row", "number", own_id).join(of_cluster, "id", "left").withColumn("cluster", F.coalesce("_root", "id")).drop("_root", "id")
+    placed = stored(placed.join(suspects.select("row", key), "row"), "placed")
+    spent(members, found)
     own = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("keeper"), F.col("row").alias("k_row"), F.col("number").alias("k_number"))
     first = placed.groupBy("cluster").agg(F.min(own).alias("kept")).select("cluster", "kept.keeper", "kept.k_row", "kept.k_number")
     others = placed.select("row", "number", "cluster").join(first, "cluster").where(F.col("row") != F.col("k_row"))
@@ -454,6 +504,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
         .agg(F.min("k_number").alias("k_first"), F.max("k_number").alias("k_last"), F.first("keeper").alias("keeper"), seeds.alias("seeds"))
     )
     edges = stored(edges.drop("stretch"), "edges")
+    spent(placed)
     # The kept words of a stretch, asked once for all that have it.
     wanted = edges.select("k_row", "k_first", "k_last").distinct().groupBy(F.col("k_row").alias("row")).agg(F.collect_list(F.struct("k_first", "k_last")).alias("asked"))
     beside = _read(suspects.join(wanted, "row"), "asked", text, "row bigint, k_first int, k_last int, offsets string, words string", _around)
@@ -461,14 +512,16 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     stretch = F.struct(F.col("keeper").isNull().alias("none"), "keeper", "k_first", "seeds", "offsets", "words")
     flagged = edges.join(beside, ["k_row", "k_first", "k_last"]).groupBy("row").agg(F.sort_array(F.collect_list(stretch)).alias("stretches"))
     kind = docs.schema[key].dataType.simpleString()
-    return stored(_passages(suspects.join(flagged, "row"), text, similarity, least, kind), "passages")
+    passages = stored(_passages(suspects.join(flagged, "row"), text, similarity, least, kind), "passages")
+    spent(suspects, edges, beside)
+    return passages
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, least: int = LEAST) -> DataFrame:
     """docs without the passages, with spans (where they were), removed_words, clusters and kept_in."""
-    found = repeats(docs, key, text, similarity, least)
+    found = repeats(docs, key, text, similarity, least).withColumnRenamed("row", "_passage_row")
     plain = docs.drop("spans", "removed_words", "clusters", "kept_in")
-    joined = plain.withColumn("row", row_key(key, text)).join(found, "row", "left").drop("row")
+    joined = plain.withColumn("_passage_row", row_key(key, text)).join(found, "_passage_row", "left").drop("_passage_row")
     kept = without(F.col(text), F.col("spans"))
     return joined.withColumn(text, F.when(F.col("spans").isNull(), F.col(text)).otherwise(kept)).withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("bigint"))).select(
         *plain.columns, "spans", "removed_words", "clusters", "kept_in"

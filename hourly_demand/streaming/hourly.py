@@ -13,7 +13,7 @@ from ..config import TS, Y, Rules, check_delay
 from ..functions.time import from_hour_index, hour_index, ntz
 from ..operators.cleaning import before_zone, in_period, in_zones, valid_values, with_zone_verdict
 from ..operators.drift import monitor_merged, monitor_sums
-from ..operators.groups import null_safe_anti
+from ..operators.groups import null_safe_anti, unbroadcast
 from ..plans.forecast import HISTORY_HOURS, ForecastModel, forecast_hours
 from ..sources.shared import checkpoint_root
 
@@ -168,7 +168,7 @@ def forecast_batch(
         on = [*keys, TS]
         fresh = df.select(*on, F.col(Y).cast("double").alias(Y))
         stored = panel(oldest - timedelta(hours=HISTORY_HOURS)).select(*on, F.col(Y).cast("double").alias(Y))
-        older = null_safe_anti(stored, fresh.select(*on).distinct(), on)
+        older = null_safe_anti(stored, unbroadcast(fresh.select(*on).distinct()), on)
         rows = forecast_hours(older.unionByName(fresh), fresh.select(*on).distinct(), model, keys)
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 

@@ -28,3 +28,14 @@ def test_joined_lags_do_not_broadcast_a_panel(spark):
     assert "BroadcastHashJoin" not in plan_of(joined)
     columns = ["zone_id", "pickup_hour", "trips_count", "lag_1", "lag_24"]
     assert sorted(map(str, joined.select(columns).collect())) == sorted(map(str, windows.lags(panel, [1, 24], KEYS).select(columns).collect()))
+
+
+def test_forecasts_of_many_hours_do_not_broadcast_frames(spark, tmp_path):
+    to_spark(spark, history().assign(zone_id=1)[["zone_id", "pickup_hour", "trips_count"]], KEYED).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    # One row per series, which may be broadcast; kept from it here, so that any broadcast is one of frames.
+    radii = spark.createDataFrame([(1, "absolute", 2.0)], "zone_id BIGINT, method STRING, q DOUBLE").hint("merge")
+    closed = rows.filter(F.col("pickup_hour") >= F.lit("2024-02-01 20:00:00").cast("timestamp_ntz"))
+    made = forecast.forecast_hours(rows, closed, forecast.naive_model(radii, "2024-01-23", 1, KEYS), KEYS)
+    assert "BroadcastHashJoin" not in plan_of(made)
+    assert [r["status"] for r in made.collect()] == ["ok"] * 4

@@ -39,3 +39,23 @@ def test_forecasts_of_many_hours_do_not_broadcast_frames(spark, tmp_path):
     made = forecast.forecast_hours(rows, closed, forecast.naive_model(radii, "2024-01-23", 1, KEYS), KEYS)
     assert "BroadcastHashJoin" not in plan_of(made)
     assert [r["status"] for r in made.collect()] == ["ok"] * 4
+
+
+@pytest.fixture
+def small_tasks(spark, monkeypatch):
+    """Few hours a task; joins shuffle both sides, whose small partitions Spark would merge."""
+    monkeypatch.setattr(panels, "ROWS_PER_TASK", 500, raising=False)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_hours_of_a_task_are_bounded(spark, small_tasks):
+    start, end = datetime(2024, 1, 1), datetime(2024, 1, 31)
+    counts = spark.range(40).select(F.col("id").alias("zone_id"), F.lit(start).cast("timestamp_ntz").alias("pickup_hour"), F.lit(3).alias("trips_count"))
+    known = counts.join(spark.range(40).select(F.col("id").alias("zone_id")), "zone_id", "left_semi")
+    panel = panels.fill_hours(known, start, end, KEYS)
+    # 28,800 hours in tasks of 500 and at least one series each.
+    assert panel.rdd.getNumPartitions() >= 55
+    assert panel.count() == 40 * 720 and panel.agg(F.sum("trips_count")).first()[0] == 120

@@ -59,3 +59,9 @@ def test_hours_of_a_task_are_bounded(spark, small_tasks):
     # 28,800 hours in tasks of 500 and at least one series each.
     assert panel.rdd.getNumPartitions() >= 55
     assert panel.count() == 40 * 720 and panel.agg(F.sum("trips_count")).first()[0] == 120
+
+
+def test_interpolated_hours_of_a_task_are_bounded(spark, small_tasks):
+    filled = windows.interpolate_linear(hourly_panel(spark, 40).withColumn("trips_count", F.when(F.hour("pickup_hour") != 5, 7.0)), KEYS, chunk_hours=24)
+    assert filled.rdd.getNumPartitions() >= 19
+    assert filled.count() == 40 * 240 and filled.filter("filled = 7").count() == 40 * 240

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..config import TS, Y
 from ..functions.time import floor_day
+from ..sources.shared import stored
 from .groups import attach, sized
 from .ranks import quantiles
 from .windows import lags
@@ -161,9 +162,10 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns as rows (a, b, r); NULL for a constant column.
 
     Rows must be complete. Spark ML adds up one covariance matrix per task, so only matrices of the
-    size of the column list leave the tasks. Runs a job.
+    size of the column list leave the tasks. Spark ML reads the rows three times, so they are stored
+    and made once. Runs jobs.
     """
-    vectors = VectorAssembler(inputCols=list(cols), outputCol="_v").transform(df).select("_v")
+    vectors = stored(VectorAssembler(inputCols=list(cols), outputCol="_v").transform(df).select("_v"), "vectors")
     matrix = Correlation.corr(vectors, "_v").first()[0].toArray()
     rows = [
         (a, b, None if math.isnan(matrix[i, j]) else float(matrix[i, j]))

@@ -25,7 +25,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import shared_folder
+from ..sources.shared import stored
 
 BLOCK = 10
 #: Fixed value: rounds without gain after which a fit stops.
@@ -213,12 +213,6 @@ def stopped(losses: Sequence[float], patience: int) -> int | None:
     return None
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def boost(
     train: DataFrame,
     columns: Sequence[str],
@@ -247,7 +241,7 @@ def boost(
         parts.append(assembler.transform(early).select("features", label, F.lit(False).alias("_fit")))
     rows = parts[0] if early is None else parts[0].unionByName(parts[1])
     # Written with their numbers, so that a lost task makes the same rows again.
-    rows = _stored(rows.withColumn("_id", F.monotonically_increasing_id()), "boosting")
+    rows = stored(rows.withColumn("_id", F.monotonically_increasing_id()), "boosting")
     out = Boosted(loss.start(rows.filter("_fit")))
     current = rows.withColumn("_cur", F.lit(out.start))
     while len(out.trees) < rounds:
@@ -259,9 +253,15 @@ def boost(
             if share < 1:
                 mark = F.pmod(F.xxhash64(F.lit(seed), F.lit(number), "_id"), F.lit(1 << 30)) / (1 << 30)
                 drawn = drawn.filter(mark < share)
-            tree = DecisionTreeRegressor(
-                featuresCol="features", labelCol="_g", predictionCol="_step", leafCol="_leaf", seed=seed + number, **params
-            ).fit(drawn.withColumn("_g", loss.gradient(number)))
+            # A fit reads its rows for their number, for the splits and for the tree; the trees of the block are walked once.
+            drawn = drawn.select("features", loss.gradient(number).alias("_g")).persist()
+            try:
+                drawn.count()  # by all tasks at once: the fit begins with a single row, which would store its partition alone
+                tree = DecisionTreeRegressor(
+                    featuresCol="features", labelCol="_g", predictionCol="_step", leafCol="_leaf", seed=seed + number, **params
+                ).fit(drawn)
+            finally:
+                drawn.unpersist()
             placed = tree.transform(current)
             leaves = loss.leaves(placed.filter("_fit"))
             step, weight = F.col("_step"), loss.weight(number, rate)
@@ -275,7 +275,7 @@ def boost(
             out.leaves.append(leaves)
         stop = None
         if early is not None or len(out.trees) < rounds:
-            current = _stored(current, "boosting")
+            current = stored(current, "boosting")
         if early is not None:
             found = current.filter(~F.col("_fit")).agg(*[F.avg(loss.loss(F.col(c))).alias(c) for c in tried]).first()
             out.losses += [float("inf") if found[c] is None else found[c] for c in tried]

@@ -160,3 +160,19 @@ def test_one_constant_target(spark):
         QuantileLoss(1.0)
     with pytest.raises(ValueError):
         models.fit_quantile(df, ["a"], 0.5, 1, params={"maxDepth": 11}, y="y")
+
+
+def test_rows_of_a_round_are_made_once(spark, rows, monkeypatch):
+    held = []
+
+    class Watched(boosting.DecisionTreeRegressor):
+        def fit(self, dataset, params=None):
+            held.append(dataset.storageLevel.useMemory and dataset.columns == ["features", "_g"])
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(boosting, "DecisionTreeRegressor", Watched)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for loss in (AbsoluteLoss(), QuantileLoss(0.75)):
+        boost(rows, COLUMNS, "y", loss, 3, 0.3, {"maxDepth": 2, "subsamplingRate": 0.7})
+    assert held == [True] * 6
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before

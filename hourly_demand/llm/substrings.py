@@ -132,10 +132,10 @@ class Cut:
         return of, number, out
 
 
-def _plain(piece: bytes) -> str:
+def _plain(piece: bytes) -> list[bytes]:
     """Words of a piece of text without case and punctuation; a word of punctuation only is a dash."""
     words = b" ".join(piece.split()).translate(_LOWER, _MARKS).split(b" ")
-    return b" ".join([w or b"-" for w in words]).decode("utf-8", "replace")
+    return [w or b"-" for w in words] if b"" in words else words
 
 
 def _emitted(docs: DataFrame, text: str, similarity: float) -> DataFrame:
@@ -159,13 +159,15 @@ def _emitted(docs: DataFrame, text: str, similarity: float) -> DataFrame:
     return docs.select("row", text).mapInArrow(emitted, "key bigint, row bigint, number int")
 
 
-def _read(suspects: DataFrame, asked: str, text: str, schema: str, answer) -> DataFrame:
-    """Rows that answer(words, opens, request) gives for every request of a document.
+def _read(suspects: DataFrame, asked: str, text: str, schema: str, answers) -> DataFrame:
+    """Columns that answers(plain, opens, requests) gives for the requests of a document, after its row.
 
-    suspects has columns row, text and the list `asked`; opens(n) is the number of the word that
-    opens paragraph n, words(a, b) the plain words a to b, and fewer at the document's ends.
+    suspects has columns row, text and the list `asked`; plain are the document's plain words, opens
+    the numbers of the words that open its paragraphs, and the number of its words.
     """
     names = [c.split(" ")[0] for c in schema.split(", ")]
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
+    types = [kinds[c.split(" ")[1]] for c in schema.split(", ")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,38 +176,32 @@ def _read(suspects: DataFrame, asked: str, text: str, schema: str, answer) -> Da
                 cut = Cut(data, ends)
                 opens_of = np.searchsorted(cut.text[cut.opens], np.arange(part.num_rows + 1))
                 bounds = np.append(cut.opens, len(cut.words))
-                whole, places = data.tobytes(), bounds.tolist()
-                out = []
+                whole = data.tobytes()
+                many, cols = [], [[] for _ in types[1:]]
                 for i, requests in enumerate(part.column(asked).to_pylist()):
-                    first, last = int(opens_of[i]), int(opens_of[i + 1])
-                    low, high = places[first], places[last]
-                    plain = _plain(whole[ends[i] : ends[i + 1]]).split(" ")
-
-                    def opens(n: int, first=first) -> int:
-                        return places[first + n]
-
-                    def words(a: int, b: int, low=low, high=high, plain=plain) -> str:
-                        return " ".join(plain[max(a, low) - low : min(b, high) - low])
-
-                    row = part.column("row")[i].as_py()
-                    out += [(row, *answer(words, opens, r)) for r in requests]
-                kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-                types = [kinds[c.split(" ")[1]] for c in schema.split(", ")]
-                cols = zip(*out, strict=True) if out else [[] for _ in names]
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], names=names)
+                    own = bounds[opens_of[i] : opens_of[i + 1] + 1]
+                    found = answers(_plain(whole[ends[i] : ends[i + 1]]), (own - own[0]).tolist(), requests)
+                    many.append(len(requests))
+                    for col, more in zip(cols, found, strict=True):
+                        col += more
+                rows = np.repeat(part.column("row").to_numpy(), many)
+                made = [pa.array(c, pa.binary()).cast(t) if t == pa.string() else pa.array(c, t) for c, t in zip(cols, types[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, types[0]), *made], names=names)
 
     return suspects.select("row", text, asked).mapInArrow(read, schema)
 
 
-def _words_of(words, opens, number: int):
-    return number, words(opens(number), opens(number + 1))
+def _words_of(plain: list[bytes], opens: list[int], numbers: list[int]) -> tuple[list, ...]:
+    return numbers, [b" ".join(plain[opens[n] : opens[n + 1]]) for n in numbers]
 
 
-def _around(words, opens, request: dict):
-    """Words of a stretch of paragraphs with CONTEXT words on either side, and where its paragraphs open in them."""
-    first, last = request["k_first"], request["k_last"]
-    low = max(opens(first) - CONTEXT, opens(0))
-    return first, last, " ".join(str(opens(n) - low) for n in range(first, last + 1)), words(low, opens(last + 1) + CONTEXT)
+def _around(plain: list[bytes], opens: list[int], requests: list[dict]) -> tuple[list, ...]:
+    """Words of stretches of paragraphs with CONTEXT words on either side, and where their paragraphs open in them."""
+    firsts, lasts = [r["k_first"] for r in requests], [r["k_last"] for r in requests]
+    lows = [max(opens[first] - CONTEXT, 0) for first in firsts]
+    offsets = [" ".join([str(o - low) for o in opens[first : last + 1]]).encode() for first, last, low in zip(firsts, lasts, lows, strict=True)]
+    words = [b" ".join(plain[low : opens[last + 1] + CONTEXT]) for last, low in zip(lasts, lows, strict=True)]
+    return firsts, lasts, offsets, words
 
 
 def shingles(words: Column) -> Column:
@@ -291,7 +287,7 @@ def spanning(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> pd.D
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _numbered(words: list[str], ids: defaultdict[str, int]) -> np.ndarray:
+def _numbered(words: list[bytes], ids: defaultdict[bytes, int]) -> np.ndarray:
     """Words as numbers, the same word always as the same one."""
     return np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
 
@@ -356,6 +352,10 @@ def _aligned(of: list[int], kept: list[int], seeds: list[tuple[int, int]]) -> li
 
 def similar(of: list[int], kept: list[int], chain: list[tuple[int, int, int]], similarity: float, least: int) -> list[tuple[int, int]]:
     """Words from and to of the longest parts of a chain that have the exact Jaccard and `least` words."""
+    if chain[-1][0] + chain[-1][2] - chain[0][0] + SHINGLE - 1 < least:
+        return []
+    if len(chain) == 1:  # the same words in both
+        return [(chain[0][0], chain[0][0] + chain[0][2] + SHINGLE - 1)]
     x, y, n = np.array(chain).T
     sums = np.concatenate(([0], np.cumsum(n)))
     gap = np.maximum(x[1:] - x[:-1] - n[:-1], y[1:] - y[:-1] - n[:-1])
@@ -406,17 +406,20 @@ def _joined(spans: list[tuple]) -> list[tuple]:
     return out
 
 
-def _to_cut(words: list[str], bounds: list[int], stretches: list[dict], similarity: float, least: int) -> list[tuple]:
-    """Words from and to that a document loses, and the numbers of the stretches they are in. bounds: where its paragraphs open."""
-    ids: defaultdict[str, int] = defaultdict(itertools.count().__next__)
-    texts = [_numbered(t, ids) for t in (words, *[s["words"].split(" ") for s in stretches])]
+def _to_cut(words: list[bytes], bounds: list[int], stretches: list[tuple], similarity: float, least: int) -> list[tuple]:
+    """Words from and to that a document loses, and the numbers of the stretches they are in. bounds: where its paragraphs open.
+
+    stretches: words and offsets of the kept stretch, its first paragraph, and the paragraphs of its seeds here and there.
+    """
+    ids: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
+    texts = [_numbered(t, ids) for t in (words, *[s[0].split(b" ") for s in stretches])]
     of, *others = _runs_of_words(texts, len(ids))
     known, near, runs = set(of), [], []
-    for who, (stretch, kept) in enumerate(zip(stretches, others, strict=True)):
+    for who, ((_, offsets, k_first, numbers, k_numbers), kept) in enumerate(zip(stretches, others, strict=True)):
         if sum(map(known.__contains__, kept)) < RUN - SHINGLE + 1:
             continue
-        opens = [int(o) for o in stretch["offsets"].split(" ")]
-        seeds = sorted((bounds[s["number"]], opens[s["k_number"] - stretch["k_first"]]) for s in stretch["seeds"])
+        opens = [int(o) for o in offsets.split(b" ")]
+        seeds = sorted((bounds[n], opens[k - k_first]) for n, k in zip(numbers, k_numbers, strict=True))
         for chain in _aligned(of, kept, seeds):
             near += [(a, b, {who}) for a, b in similar(of, kept, chain, similarity, least)]
             runs += [(a, a + n + SHINGLE - 1, {who}) for a, _, n in chain if n + SHINGLE - 1 >= RUN]
@@ -438,21 +441,34 @@ def _passages(flagged: DataFrame, text: str, similarity: float, least: int, kind
                 bounds = np.append(cut.opens, len(cut.words))
                 whole = data.tobytes()
                 rows, spans, words, clusters, keepers = [], [], [], [], []
+                # Lists of structs column by column: as Python objects most of them would be made for nothing.
+                lists = part.column("stretches")
+                first = lists.offsets.to_numpy()
+                flat = lists.values.slice(first[0], first[-1] - first[0])
+                first = first - first[0]
+                seeds = flat.field("seeds")
+                seed_at = seeds.offsets.to_numpy()
+                number, k_number, cluster = (seeds.values.field(c).to_numpy() for c in ("number", "k_number", "cluster"))
+                kept_words, offsets = (flat.field(c).cast(pa.binary()).to_pylist() for c in ("words", "offsets"))
+                k_first, keeper = flat.field("k_first").to_pylist(), flat.field("keeper")
                 for i in range(part.num_rows):
-                    stretches = part.column("stretches")[i].as_py()
-                    a, b = int(bounds[opens_of[i]]), int(bounds[opens_of[i + 1]])
+                    several = range(first[i], first[i + 1])
+                    of_seeds = [slice(seed_at[s], seed_at[s + 1]) for s in several]
+                    stretches = [(kept_words[s], offsets[s], k_first[s], number[at].tolist(), k_number[at].tolist()) for s, at in zip(several, of_seeds, strict=True)]
+                    a = int(bounds[opens_of[i]])
                     base = int(ends[i])
                     head = whole[base : int(ends[i + 1])]
                     own = (bounds[opens_of[i] : opens_of[i + 1] + 1] - a).tolist()
-                    found = _to_cut(_plain(head).split(" "), own, stretches, similarity, least)
+                    found = _to_cut(_plain(head), own, stretches, similarity, least)
                     if found:
                         found = [(a + x, a + y, who) for x, y, who in found]
-                        of = {(w, s["cluster"]) for _, _, who in found for w in who for s in stretches[w]["seeds"]}
-                        keep = {stretches[w]["keeper"] for _, _, who in found for w in who}
+                        used = {w for _, _, who in found for w in who}
+                        of = {c for w in used for c in cluster[of_seeds[w]].tolist()}
+                        keep = {keeper[several[w]].as_py() for w in used}
                         rows.append(part.column("row")[i].as_py())
                         spans.append([{"start": len(head[: cut.starts[x] - base].decode()), "end": len(head[: cut.stops[y - 1] - base].decode())} for x, y, _ in found])
                         words.append(sum(y - x for x, y, _ in found))
-                        clusters.append(sorted({c for _, c in of}))
+                        clusters.append(sorted(of))
                         keepers.append(sorted(keep - {None}))
                 kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
                 yield pa.RecordBatch.from_arrays(

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from llm_helpers import by_id
 from pyspark.sql import functions as F
@@ -213,3 +214,34 @@ def test_passages_of_fifty_words_all_leave(make):
             rows.append((2 * i + k, spread(own, i + k)))
     got = by_id(substrings.dedup(make(rows)), "removed_words")
     assert [i for i in range(40) if got[2 * i + 1] < 50] == []
+
+
+def test_one_run_needs_no_shingles():
+    # A run is the same words in both, and no part of a chain is longer than the whole.
+    assert substrings.similar(None, None, [(3, 5, 46)], 0.8, 50) == [(3, 53)]
+    assert substrings.similar(None, None, [(3, 5, 45)], 0.8, 50) == []
+    assert substrings.similar(None, None, [(3, 5, 20), (28, 30, 20)], 0.8, 50) == []
+
+
+def test_passages_of_slices_equal_those_of_the_whole(spark):
+    class Frame:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    passage = " ".join(f"word{i}" for i in range(60))
+    seed = {"number": 0, "k_number": 2, "cluster": 7}
+    # The kept stretch opens its paragraph 2 with the passage; the other one has nothing of it.
+    same = {"none": False, "keeper": 5, "k_first": 2, "seeds": [seed], "offsets": "0", "words": passage}
+    other = same | {"keeper": 6, "seeds": [seed | {"cluster": 8}], "words": " ".join(f"other{i}" for i in range(60))}
+    texts = [passage.upper(), f"{passage} end", passage + ", " * 3]
+    stretches = [[same], [other, same], [other]]
+    kind = pa.list_(pa.struct([("none", pa.bool_()), ("keeper", pa.int64()), ("k_first", pa.int32()), ("seeds", pa.list_(pa.struct([("number", pa.int32()), ("k_number", pa.int32()), ("cluster", pa.int64())]))), ("offsets", pa.string()), ("words", pa.string())]))
+    whole = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(texts), pa.array(stretches, kind)], names=["row", "text", "stretches"])
+    cut = substrings._passages(Frame(), "text", 0.8, 50, "bigint")
+    found = [r for batch in cut(iter([whole])) for r in batch.to_pylist()]
+    assert [(r["row"], r["removed_words"], r["clusters"], r["kept_in"]) for r in found] == [(1, 60, [7], [5]), (2, 60, [7], [5])]
+    assert found[1]["spans"] == [{"start": 0, "end": len(passage)}]
+    assert [r for i in range(3) for batch in cut(iter([whole.slice(i, 1)])) for r in batch.to_pylist()] == found

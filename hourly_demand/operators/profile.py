@@ -162,7 +162,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair of columns as rows (a, b, r); NULL for a constant column.
 
     Rows must be complete. Spark ML adds up one covariance matrix per task, so only matrices of the
-    size of the column list leave the tasks. Spark ML reads the rows three times, so they are stored
+    size of the column list leave the tasks. Spark ML reads the rows twice and the first one before, so they are stored
     and made once. Runs jobs.
     """
     vectors = stored(VectorAssembler(inputCols=list(cols), outputCol="_v").transform(df).select("_v"), "vectors")

@@ -8,16 +8,17 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, SQLTransformer, VectorAssembler
+from pyspark.ml.regression import LinearRegressionModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Y, Protocol
+from ..operators.moments import moments
 from .backtest import evaluate_model
 from .boosting import BLOCK, PATIENCE, AbsoluteLoss, Boosted, QuantileLoss, boost
-from .features import scaling
 
 #: Columns that are one-hot encoded for the linear model; all others are standardised.
 ONE_HOT = {"hour", "weekday"}
@@ -35,51 +36,64 @@ def clip_stage(source: str = "raw_prediction") -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, greatest(0D, {source}) AS prediction FROM __THIS__")
 
 
-def standard_stage(train: DataFrame, numeric: Sequence[str]) -> SQLTransformer:
-    """Standardises with the mean and population deviation of the training rows."""
-    stats = scaling(train, numeric).first()
+def standard_stage(numeric: Sequence[str], means: Sequence[float], deviations: Sequence[float]) -> SQLTransformer:
+    """Standardises with the means and population deviations of the training rows."""
     parts = [
-        f"(CAST({c} AS DOUBLE) - ({stats[f'{c}_mean']!r}D)) / ({stats[f'{c}_std']!r}D) AS z_{c}" for c in numeric
+        f"(CAST({c} AS DOUBLE) - ({float(mean)!r}D)) / ({float(std)!r}D) AS z_{c}"
+        for c, mean, std in zip(numeric, means, deviations, strict=True)
     ]
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def prep_pipeline(train: DataFrame, columns: Sequence[str]) -> list:
-    """One-hot hour and weekday, standardised numbers; categories not seen in training are all zero."""
-    by_kind: dict[str, list[str]] = {"onehot": [], "z": []}
-    for c in columns:
-        by_kind["onehot" if c in ONE_HOT else "z"].append(c)
-    stages = [standard_stage(train, by_kind["z"])] if by_kind["z"] else []
-    if by_kind["onehot"]:
-        encoded = [f"onehot_{c}" for c in by_kind["onehot"]]
-        stages.append(OneHotEncoder(inputCols=by_kind["onehot"], outputCols=encoded, handleInvalid="keep", dropLast=True))
-    inputs = [f"{kind}_{c}" for kind, names in by_kind.items() for c in names]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    return stages
+def one_hot_stage(spark: SparkSession, columns: Sequence[str], sizes: Sequence[int]) -> OneHotEncoderModel:
+    """Encodes categories from 0 on; categories not seen in training are all zero."""
+    encoder = OneHotEncoder(inputCols=list(columns), outputCols=[f"onehot_{c}" for c in columns], handleInvalid="keep", dropLast=True)
+    highest = ", ".join(f"{size - 1} AS {c}" for c, size in zip(columns, sizes, strict=True))
+    return encoder.fit(spark.sql(f"SELECT {highest}"))
 
 
 def fit_ridge(train: DataFrame, columns: Sequence[str], alpha: float, y: str = Y) -> PipelineModel:
     """Least squares with an L2 penalty of `alpha` on the squared coefficients, intercept free.
 
-    Spark divides the loss by the rows and scales the label by its deviation, so the penalty is
-    rescaled to keep the usual objective.
+    Hour and weekday are one-hot encoded, other columns standardised. Rows are read once and not kept: scaling,
+    categories and the normal equations all follow from one matrix of moments.
     """
-    train = train.select(*columns, y).persist()
-    try:
-        size = train.agg(F.count("*").alias("n"), F.stddev_pop(y).alias("s")).first()
-        reg = alpha * (size["s"] or 1.0) / size["n"] if size["n"] else 0.0
-        solver = LinearRegression(
-            featuresCol="features",
-            labelCol=y,
-            predictionCol="raw_prediction",
-            elasticNetParam=0.0,
-            standardization=False,
-            solver="normal",
-            regParam=reg,
-        )
-        return Pipeline(stages=[*prep_pipeline(train, columns), solver, clip_stage()]).fit(train)
-    finally:
-        train.unpersist()
+    spark = train.sparkSession
+    one_hot, numeric = [c for c in columns if c in ONE_HOT], [c for c in columns if c not in ONE_HOT]
+    found = moments(train, one_hot, [*numeric, y])
+    if found is None:
+        raise ValueError("no rows to fit")
+    first = sum(found.sizes)
+    flat = found.low == found.high
+    # A deviation of zero counts as 1; categories stay 0 or 1.
+    scale = np.where(flat, 1.0, np.sqrt(np.diag(found.scatter) / found.n))
+    scale[:first] = scale[-1] = 1.0
+    products = np.where(flat[:, None] | flat, 0.0, found.scatter / np.outer(scale, scale))
+    penalised = products[:-1, :-1] + alpha * np.eye(len(scale) - 1)
+    weights = np.linalg.solve(penalised, products[:-1, -1]) if alpha else np.linalg.lstsq(penalised, products[:-1, -1])[0]
+    # Standardised columns have the mean 0.
+    intercept = found.mean[-1] - weights[:first] @ found.mean[:first]
+    stages = [standard_stage(numeric, found.mean[first:-1], scale[first:-1])] if numeric else []
+    if one_hot:
+        stages.append(one_hot_stage(spark, one_hot, found.sizes))
+    inputs = [*[f"onehot_{c}" for c in one_hot], *[f"z_{c}" for c in numeric]]
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
+    return PipelineModel(stages=[*stages, _linear_model(spark, weights, intercept), clip_stage()])
+
+
+def _linear_model(spark: SparkSession, weights: np.ndarray, intercept: float) -> LinearRegressionModel:
+    """Spark's own model class of these coefficients."""
+    ml = spark.sparkContext._jvm.org.apache.spark.ml
+    vector = ml.linalg.DenseVector(_doubles(spark, weights))
+    made = ml.regression.LinearRegressionModel(ml.util.Identifiable.randomUID("ridge"), vector, float(intercept))
+    return LinearRegressionModel(made).setFeaturesCol("features").setPredictionCol("raw_prediction")
+
+
+def _doubles(spark: SparkSession, values: np.ndarray):
+    array = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, len(values))
+    for i, v in enumerate(values):
+        array[i] = float(v)
+    return array
 
 
 def fit_gbt(

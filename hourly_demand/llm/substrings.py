@@ -30,12 +30,12 @@ columns named spans, removed_words, clusters or kept_in are replaced.
 from __future__ import annotations
 
 import itertools
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +61,10 @@ RUN = 12
 #: Different paragraphs of a key that the join still turns into pairs, and members of a block beyond.
 JOINED = 16
 BLOCK = 512
+#: Runs of a chain that are compared with all later ones at once.
+SIDE = 32
+#: Bytes of texts whose words are numbered together.
+TOGETHER = 1 << 20
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -132,10 +136,16 @@ class Cut:
         return of, number, out
 
 
+def _plain_text(piece: bytes) -> bytes:
+    """Words of a piece of text without case and punctuation, between blanks; a word of punctuation only is a dash."""
+    plain = b" ".join(piece.split()).translate(_LOWER, _MARKS)
+    if b"  " in plain or plain[:1] in b" " or plain[-1:] == b" ":
+        return b" ".join([w or b"-" for w in plain.split(b" ")])
+    return plain
+
+
 def _plain(piece: bytes) -> list[bytes]:
-    """Words of a piece of text without case and punctuation; a word of punctuation only is a dash."""
-    words = b" ".join(piece.split()).translate(_LOWER, _MARKS).split(b" ")
-    return [w or b"-" for w in words] if b"" in words else words
+    return _plain_text(piece).split(b" ")
 
 
 def _emitted(docs: DataFrame, text: str, similarity: float) -> DataFrame:
@@ -287,25 +297,21 @@ def spanning(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> pd.D
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _numbered(words: list[bytes], ids: defaultdict[bytes, int]) -> np.ndarray:
-    """Words as numbers, the same word always as the same one."""
-    return np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-
-
-def _runs_of_words(texts: list[np.ndarray], words: int) -> list[list[int]]:
-    """The shingles of several texts of numbered words as numbers: equal ones for equal shingles only."""
-    sizes = [max(0, len(t) - SHINGLE + 1) for t in texts]
-    code = [t[:n] for t, n in zip(texts, sizes, strict=True)]
-    bits, used = max(1, int(words - 1).bit_length()), max(1, int(words - 1).bit_length())
+def _runs_of_words(texts: list[bytes]) -> list[list[int]]:
+    """The shingles of several texts of words between blanks as numbers: equal ones for equal shingles only."""
+    split = pc.split_pattern(pa.array(texts, pa.large_binary()), " ")
+    ends, words = split.offsets.to_numpy().tolist(), split.flatten().dictionary_encode()
+    number = words.indices.to_numpy().astype(np.int64)
+    bits = used = max(1, (len(words.dictionary) - 1).bit_length())
+    code = number
     for k in range(1, SHINGLE):
         if used + bits > 62:
             # Too many for one number: the ones that occur are numbered anew.
-            dense = np.unique(np.concatenate(code), return_inverse=True)[1]
-            code = np.split(dense, np.cumsum(sizes)[:-1])
-            used = max(1, len(dense).bit_length())
-        code = [(c << bits) | t[k : k + n] for c, t, n in zip(code, texts, sizes, strict=True)]
+            code = pd.factorize(code)[0]
+            used = len(code).bit_length()
+        code = (code[:-1] << bits) | number[k:]
         used += bits
-    return [c.tolist() for c in code]
+    return [code[a : max(a, b - SHINGLE + 1)].tolist() for a, b in itertools.pairwise(ends)]
 
 
 def _runs(of: list[int], kept: list[int], i: int, j: int) -> list[tuple[int, int, int]]:
@@ -379,12 +385,16 @@ def similar(of: list[int], kept: list[int], chain: list[tuple[int, int, int]], s
         if b - a == 1:
             continue
         tries = []
-        for i in range(a, b):
-            both = sums[i + 1 : b + 1] - sums[i]
-            sizes = (x[i:b] + n[i:b] - x[i]) + (y[i:b] + n[i:b] - y[i])
-            fits = (both * (1 + similarity) >= similarity * sizes - 1e-9) & (x[i:b] + n[i:b] - x[i] + SHINGLE - 1 >= least)
-            fits &= (opens[i] & closes[i:b]) | (np.arange(i, b) == i)
-            tries += [(int(x[j] + n[j] - x[i]), i, int(j)) for j in np.flatnonzero(fits)[-1:] + i]
+        for first in range(a, b, SIDE):
+            i = np.arange(first, min(first + SIDE, b))[:, None]
+            size = x[first:b] + n[first:b] - x[i]
+            fits = (sums[first + 1 : b + 1] - sums[i]) * (1 + similarity) >= similarity * (size + y[first:b] + n[first:b] - y[i]) - 1e-9
+            own = np.arange(first, b) == i
+            fits &= (size + SHINGLE - 1 >= least) & ((opens[i] & closes[first:b]) | own) & (np.arange(first, b) >= i)
+            some = np.flatnonzero(fits.any(axis=1))
+            # The longest of each first run.
+            last = fits.shape[1] - 1 - fits[some, ::-1].argmax(axis=1)
+            tries += [(int(size[k, m]), first + int(k), first + int(m)) for k, m in zip(some, last, strict=True)]
         for _, i, j in sorted(tries, key=lambda t: -t[0]):
             one, two = set(of[x[i] : x[j] + n[j]]), set(kept[y[i] : y[j] + n[j]])
             if len(one & two) >= similarity * len(one | two):
@@ -406,16 +416,14 @@ def _joined(spans: list[tuple]) -> list[tuple]:
     return out
 
 
-def _to_cut(words: list[bytes], bounds: list[int], stretches: list[tuple], similarity: float, least: int) -> list[tuple]:
+def _to_cut(of: list[int], others: list[list[int]], bounds: list[int], stretches: list[tuple], similarity: float, least: int) -> list[tuple]:
     """Words from and to that a document loses, and the numbers of the stretches they are in. bounds: where its paragraphs open.
 
-    stretches: words and offsets of the kept stretch, its first paragraph, and the paragraphs of its seeds here and there.
+    of, others: shingles of the document and of the kept stretches. stretches: offsets of the kept stretch, its first
+    paragraph, and the paragraphs of its seeds here and there.
     """
-    ids: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
-    texts = [_numbered(t, ids) for t in (words, *[s[0].split(b" ") for s in stretches])]
-    of, *others = _runs_of_words(texts, len(ids))
     known, near, runs = set(of), [], []
-    for who, ((_, offsets, k_first, numbers, k_numbers), kept) in enumerate(zip(stretches, others, strict=True)):
+    for who, ((offsets, k_first, numbers, k_numbers), kept) in enumerate(zip(stretches, others, strict=True)):
         if sum(map(known.__contains__, kept)) < RUN - SHINGLE + 1:
             continue
         opens = [int(o) for o in offsets.split(b" ")]
@@ -451,15 +459,22 @@ def _passages(flagged: DataFrame, text: str, similarity: float, least: int, kind
                 number, k_number, cluster = (seeds.values.field(c).to_numpy() for c in ("number", "k_number", "cluster"))
                 kept_words, offsets = (flat.field(c).cast(pa.binary()).to_pylist() for c in ("words", "offsets"))
                 k_first, keeper = flat.field("k_first").to_pylist(), flat.field("keeper")
+                texts = [_plain_text(whole[ends[i] : ends[i + 1]]) for i in range(part.num_rows)]
+                load = np.cumsum([0, *(len(t) + sum(map(len, kept_words[first[i] : first[i + 1]])) for i, t in enumerate(texts))])
+                shingled, upto = iter(()), 0
                 for i in range(part.num_rows):
+                    if i == upto:
+                        upto = max(i + 1, int(np.searchsorted(load, load[i] + TOGETHER, side="right")) - 1)
+                        shingled = iter(_runs_of_words([t for d in range(i, upto) for t in (texts[d], *kept_words[first[d] : first[d + 1]])]))
                     several = range(first[i], first[i + 1])
                     of_seeds = [slice(seed_at[s], seed_at[s + 1]) for s in several]
-                    stretches = [(kept_words[s], offsets[s], k_first[s], number[at].tolist(), k_number[at].tolist()) for s, at in zip(several, of_seeds, strict=True)]
+                    stretches = [(offsets[s], k_first[s], number[at].tolist(), k_number[at].tolist()) for s, at in zip(several, of_seeds, strict=True)]
                     a = int(bounds[opens_of[i]])
                     base = int(ends[i])
                     head = whole[base : int(ends[i + 1])]
                     own = (bounds[opens_of[i] : opens_of[i + 1] + 1] - a).tolist()
-                    found = _to_cut(_plain(head), own, stretches, similarity, least)
+                    of, *others = itertools.islice(shingled, 1 + len(several))
+                    found = _to_cut(of, others, own, stretches, similarity, least)
                     if found:
                         found = [(a + x, a + y, who) for x, y, who in found]
                         used = {w for _, _, who in found for w in who}

@@ -29,6 +29,22 @@ class Moments(NamedTuple):
     low: np.ndarray
     high: np.ndarray
 
+    def deviations(self) -> np.ndarray:
+        """Population deviations; exactly zero for equal values."""
+        return np.where(self.low == self.high, 0.0, np.sqrt(np.diag(self.scatter) / self.n))
+
+    def points(self) -> np.ndarray:
+        """A few rows with the same means and the same mean products: one on either side along each principal axis."""
+        varied = np.flatnonzero(self.low != self.high)
+        if not len(varied):
+            return self.mean[None].copy()
+        scale = self.deviations()[varied]
+        length, axes = np.linalg.eigh(self.scatter[np.ix_(varied, varied)] / self.n / np.outer(scale, scale))
+        away = (axes * np.sqrt(np.maximum(length, 0.0) * len(varied))).T * scale
+        out = np.tile(self.mean, (2 * len(varied), 1))
+        out[:, varied] += np.vstack([away, -away])
+        return out
+
 
 def widened(some: tuple, sizes: tuple[int, ...]) -> tuple:
     """With room for more categories, of which no row was seen."""

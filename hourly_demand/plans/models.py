@@ -11,7 +11,8 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, SQLTransformer, VectorAssembler
-from pyspark.ml.regression import LinearRegressionModel
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,44 +57,38 @@ def fit_ridge(train: DataFrame, columns: Sequence[str], alpha: float, y: str = Y
     """Least squares with an L2 penalty of `alpha` on the squared coefficients, intercept free.
 
     Hour and weekday are one-hot encoded, other columns standardised. Rows are read once and not kept: scaling,
-    categories and the normal equations all follow from one matrix of moments.
+    categories and the normal equations all follow from one matrix of moments. Spark fits a few points that have
+    the same moments. It divides the loss by the rows and scales the label by its deviation, so the penalty is
+    rescaled to keep the usual objective.
     """
     spark = train.sparkSession
     one_hot, numeric = [c for c in columns if c in ONE_HOT], [c for c in columns if c not in ONE_HOT]
     found = moments(train, one_hot, [*numeric, y])
     if found is None:
         raise ValueError("no rows to fit")
-    first = sum(found.sizes)
-    flat = found.low == found.high
-    # A deviation of zero counts as 1; categories stay 0 or 1.
-    scale = np.where(flat, 1.0, np.sqrt(np.diag(found.scatter) / found.n))
-    scale[:first] = scale[-1] = 1.0
-    products = np.where(flat[:, None] | flat, 0.0, found.scatter / np.outer(scale, scale))
-    penalised = products[:-1, :-1] + alpha * np.eye(len(scale) - 1)
-    weights = np.linalg.solve(penalised, products[:-1, -1]) if alpha else np.linalg.lstsq(penalised, products[:-1, -1])[0]
-    # Standardised columns have the mean 0.
-    intercept = found.mean[-1] - weights[:first] @ found.mean[:first]
-    stages = [standard_stage(numeric, found.mean[first:-1], scale[first:-1])] if numeric else []
+    first, deviations = sum(found.sizes), found.deviations()
+    stages = []
+    if numeric:
+        # A deviation of zero counts as 1.
+        deviations[first:-1] = np.where(deviations[first:-1] == 0, 1.0, deviations[first:-1])
+        stages.append(standard_stage(numeric, found.mean[first:-1], deviations[first:-1]))
     if one_hot:
         stages.append(one_hot_stage(spark, one_hot, found.sizes))
     inputs = [*[f"onehot_{c}" for c in one_hot], *[f"z_{c}" for c in numeric]]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    return PipelineModel(stages=[*stages, _linear_model(spark, weights, intercept), clip_stage()])
-
-
-def _linear_model(spark: SparkSession, weights: np.ndarray, intercept: float) -> LinearRegressionModel:
-    """Spark's own model class of these coefficients."""
-    ml = spark.sparkContext._jvm.org.apache.spark.ml
-    vector = ml.linalg.DenseVector(_doubles(spark, weights))
-    made = ml.regression.LinearRegressionModel(ml.util.Identifiable.randomUID("ridge"), vector, float(intercept))
-    return LinearRegressionModel(made).setFeaturesCol("features").setPredictionCol("raw_prediction")
-
-
-def _doubles(spark: SparkSession, values: np.ndarray):
-    array = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, len(values))
-    for i, v in enumerate(values):
-        array[i] = float(v)
-    return array
+    points = found.points()
+    points[:, first:-1] = (points[:, first:-1] - found.mean[first:-1]) / deviations[first:-1]
+    solver = LinearRegression(
+        featuresCol="features",
+        labelCol=y,
+        predictionCol="raw_prediction",
+        elasticNetParam=0.0,
+        standardization=False,
+        solver="normal",
+        regParam=alpha * (float(deviations[-1]) or 1.0) / found.n,
+    )
+    alike = spark.createDataFrame([(Vectors.dense(p[:-1]), float(p[-1])) for p in points], ["features", y])
+    return PipelineModel(stages=[*stages, solver.fit(alike.coalesce(1)), clip_stage()])
 
 
 def fit_gbt(

@@ -245,3 +245,16 @@ def test_passages_of_slices_equal_those_of_the_whole(spark):
     assert [(r["row"], r["removed_words"], r["clusters"], r["kept_in"]) for r in found] == [(1, 60, [7], [5]), (2, 60, [7], [5])]
     assert found[1]["spans"] == [{"start": 0, "end": len(passage)}]
     assert [r for i in range(3) for batch in cut(iter([whole.slice(i, 1)])) for r in batch.to_pylist()] == found
+
+
+def test_shingles_of_texts_are_numbered_together():
+    rng = np.random.default_rng(3)
+    # So many words that five of them do not fit one number, and so few that they do.
+    for size in (40, 9000):
+        texts = [" ".join(f"w{k}" for k in rng.integers(0, size, n)).encode() for n in (0, 3, 5, 400, 12000)]
+        texts.append(texts[3])
+        made = substrings._runs_of_words(texts)
+        shingles = [[tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)] for t in texts]
+        assert [len(m) for m in made] == [len(s) for s in shingles]
+        pairs = {(a, b) for m, s in zip(made, shingles, strict=True) for a, b in zip(m, s, strict=True)}
+        assert len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})

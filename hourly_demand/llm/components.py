@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.groups import unbroadcast
 from .common import owning, spent, stored
 
 ROUNDS = 60
@@ -48,7 +49,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """For each node u and neighbour v > u: v to the smallest of u and its neighbours."""
     # The smallest of all neighbours of u matters for its larger neighbours only.
     smallest = edges.groupBy(F.col("high").alias("u")).agg(F.min("low").alias("m"))
-    joined = edges.withColumnRenamed("low", "u").join(smallest, "u", "left")
+    joined = edges.withColumnRenamed("low", "u").join(unbroadcast(smallest), "u", "left")
     # Links that come more than once are made one by the small star.
     return joined.select(F.coalesce("m", "u").alias("low"), "high")
 
@@ -56,6 +57,6 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """For each node u: u and its smaller neighbours to the smallest of them."""
     smallest = edges.groupBy("high").agg(F.min("low").alias("m"))
-    joined = edges.join(smallest, "high")
+    joined = edges.join(unbroadcast(smallest), "high")
     moved = joined.where("low != m").select(F.col("m").alias("low"), F.col("low").alias("high"))
     return moved.unionByName(smallest.select(F.col("m").alias("low"), "high")).distinct()

@@ -12,6 +12,9 @@ Equal fingerprints are one node from the start, so exact copies cost nothing. A
 lookups of different fingerprints meet in, as a large group of near copies makes, is not joined: its
 members are dealt out in blocks, and a task that holds a block of each side returns only a spanning
 set of the links it verified, so no such group is turned into its pairs, and none is gathered.
+
+Fingerprints are few bytes each, and Spark sizes their lookups, some 50 rows of each, as if they had not
+been exploded. It would broadcast them for any corpus of less than some GB, so all joins are sorted ones.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.groups import BROADCAST_ROWS, unbroadcast
 from .common import slices, stored, text_bytes
 from .components import components
 
@@ -109,18 +113,20 @@ def links(nodes: DataFrame, distance: int = 4, segments=SEGMENTS) -> DataFrame:
     sizes = entries.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("entries"))
     # Lookups that meet some other fingerprint.
     met = stored(
-        _lookups(nodes, segments).join(sizes, ["segment", "value"]), "lookups"
+        unbroadcast(_lookups(nodes, segments)).join(unbroadcast(sizes), ["segment", "value"]), "lookups"
     )
     loads = met.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("lookups"), F.first("entries").alias("entries"))
     loads = stored(loads.where("lookups > 1"), "loads")
     small = loads.where(F.col("lookups") * F.col("entries") <= JOINED).select("segment", "value")
-    left = met.join(small, ["segment", "value"]).select("segment", "value", F.col("fp").alias("a"))
+    left = met.join(unbroadcast(small), ["segment", "value"]).select("segment", "value", F.col("fp").alias("a"))
     right = entries.select("segment", "value", F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    pairs = left.join(right, ["segment", "value"]).where((F.col("a") != F.col("b")) & near).select("a", "b")
+    pairs = unbroadcast(left).join(unbroadcast(right), ["segment", "value"]).where((F.col("a") != F.col("b")) & near).select("a", "b")
     large = loads.where(F.col("lookups") * F.col("entries") > JOINED).withColumns(
         {"nl": F.ceil(F.col("lookups") / BLOCK).cast("int"), "ne": F.ceil(F.col("entries") / BLOCK).cast("int")}
     ).drop("lookups", "entries")
+    # Few as a rule; then the rows of a very large bucket stay where they are.
+    large = F.broadcast(large) if large.count() <= BROADCAST_ROWS else unbroadcast(large)
     # A block of one side meets each block of the other once.
     at = ["segment", "value", "l", "e"]
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -163,7 +169,7 @@ def _components_of(rows: DataFrame, distance: int, segments) -> DataFrame:
     """fp and root, the smallest fingerprint of its component, for all fingerprints of rows."""
     nodes = rows.select("fp").distinct()
     found = components(links(nodes, distance, segments)).withColumnsRenamed({"node": "fp"})
-    return stored(nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "near-components")
+    return unbroadcast(stored(nodes.join(unbroadcast(found), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "near-components"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, key: str = "doc_id", text: str = "text", segments=SEGMENTS) -> DataFrame:
@@ -177,7 +183,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, key: s
     lows = rows.groupBy("fp").agg(F.min(key).alias("low")).join(reached, "fp")
     lowest = lows.groupBy("root").agg(F.min("low").alias("component_id"))
     ids = reached.join(lowest, "root").select("fp", "component_id")
-    return rows.join(ids, "fp").select(key, "fp", "component_id")
+    return rows.join(unbroadcast(ids), "fp").select(key, "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4, key: str = "doc_id", text: str = "text", segments=SEGMENTS) -> DataFrame:
@@ -188,7 +194,7 @@ def one_of_each(docs: DataFrame, shingle: int = 4, distance: int = 4, key: str =
     of_fp = rows.groupBy("fp").agg(F.min(own).alias("low"), F.count(F.lit(1)).alias("n"))
     kept = of_fp.join(_components_of(rows, distance, segments), "fp").groupBy("root").agg(F.min("low").alias("low"))
     kept = stored(kept.select(F.col("low.key").alias("_key"), F.col("low.text").alias("_hash")).distinct(), "kept")
-    chosen = marked.join(kept, marked[key].eqNullSafe(kept["_key"]) & (marked["_text"] == kept["_hash"]), "left_semi")
+    chosen = marked.join(unbroadcast(kept), marked[key].eqNullSafe(kept["_key"]) & (marked["_text"] == kept["_hash"]), "left_semi")
     # Rows that are the same in key and text are copies; most tables have none, and then no text moves.
     same = rows.groupBy(key, "_text").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not same.isEmpty():

@@ -1,6 +1,7 @@
 """op3 against brute force."""
 
 import random
+import sys
 
 import numpy as np
 import pandas as pd
@@ -142,3 +143,23 @@ def test_spanning_is_a_forest():
 def test_extra_columns(make):
     got = simhash.one_of_each(make([(1, "a b c")], extra="component_id"))
     assert by_id(got, "component_id") == {1: "old"}
+
+
+def test_rows_per_fingerprint_are_never_broadcast(spark, make, tmp_path, monkeypatch):
+    make(list(enumerate(texts(20, 5)))).write.parquet(str(tmp_path / "docs"))
+    docs, plans = spark.read.parquet(str(tmp_path / "docs")), {}
+
+    def watched(df, name, keep=simhash.stored):
+        plans.setdefault(name, "")
+        plans[name] += df._jdf.queryExecution().executedPlan().toString()
+        return keep(df, name)
+
+    for module in (simhash, sys.modules[components.__module__]):
+        monkeypatch.setattr(module, "stored", watched)
+    # Only a counted number of very large buckets may be sent.
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", -1, raising=False)
+    found = simhash.near_duplicates(docs)
+    plans["result"] = found._jdf.queryExecution().executedPlan().toString()
+    assert found.select("component_id").distinct().count() == simhash.one_of_each(docs).count()
+    assert {"lookups", "links", "near-components", "kept", "result"} <= set(plans)
+    assert [n for n, p in plans.items() if "BroadcastHashJoin" in p] == []

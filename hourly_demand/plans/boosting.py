@@ -1,9 +1,9 @@
 """Gradient boosting in blocks of rounds, with early stopping, on Spark's regression trees.
 
-A block starts from stored rows: features, target, and the prediction so far. Each of its rounds fits
-one tree to the gradient of the loss and adds a step to the prediction. At the end of a block one pass
-gives the losses of all its rounds on the stopping rows, and the rows are written again with the new
-prediction, which cuts the lineage: however many rounds a fit takes, no plan holds more than a block of
+A block starts from stored rows: bins of the features, target, and the prediction so far, packed as
+`trees` reads them. Each of its rounds fits one tree to the gradient of the loss and adds a step to the
+prediction. At the end of a block one pass gives the losses of all its rounds on the stopping rows, and
+the rows are written again with the new prediction, which cuts the lineage: however many rounds a fit takes, no plan holds more than a block of
 trees, and a lost executor costs one block at most. The fit ends when `patience` rounds in a row have
 not improved the loss; the rounds after the best one are dropped. So a bound of 1,500 rounds costs no
 more than the rounds that are needed.
@@ -17,15 +17,20 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import stored
+from ..sources.shared import shared_folder, stored
+from . import trees
+from .trees import DecisionTreeRegressor
 
 BLOCK = 10
 #: Fixed value: rounds without gain after which a fit stops.
@@ -44,9 +49,8 @@ class AbsoluteLoss:
     def start(self, train: DataFrame) -> float:
         return 0.0
 
-    def gradient(self, number: int) -> Column:
-        sign = F.when(F.col("_y") - F.col("_cur") < 0, -1.0).otherwise(1.0)
-        return F.col("_y") if number == 0 else sign
+    def gradient(self, number: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        return (lambda y, current: y) if number == 0 else (lambda y, current: np.where(y - current < 0, -1.0, 1.0))
 
     def weight(self, number: int, rate: float) -> float:
         return 1.0 if number == 0 else rate
@@ -72,8 +76,9 @@ class QuantileLoss:
     def start(self, train: DataFrame) -> float:
         return float(train.agg(F.percentile_approx("_y", self.tau, ACCURACY).alias("q")).first()["q"] or 0.0)
 
-    def gradient(self, number: int) -> Column:
-        return F.when(F.col("_y") > F.col("_cur"), self.tau).otherwise(self.tau - 1.0)
+    def gradient(self, number: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        tau = self.tau
+        return lambda y, current: np.where(y > current, tau, tau - 1.0)
 
     def weight(self, number: int, rate: float) -> float:
         return rate
@@ -97,6 +102,13 @@ class Tree:
     threshold: list[float]
     value: list[float]
 
+    def arrays(self, shape: trees.Shape) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        """As `trees.walked` takes them on such features."""
+        threshold = self.threshold
+        if shape.limits is not None:
+            threshold = [t if t == NO_SPLIT else np.searchsorted(shape.limits[j], t) for j, t in zip(self.feature, threshold, strict=True)]
+        return self.depth, np.array(self.feature, np.intp), np.array(threshold, float), np.array(self.value, float)
+
     def padded(self, depth: int) -> Tree:
         """The same tree with more levels."""
         feature, threshold, value = list(self.feature), list(self.threshold), list(self.value)
@@ -213,6 +225,25 @@ def stopped(losses: Sequence[float], patience: int) -> int | None:
     return None
 
 
+@contextmanager
+def _few_blocks(spark: SparkSession) -> Iterator[None]:
+    """Few blocks of rows pass between Spark and Python at once: each is large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(trees.BLOCKS_AT_ONCE))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _stored_blocks(blocks: DataFrame) -> DataFrame:
+    """As `stored`, in small row groups."""
+    path = shared_folder(blocks.sparkSession, "boosting")
+    blocks.write.option("parquet.block.size", 16 << 20).parquet(path)
+    return blocks.sparkSession.read.schema(blocks.schema).parquet(path)
+
+
 def boost(
     train: DataFrame,
     columns: Sequence[str],
@@ -241,51 +272,61 @@ def boost(
         parts.append(assembler.transform(early).select("features", label, F.lit(False).alias("_fit")))
     rows = parts[0] if early is None else parts[0].unionByName(parts[1])
     # Written with their numbers, so that a lost task makes the same rows again.
-    rows = stored(rows.withColumn("_id", F.monotonically_increasing_id()), "boosting")
-    out = Boosted(loss.start(rows.filter("_fit")))
-    current = rows.withColumn("_cur", F.lit(out.start))
+    rows = stored(rows.withColumn("features", vector_to_array("features")).withColumn("_id", F.monotonically_increasing_id()), "boosting")
+    fitted, spark = rows.filter("_fit"), rows.sparkSession
+    out = Boosted(loss.start(fitted))
+    bins = DecisionTreeRegressor(**params).getMaxBins()
+    many, most = fitted.count(), trees.sample_rows(bins)
+    # Thresholds are found on the rows of a round or, as in Spark's own boosting, once on a sample of all where they are many.
+    limits = None
+    if share == 1 or many * share > most:
+        mark = F.pmod(F.xxhash64(F.lit(seed), F.lit(-1), "_id"), F.lit(1 << 30)) / (1 << 30)
+        some = fitted.filter(mark < most / many) if many > most else fitted
+        limits = trees.thresholds(trees.matrix(some.select("features").toArrow().column(0).combine_chunks(), len(columns)).T, bins)
+    shape = trees.Shape(len(columns), limits)
+    current = _stored_blocks(rows.mapInArrow(trees.packed(shape, out.start), trees.BLOCKS))
+    with _few_blocks(spark):
+        _rounds(out, current, shape, loss, rounds, rate, share, params, seed, early is not None, patience, block, bins)
+    best = len(out.trees)
+    if early is not None:
+        best = stopped(out.losses, patience) or 1 + min(range(len(out.losses)), key=out.losses.__getitem__)
+    out.best = best
+    out.trees, out.weights, out.leaves = out.trees[:best], out.weights[:best], out.leaves[:best]
+    return out
+
+
+def _rounds(out: Boosted, current: DataFrame, shape: trees.Shape, loss, rounds: int, rate: float, share: float, params: dict, seed: int, early: bool, patience: int, block: int, bins: int) -> None:
+    """Fits the trees of `out` to the stored blocks `current`, block by block."""
     while len(out.trees) < rounds:
-        many = min(block, rounds - len(out.trees))
-        tried = []
-        for _ in range(many):
-            number = len(out.trees)
-            drawn = current.filter("_fit")
-            if share < 1:
-                mark = F.pmod(F.xxhash64(F.lit(seed), F.lit(number), "_id"), F.lit(1 << 30)) / (1 << 30)
-                drawn = drawn.filter(mark < share)
-            # A fit reads its rows for their number, for the splits and for the tree; the trees of the block are walked once.
-            drawn = drawn.select("features", loss.gradient(number).alias("_g")).persist()
+        walks: list[tuple] = []
+        first, last = len(out.trees), min(len(out.trees) + block, rounds)
+        for number in range(first, last):
+            draw, limits = ((seed, number), share) if share < 1 else None, shape.limits
+            if limits is None:
+                drawn = current.mapInArrow(trees.drawn_rows(shape, draw), "features binary").collect()
+                limits = trees.thresholds(np.hstack([shape.of(r["features"]) for r in drawn]).T, bins)
+            # A fit reads its rows once per level; the trees of the block are walked once.
+            drawn = current.mapInArrow(trees.advanced(shape, walks, loss.gradient(number), limits, draw), "features binary, _g binary").persist()
             try:
-                drawn.count()  # by all tasks at once: the fit begins with a single row, which would store its partition alone
-                tree = DecisionTreeRegressor(
-                    featuresCol="features", labelCol="_g", predictionCol="_step", leafCol="_leaf", seed=seed + number, **params
-                ).fit(drawn)
+                fitter = DecisionTreeRegressor(featuresCol="features", labelCol="_g", predictionCol="_step", leafCol="_leaf", seed=seed + number, **params)
+                fitter.limits = limits
+                tree = fitter.fit(drawn)
             finally:
                 drawn.unpersist()
-            placed = tree.transform(current)
-            leaves = loss.leaves(placed.filter("_fit"))
-            step, weight = F.col("_step"), loss.weight(number, rate)
-            if leaves is not None:
-                values = F.array(*[F.lit(leaves.get(k, 0.0)) for k in range(tree.numNodes // 2 + 1)])
-                step = F.get(values, F.col("_leaf").cast("int"))
-            tried.append(f"_round_{number}")
-            current = placed.withColumn("_cur", F.col("_cur") + weight * step).withColumn(tried[-1], F.col("_cur")).drop("_g", "_step", "_leaf")
+            numbers = read_tree(tree, {k: float(k) for k in range(tree.numNodes)}).arrays(shape)
+            leaves = loss.leaves(current.mapInArrow(trees.targets(shape, walks, numbers, (), True), "_y double, _cur double, _leaf int"))
+            weight = loss.weight(number, rate)
+            depth, feature, threshold, value = read_tree(tree, leaves).arrays(shape)
+            walks.append((depth, feature, threshold, weight * value))
             out.trees.append(tree)
             out.weights.append(weight)
             out.leaves.append(leaves)
-        stop = None
-        if early is not None or len(out.trees) < rounds:
-            current = stored(current, "boosting")
-        if early is not None:
-            found = current.filter(~F.col("_fit")).agg(*[F.avg(loss.loss(F.col(c))).alias(c) for c in tried]).first()
+        if early:
+            tried = [f"_round_{number}" for number in range(first, last)]
+            schema = ", ".join(["_y double, _cur double, _leaf int", *[f"{c} double" for c in tried]])
+            found = current.mapInArrow(trees.targets(shape, walks, None, tried, False), schema).agg(*[F.avg(loss.loss(F.col(c))).alias(c) for c in tried]).first()
             out.losses += [float("inf") if found[c] is None else found[c] for c in tried]
-            stop = stopped(out.losses, patience)
-        current = current.drop(*tried)
-        if stop is not None:
-            break
-    best = len(out.trees)
-    if early is not None:
-        best = stopped(out.losses, patience) or 1 + min(range(len(out.losses)), key=out.losses.__getitem__)
-    out.best = best
-    out.trees, out.weights, out.leaves = out.trees[:best], out.weights[:best], out.leaves[:best]
-    return out
+            if stopped(out.losses, patience) is not None:
+                break
+        if len(out.trees) < rounds:
+            current = _stored_blocks(current.mapInArrow(trees.moved(shape, walks), trees.BLOCKS))

@@ -7,10 +7,10 @@ import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import functions as F
 
-from hourly_demand.plans import boosting, models
+from hourly_demand.plans import boosting, models, trees
 from hourly_demand.plans.boosting import AbsoluteLoss, Ensemble, QuantileLoss, Tree, boost, stopped
 
 COLUMNS = ["a", "b", "c"]
@@ -176,3 +176,46 @@ def test_rows_of_a_round_are_made_once(spark, rows, monkeypatch):
         boost(rows, COLUMNS, "y", loss, 3, 0.3, {"maxDepth": 2, "subsamplingRate": 0.7})
     assert held == [True] * 6
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+@pytest.mark.parametrize("params", [{"maxDepth": 0}, {"maxDepth": 4}, {"maxDepth": 4, "minInstancesPerNode": 60, "maxBins": 8}, {"maxDepth": 3, "minInfoGain": 0.4}])
+@pytest.mark.parametrize("held", [trees.SUMS_BYTES, 1000])
+def test_trees_of_blocks_are_sparks_trees(spark, monkeypatch, params, held):
+    # Small sums: some nodes at a time, added up per node by the tasks.
+    monkeypatch.setattr(trees, "SUMS_BYTES", held)
+    rng = np.random.default_rng(8)
+    x = np.column_stack([rng.normal(size=900), rng.integers(0, 5, 900), np.full(900, 2.0), rng.integers(0, 40, 900)]).astype(float)
+    g = np.round(x[:, 0]) * (x[:, 1] > 2) + (x[:, 3] > 30) + rng.integers(0, 3, 900)
+    rows = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, g, strict=True)], "a double, b double, c double, d double, _g double")
+    want = DecisionTreeRegressor(labelCol="_g", seed=1, **params).fit(VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="features").transform(rows))
+    fitter = trees.DecisionTreeRegressor(labelCol="_g", seed=1, **params)
+    fitter.limits = trees.thresholds(x, fitter.getMaxBins())
+    blocks = [(trees.binned(x[i : i + 70].T, fitter.limits).tobytes(), g[i : i + 70].tobytes()) for i in range(0, 900, 70)]
+    made = fitter.fit(spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in blocks], "features binary, _g binary"))
+    assert made.toDebugString.splitlines()[1:] == want.toDebugString.splitlines()[1:]
+    np.testing.assert_allclose(made.featureImportances.toArray(), want.featureImportances.toArray())
+
+
+def test_marks_are_sparks_hashes(spark):
+    ids = np.array([0, 1, 77, 1 << 40, -5])
+    made = spark.createDataFrame([(int(i),) for i in ids], "id bigint").select((F.pmod(F.xxhash64(F.lit(42), F.lit(-3), "id"), F.lit(1 << 30)) / (1 << 30)).alias("m"))
+    np.testing.assert_array_equal(trees.marks((42, -3), ids), [r["m"] for r in made.collect()])
+
+
+def test_a_round_holds_blocks_of_bins(spark, monkeypatch):
+    held = []
+
+    class Watched(boosting.DecisionTreeRegressor):
+        def fit(self, dataset, params=None):
+            row = dataset.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("features")).alias("bytes")).first()
+            held.append((row["n"], row["bytes"]))
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(boosting, "DecisionTreeRegressor", Watched)
+    # More rows than thresholds are found on.
+    many = spark.range(0, 30000, 1, 4).select(*[(F.rand(i) * (i + 1)).alias(c) for i, c in enumerate(COLUMNS)]).withColumn("y", F.col("a") + F.when(F.col("c") > 2, 5.0).otherwise(0.0))
+    found = boost(many.persist(), COLUMNS, "y", AbsoluteLoss(), 3, 0.3, {"maxDepth": 3})
+    assert all(n < 100 and size == 30000 * len(COLUMNS) for n, size in held) and len(held) == 3
+    root = boosting.read_tree(found.trees[0])
+    assert root.feature[0] == 2 and abs(root.threshold[0] - 2) < 0.1
+    many.unpersist()

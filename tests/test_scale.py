@@ -1,7 +1,9 @@
 """Plans stay within a task's and the driver's memory, whatever Spark estimates."""
 
-from datetime import datetime
+from dataclasses import replace
+from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from helpers import KEYED, history, to_spark
 from pyspark.sql import functions as F
@@ -65,3 +67,32 @@ def test_interpolated_hours_of_a_task_are_bounded(spark, small_tasks):
     filled = windows.interpolate_linear(hourly_panel(spark, 40).withColumn("trips_count", F.when(F.hour("pickup_hour") != 5, 7.0)), KEYS, chunk_hours=24)
     assert filled.rdd.getNumPartitions() >= 19
     assert filled.count() == 40 * 240 and filled.filter("filled = 7").count() == 40 * 240
+
+
+def test_weeks_of_a_series_share_their_hours(spark):
+    keyed = history().assign(zone_id=1)[["zone_id", "pickup_hour", "trips_count"]]
+    keyed["trips_count"] = keyed.trips_count.astype(float)
+    hours = keyed.pickup_hour
+    closed = [t.to_pydatetime() for t in hours.iloc[-24:]]
+    oldest = hours.iloc[-24 - 167]  # in the week of the first closed hour only
+    parts = []
+    for zone, change in enumerate(("none", "inf", "nan", "twice", "negative", "gone", "last")):
+        part = keyed.assign(zone_id=zone)
+        at = part.pickup_hour == (hours.iloc[-1] if change == "last" else oldest)
+        part.loc[at, "trips_count"] = {"inf": float("inf"), "nan": float("nan"), "negative": -1.0, "last": -1.0}.get(change, 7.0)
+        parts += [part[~at] if change == "gone" else part] + ([part[at]] if change == "twice" else [])
+    rows = to_spark(spark, pd.concat(parts), KEYED)
+    radii = spark.createDataFrame([(z, "absolute", 2.0) for z in range(7)], "zone_id BIGINT, method STRING, q DOUBLE")
+    model = replace(forecast.naive_model(radii, "2024-01-23", 1, KEYS), columns=("lag_168", "roll_mean_168", "roll_std_168"))
+    wanted = rows.select("zone_id", "pickup_hour").filter(F.col("pickup_hour").isin([F.lit(t) for t in closed])).distinct()
+    shared = forecast._shared_weeks(rows, wanted.withColumnRenamed("pickup_hour", forecast.CLOSED), model, KEYS, [*KEYS, forecast.PAST])
+    assert shared.count() == 7 * (168 + 24) and shared.filter("_closed").count() == 7 * 24
+    made = {(r["zone_id"], r["pickup_hour"]): r[2:6] for r in forecast.forecast_hours(rows, wanted, model, KEYS).collect()}
+    assert len(made) == 7 * 24
+    for last in (closed[0], closed[1], closed[-1]):
+        week = rows.filter((F.col("pickup_hour") <= F.lit(last)) & (F.col("pickup_hour") > F.lit(last - timedelta(hours=168))))
+        for r in forecast.forecast(week, model, last + timedelta(hours=1), KEYS).collect():
+            assert made[r["zone_id"], r["pickup_hour"]] == r[2:6]
+    status = [[made[z, t + timedelta(hours=1)][3] for t in closed] for z in range(7)]
+    assert status[0] == ["ok"] * 24 and status[6] == ["ok"] * 23 + ["invalid"]
+    assert status[1:5] == [["invalid"] + ["ok"] * 23] * 4 and status[5] == ["short"] + ["ok"] * 23
